@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The analyses are a batch rebuild from full exports: every table is recomputed from its sources on
+each run, and nothing in them is defined over unbounded input, watermarks or state. This package
+is kept empty on purpose rather than inventing stream semantics the analyses do not have.
+"""
