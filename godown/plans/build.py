@@ -53,6 +53,20 @@ class Pipeline(Build):
         from godown.plans import marts
         return marts.mart_suppliers(self.fact_purchase_orders, self.stg_products)
 
+    @cached_property
+    def sc_workbench(self) -> DataFrame:
+        return self.workbench()
+
+    def tables(self) -> dict[str, DataFrame]:
+        """The tables the checks read, by name."""
+        names = ["dim_supplier", "stg_sales_orders", "stg_shipments", "dim_zone", "stg_order_lines",
+                 "fact_inventory_daily", "stg_goods_receipts", "stg_purchase_orders", "stg_products",
+                 "fact_purchase_orders", "dim_product", "fact_order_lines", "stockout_snapshots", "stockout_scores",
+                 "sc_workbench"]
+        t = {n: getattr(self, n) for n in names}
+        t["stock_shipped"] = self.stock_daily.select("date", "dc_id", "item_id", "shipped")
+        return t
+
     def workbench(self, scores: DataFrame | None = None) -> DataFrame:
         from godown.plans import marts
         return marts.workbench(self, scores if scores is not None else self.stockout_scores)

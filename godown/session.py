@@ -8,11 +8,12 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
+                driver_memory: str = "12g") -> SparkSession:
     """Session for scripts and tests. On a cluster the submitted configuration wins."""
     b = SparkSession.builder.appName("godown")
     if master:
-        b = b.master(master)
+        b = b.master(master).config("spark.driver.memory", driver_memory)
     b = (b.config("spark.ui.enabled", "false")
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
