@@ -3,3 +3,4 @@
 from godown.plans import queries  # noqa: F401
 from godown.plans import queries_more  # noqa: F401
 from godown.plans import queries_checks  # noqa: F401
+from godown.plans import queries_model  # noqa: F401

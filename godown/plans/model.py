@@ -231,7 +231,7 @@ class Build:
                                     self.stg_products)
     @cached_property
     def stock_daily(self):
-        grid = series_grid(self.dim_dc, self.dim_item, self.cal)
+        grid = series_grid(self.dim_dc, self.stg_products.select("item_id").distinct(), self.cal)
         return stock_daily(grid, self.fact_order_lines, self.stg_goods_receipts, self.fact_purchase_orders,
                            self.dim_item, self.cal)
     @cached_property
