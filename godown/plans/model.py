@@ -59,6 +59,7 @@ def dim_item(products: DataFrame, order_lines: DataFrame) -> DataFrame:
     items = products.groupBy("item_id").agg(
         F.min("category").alias("category"),
         F.min_by("supplier_id", "sku").alias("supplier_id"),
+        F.min("case_qty").alias("case_qty"),
         ((F.sum((F.col("unit_cost") * 100).cast("long")) / F.count(F.lit(1))).cast("long") / 100)
         .cast("decimal(18,2)").alias("unit_cost"))
     classes = abc_classes(product_value(products, order_lines, "item_id"), "item_id").select("item_id", "abc_class")

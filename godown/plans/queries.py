@@ -69,7 +69,8 @@ def abc_classification(b):
 
 
 @query("item_classification", """
-SELECT item_id, category, supplier_id, CAST(unit_cost AS DOUBLE) AS unit_cost, abc_class FROM dim_item""")
+SELECT item_id, category, supplier_id, CAST(case_qty AS BIGINT) AS case_qty, CAST(unit_cost AS DOUBLE) AS unit_cost,
+       abc_class FROM dim_item""")
 def item_classification(b):
     return b.dim_item
 
