@@ -31,31 +31,31 @@ def baseline_scores(snapshots: DataFrame) -> DataFrame:
 class Pipeline(Build):
     @cached_property
     def stockout_snapshots(self) -> DataFrame:
-        return features.stockout_snapshots(self.stock_daily, self.dim_item, self.fact_purchase_orders,
-                                           self.festival_days, self.cal)
+        return self._cut(features.stockout_snapshots(self.stock_daily, self.dim_item, self.fact_purchase_orders,
+                                                     self.festival_days, self.cal))
 
     @cached_property
     def stockout_scores(self) -> DataFrame:
-        return baseline_scores(self.stockout_snapshots)
+        return self._keep(baseline_scores(self.stockout_snapshots))
 
     @cached_property
     def mart_lanes(self) -> DataFrame:
         from godown.plans import marts
-        return marts.mart_lanes(self.fact_order_lines)
+        return self._keep(marts.mart_lanes(self.fact_order_lines))
 
     @cached_property
     def mart_nodes(self) -> DataFrame:
         from godown.plans import marts
-        return marts.mart_nodes(self.fact_inventory_daily, self.fact_order_lines)
+        return self._keep(marts.mart_nodes(self.fact_inventory_daily, self.fact_order_lines))
 
     @cached_property
     def mart_suppliers(self) -> DataFrame:
         from godown.plans import marts
-        return marts.mart_suppliers(self.fact_purchase_orders, self.stg_products)
+        return self._keep(marts.mart_suppliers(self.fact_purchase_orders, self.stg_products))
 
     @cached_property
     def sc_workbench(self) -> DataFrame:
-        return self.workbench()
+        return self._keep(self.workbench())
 
     def tables(self) -> dict[str, DataFrame]:
         """The tables the checks read, by name."""

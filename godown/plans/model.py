@@ -11,6 +11,7 @@ from __future__ import annotations
 from datetime import timedelta
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from godown.operators.abc import abc_classes
 from godown.operators.intervals import open_deltas
 from godown.operators.replay import replay
 from godown.sources import driver_tables
+from godown.session import cut_lineage
 from godown.sources.exports import stage
 
 SERIES = ["dc_id", "item_id"]
@@ -170,19 +172,44 @@ def fact_inventory_daily(stock: DataFrame, items: DataFrame, carry_rate: float =
 
 # ------------------------------------------------------------------------------------------ build
 class Build:
-    """All staged exports and derived tables of one build, as lazy DataFrames."""
+    """All staged exports and derived tables of one build, as lazy DataFrames.
+
+    Tables with several consumers are kept once per build, as the reference materialises every
+    table: staged exports, dimensions and facts are persisted (memory, spilling to disk; a lost
+    executor's blocks are recomputed from lineage), and the window-heavy daily ledger and the
+    snapshots are checkpointed to the shared checkpoint folder, which also cuts their lineage.
+    ``materialize=False`` keeps everything as one lazy plan.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, cal: Calendar = DEFAULT,
-                 exports: dict[str, DataFrame] | None = None):
+                 exports: dict[str, DataFrame] | None = None, materialize: bool = True):
         self.spark, self.sf_dir, self.cal = spark, sf_dir, cal
         self._exports = exports
+        self.materialize = materialize
+        self._kept: list[DataFrame] = []
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        if not self.materialize:
+            return df
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self._kept.append(df)
+        return df
+
+    def _cut(self, df: DataFrame) -> DataFrame:
+        return cut_lineage(df) if self.materialize else df
+
+    def release(self) -> None:
+        """Unpersist everything this build kept."""
+        for df in self._kept:
+            df.unpersist()
+        self._kept.clear()
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
         return self._exports if self._exports is not None else driver_tables.raw_exports(self.spark, self.sf_dir)
 
     def staged(self, name: str) -> DataFrame:
-        return stage(name, self.raw[name])
+        return self._keep(stage(name, self.raw[name]))
 
     # staging
     @cached_property
@@ -214,27 +241,28 @@ class Build:
     @cached_property
     def dim_supplier(self): return self.stg_suppliers
     @cached_property
-    def dim_product(self): return dim_product(self.stg_products, self.stg_order_lines)
+    def dim_product(self): return self._keep(dim_product(self.stg_products, self.stg_order_lines))
     @cached_property
-    def dim_item(self): return dim_item(self.stg_products, self.stg_order_lines)
+    def dim_item(self): return self._keep(dim_item(self.stg_products, self.stg_order_lines))
     @cached_property
     def festival_days(self): return festival_days(self.spark, self.cal)
 
     # facts
     @cached_property
     def fact_order_lines(self):
-        return fact_order_lines(self.stg_sales_orders, self.stg_shipments, self.stg_order_lines, self.stg_products)
+        return self._keep(fact_order_lines(self.stg_sales_orders, self.stg_shipments, self.stg_order_lines,
+                                           self.stg_products))
     @cached_property
-    def fact_orders(self): return fact_orders(self.fact_order_lines)
+    def fact_orders(self): return self._keep(fact_orders(self.fact_order_lines))
     @cached_property
     def fact_purchase_orders(self):
-        return fact_purchase_orders(self.stg_purchase_orders, self.stg_goods_receipts, self.stg_suppliers,
-                                    self.stg_products)
+        return self._keep(fact_purchase_orders(self.stg_purchase_orders, self.stg_goods_receipts, self.stg_suppliers,
+                                               self.stg_products))
     @cached_property
     def stock_daily(self):
         grid = series_grid(self.dim_dc, self.stg_products.select("item_id").distinct(), self.cal)
-        return stock_daily(grid, self.fact_order_lines, self.stg_goods_receipts, self.fact_purchase_orders,
-                           self.dim_item, self.cal)
+        return self._cut(stock_daily(grid, self.fact_order_lines, self.stg_goods_receipts, self.fact_purchase_orders,
+                                     self.dim_item, self.cal))
     @cached_property
     def stg_inventory(self):
         return self.stock_daily.select(F.col("date").alias("stock_date"), "dc_id", "item_id", "on_hand", "reorder_point")
@@ -243,7 +271,7 @@ class Build:
         return self.stock_daily.select("date", "dc_id", "item_id", F.col("demand").alias("qty_ordered"),
                                        F.col("line_shipped").alias("qty_shipped"))
     @cached_property
-    def fact_inventory_daily(self): return fact_inventory_daily(self.stock_daily, self.dim_item)
+    def fact_inventory_daily(self): return self._keep(fact_inventory_daily(self.stock_daily, self.dim_item))
 
 
 def last_day_with_outcome(cal: Calendar, horizon: int) -> object:

@@ -36,12 +36,23 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+_BUILDS: dict[tuple[int, str], object] = {}
+
+
+def build_for(spark: SparkSession, sf_dir: str):
+    """One build per session and data folder, so queries share its kept tables."""
+    from godown.plans.build import Pipeline
+    key = (id(spark), sf_dir)
+    if key not in _BUILDS:
+        _BUILDS[key] = Pipeline(spark, sf_dir)
+    return _BUILDS[key]
+
+
 def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
     fn = REGISTRY[name][0]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from godown.plans.build import Pipeline
-        return portable(fn(Pipeline(spark, sf_dir)))
+        return portable(fn(build_for(spark, sf_dir)))
 
     run.__name__ = name
     return run
