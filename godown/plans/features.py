@@ -21,18 +21,26 @@ from godown.operators.intervals import next_on_or_after, trailing_stats
 SERIES = ["dc_id", "item_id"]
 
 
-def rolling_demand(stock: DataFrame, horizon: int = HORIZON_DAYS) -> DataFrame:
+def rolling_columns(horizon: int = HORIZON_DAYS) -> list:
     """Trailing 28- and 7-row demand mean, 28-row population sd, and whether the series is out of
     stock on any of the next ``horizon`` days (rows, so the series must be dense: one row a day)."""
     w = Window.partitionBy(*SERIES).orderBy("date")
     w28, w7, ahead = w.rowsBetween(-27, 0), w.rowsBetween(-6, 0), w.rowsBetween(1, horizon)
     oos = F.col("on_hand") <= 0
-    return stock.select(
-        "*",
-        F.avg("demand").over(w28).alias("demand_28d"),
-        F.avg("demand").over(w7).alias("demand_7d"),
-        F.stddev_pop("demand").over(w28).alias("demand_sd_28d"),
-        F.bool_or(oos).over(ahead).alias("out_next_14d"))
+    return [F.avg("demand").over(w28).alias("demand_28d"),
+            F.avg("demand").over(w7).alias("demand_7d"),
+            F.stddev_pop("demand").over(w28).alias("demand_sd_28d"),
+            F.bool_or(oos).over(ahead).alias("out_next_14d")]
+
+
+ROLLING = ("demand_28d", "demand_7d", "demand_sd_28d", "out_next_14d")
+
+
+def rolling_demand(stock: DataFrame, horizon: int = HORIZON_DAYS) -> DataFrame:
+    """The dense daily stock with the rolling columns (already there when the ledger made them)."""
+    if all(c in stock.columns for c in ROLLING) and horizon == HORIZON_DAYS:
+        return stock
+    return stock.drop(*[c for c in ROLLING if c in stock.columns]).select("*", *rolling_columns(horizon))
 
 
 def weekly_snapshots(stock: DataFrame, cal: Calendar = DEFAULT) -> DataFrame:

@@ -152,11 +152,45 @@ def stock_daily(grid: DataFrame, lines: DataFrame, receipts: DataFrame, pos: Dat
              .groupBy(*SERIES, "date")
              .agg(*[F.sum(n).alias(n) for n in ["demand", "line_shipped", "accepted", "open_delta"]]))
     led = replay(flows, SERIES, "date", "accepted", "demand", cal.opening_stock)
+    return with_trailing_columns(led)
+
+
+def with_trailing_columns(led: DataFrame, horizon: int = 14) -> DataFrame:
+    """Reorder point, open PO units, 28/7-row demand mean, 28-row sd and the forward out-of-stock
+    flag per series and day, from running sums and row offsets only.
+
+    A sliding frame re-reads its 28 rows for every row; a trailing-rows sum is instead the running
+    sum minus the running sum 28 rows back (exact in integers), so every column costs O(1) a row.
+    The snapshot features share this (dc_id, item_id) partitioning and date order, so they are made
+    in the same pass over the dense grid. Row offsets need a dense series: one row a day.
+    """
     w = Window.partitionBy(*SERIES).orderBy("date")
-    return led.select(
-        "*",
-        F.floor(F.sum("demand").over(w.rowsBetween(-27, 0)) * 8 / 28).cast("int").alias("reorder_point"),
-        F.sum("open_delta").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("open_po_units"))
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    d = F.col("demand").cast("long")
+    x = led.select("*", F.sum(d).over(upto).alias("_cs"), F.sum(d * d).over(upto).alias("_cs2"),
+                   F.row_number().over(w).alias("_rn"),
+                   F.sum("open_delta").over(upto).alias("open_po_units"),
+                   F.sum((F.col("on_hand") <= 0).cast("long")).over(upto).alias("_oos"))
+
+    def back(c: str, n: int):
+        return F.col(c) - F.lag(c, n, 0).over(w)
+
+    n28, n7 = F.least(F.col("_rn"), F.lit(28)), F.least(F.col("_rn"), F.lit(7))
+    s28, s7, q28 = back("_cs", 28), back("_cs", 7), back("_cs2", 28)
+    # out of stock on any of the next ``horizon`` rows; no following row at all gives null
+    ahead = F.coalesce(F.lead("_oos", horizon).over(w), F.max("_oos").over(whole)) - F.col("_oos")
+    out_next = F.when(F.lead("_oos", 1).over(w).isNotNull(), ahead > 0)
+    y = x.select("*", s28.alias("_s28"), s7.alias("_s7"), q28.alias("_q28"), n28.alias("_n28"), n7.alias("_n7"),
+                 out_next.alias("out_next_14d"))
+    var_num = (F.col("_n28") * F.col("_q28") - F.col("_s28") * F.col("_s28")).cast("double")
+    return y.select(
+        *[c for c in led.columns], "open_po_units",
+        F.expr("CAST((_s28 * 8) div 28 AS INT)").alias("reorder_point"),
+        (F.col("_s28") / F.col("_n28")).alias("demand_28d"),
+        (F.col("_s7") / F.col("_n7")).alias("demand_7d"),
+        (F.sqrt(F.greatest(var_num, F.lit(0.0))) / F.col("_n28")).alias("demand_sd_28d"),
+        "out_next_14d")
 
 
 def fact_inventory_daily(stock: DataFrame, items: DataFrame, carry_rate: float = CARRY_RATE) -> DataFrame:
@@ -206,10 +240,14 @@ class Build:
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
-        return self._exports if self._exports is not None else driver_tables.raw_exports(self.spark, self.sf_dir)
+        if self._exports is not None:
+            return self._exports
+        return driver_tables.raw_exports(self.spark, self.sf_dir, keep=self._keep)
 
     def staged(self, name: str) -> DataFrame:
-        return self._keep(stage(name, self.raw[name]))
+        # exports whose raw frame is already kept need no second copy
+        return stage(name, self.raw[name]) if name in ("order_lines", "products") else \
+            self._keep(stage(name, self.raw[name]))
 
     # staging
     @cached_property

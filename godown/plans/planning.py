@@ -47,9 +47,12 @@ def reorder_point(stock: DataFrame, items: DataFrame, suppliers: DataFrame, safe
 
     Uses the same (dc, item) partitioning and date order as the ledger windows."""
     lead = items.select("item_id", "supplier_id").join(suppliers.select("supplier_id", "quoted_lead_days"), "supplier_id")
-    w28 = Window.partitionBy(*SERIES).orderBy("date").rowsBetween(-27, 0)
-    x = stock.select("date", *SERIES, F.avg("demand").over(w28).alias("avg28"),
-                     F.stddev_pop("demand").over(w28).alias("sd28"))
+    if "demand_28d" in stock.columns:  # the ledger already carries the trailing 28-row moments
+        x = stock.select("date", *SERIES, F.col("demand_28d").alias("avg28"), F.col("demand_sd_28d").alias("sd28"))
+    else:
+        w28 = Window.partitionBy(*SERIES).orderBy("date").rowsBetween(-27, 0)
+        x = stock.select("date", *SERIES, F.avg("demand").over(w28).alias("avg28"),
+                         F.stddev_pop("demand").over(w28).alias("sd28"))
     ld = F.col("quoted_lead_days").cast("double")
     return (x.join(F.broadcast(lead.select("item_id", "quoted_lead_days")), "item_id")
             .select("date", *SERIES, "avg28", "sd28", "quoted_lead_days",

@@ -146,8 +146,11 @@ def goods_receipts(po: DataFrame) -> DataFrame:
                     F.when(F.col("po_id") % 13 == 0, F.floor(got / 20)).otherwise(0).cast("int").alias("qty_rejected"))
 
 
-def raw_exports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The raw exports (except the stock ledger) built from the driver tables."""
+def raw_exports(spark: SparkSession, sf_dir: str, keep=lambda df: df) -> dict[str, DataFrame]:
+    """The raw exports (except the stock ledger) built from the driver tables.
+
+    ``keep`` is applied to the intermediates two exports share (order headers, lines, purchase
+    orders), so a build that persists them computes each once."""
     t = {name: read(spark, sf_dir, name) for name in DRIVER_TABLES}
     wh = warehouses(t["region"])
     zones = delivery_zones(t["nation"], t["region"])
@@ -155,9 +158,10 @@ def raw_exports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     prods = products(t["part"], t["supplier"])
     headers = sales_orders_and_shipments(t["orders"], t["customer"])
     # the serving centre of each order comes from its city; the zone table has one row per nation
-    headers = headers.join(F.broadcast(zones.select("zone_id", F.col("serving_dc").alias("dc_id"))), "zone_id")
-    lines = order_lines(t["lineitem"])
-    po = purchase_orders_typed(lines, headers, prods, sups.select("supplier_id", "quoted_lead_days"))
+    headers = keep(headers.join(F.broadcast(zones.select("zone_id", F.col("serving_dc").alias("dc_id"))), "zone_id"))
+    lines = keep(order_lines(t["lineitem"]))
+    prods = keep(prods)
+    po = keep(purchase_orders_typed(lines, headers, prods, sups.select("supplier_id", "quoted_lead_days")))
     day_first = "dd/MM/yyyy"
     return {
         "warehouses": wh,
