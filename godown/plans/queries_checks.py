@@ -216,7 +216,23 @@ for _key, _name in CHECK_KEYS.items():
     _register_check(_key, _name)
 
 
-@query("check_summary")
+def _suite_sql(with_mutations: bool) -> str:
+    ctes, selects = [], []
+    for i, (key, name) in enumerate(CHECK_KEYS.items()):
+        template, table, mutated = CHECK_SQL[key]
+        label = name.replace("'", "''")
+        ctes.append(f"mutated_{i} AS ({mutated})")
+        clean = f"(SELECT count(*) FROM ({template.format(T=table)}))"
+        broken = f"(SELECT count(*) FROM ({template.format(T=f'mutated_{i}')}))"
+        if with_mutations:
+            selects.append(f"SELECT '{label}' AS check_name, {clean} AS violations, {broken} AS mutated_violations, "
+                           f"{clean} = 0 AND {broken} > 0 AS caught")
+        else:
+            selects.append(f"SELECT '{label}' AS check_name, {clean} AS violations, {clean} = 0 AS passed")
+    return WORKBENCH_SQL + ", " + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(selects)
+
+
+@query("check_summary", _suite_sql(False))
 def check_summary(b):
     """The suite on clean data: one row per check with its violation count and pass flag."""
     t = b.tables()
@@ -228,7 +244,7 @@ def check_summary(b):
     return out
 
 
-@query("mutation_catches")
+@query("mutation_catches", _suite_sql(True))
 def mutation_catches(b):
     """Every check passes on clean data and fires on its own mutation."""
     t = b.tables()
