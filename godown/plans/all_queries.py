@@ -5,3 +5,4 @@ from godown.plans import queries_more  # noqa: F401
 from godown.plans import queries_checks  # noqa: F401
 from godown.plans import queries_model  # noqa: F401
 from godown.plans import queries_dash  # noqa: F401
+from godown.plans import queries_io  # noqa: F401
