@@ -150,10 +150,12 @@ def permutation_importance(model: PipelineModel, test: DataFrame, repeats: int =
         drops = []
         for r in range(repeats):
             h = F.xxhash64(*[F.col(k).cast("string") for k in KEYS], F.lit(SEED * 100 + r))
-            donor = ordered_prefix_sums(ranked.select(*KEYS, feat, h.alias("_h")),
-                                        [F.col("_h").asc(), *[F.col(k).asc() for k in KEYS]],
+            keys = [F.col(k).alias(f"_k{i}") for i, k in enumerate(KEYS)]
+            donor = ordered_prefix_sums(ranked.select(F.col(feat).alias("_val"), h.alias("_h"), *keys),
+                                        [F.col("_h").asc(), *[F.col(f"_k{i}").asc() for i in range(len(KEYS))]],
                                         {"rid": F.lit(1).cast("long")})
-            permuted = ranked.drop(feat).join(donor.select("rid", feat), "rid")
+            permuted = (ranked.join(donor.select("rid", "_val"), "rid")
+                        .withColumn(feat, F.col("_val")).drop("_val"))
             drops.append(base - metrics.roc_auc(score(model, permuted), "label", "score").first()[0])
         mean = sum(drops) / len(drops)
         sd = (sum((d - mean) ** 2 for d in drops) / len(drops)) ** 0.5
