@@ -8,7 +8,6 @@ exchanges inside one plan.
 
 from __future__ import annotations
 
-from datetime import timedelta
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -311,6 +310,3 @@ class Build:
     @cached_property
     def fact_inventory_daily(self): return self._keep(fact_inventory_daily(self.stock_daily, self.dim_item))
 
-
-def last_day_with_outcome(cal: Calendar, horizon: int) -> object:
-    return cal.end - timedelta(days=horizon)

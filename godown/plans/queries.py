@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 
 from godown.plans.registry import query
 
-D = "CAST({} AS VARCHAR)"  # dates leave both engines as ISO text
-
-
 def _d(c: str, alias: str | None = None) -> str:
+    """A date column leaving the oracle as ISO text (as the Spark side does)."""
     return f"CAST({c} AS VARCHAR) AS {alias or c.split('.')[-1]}"
 
 
