@@ -109,13 +109,17 @@ def fact_purchase_orders(pos: DataFrame, receipts: DataFrame, suppliers: DataFra
                     (F.col("qty_received") * F.col("unit_cost")).alias("value_received")))
 
 
-def series_grid(dcs: DataFrame, items: DataFrame, cal: Calendar) -> DataFrame:
+def series_grid(dcs: DataFrame, items: DataFrame, cal: Calendar, partitions: int | None = None) -> DataFrame:
     """Dense calendar per stock series (centre x item).
 
     Centres (regions) and items (brand x type) are dimension tables bounded by the schema, so their
     product is small. Days are generated per series (a generator, not a join).
     """
     series = F.broadcast(dcs.select("dc_id")).crossJoin(F.broadcast(items.select("item_id")))
+    if partitions:
+        # only the series rows move; each partition generates its own days, so the dense grid is
+        # born hash-partitioned on the series key
+        series = series.repartition(partitions, *SERIES)
     return (series
             .select(*SERIES, F.explode(F.sequence(F.lit(cal.start), F.lit(cal.end))).alias("date")))
 
@@ -141,13 +145,16 @@ def stock_daily(grid: DataFrame, lines: DataFrame, receipts: DataFrame, pos: Dat
         names = ["demand", "line_shipped", "accepted", "open_delta"]
         return df.select(*SERIES, "date", *[(F.col(n) if n in cols else zero).alias(n) for n in names])
 
-    flows = (shaped(grid.select(*SERIES, "date"))
-             .unionByName(shaped(demand, demand=1, line_shipped=1))
+    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the pre-aggregated flows are the only rows shuffled; the grid already sits in the same
+    # hash partitioning (see series_grid), so the union, the sum and the windows need no exchange
+    moved = (shaped(demand, demand=1, line_shipped=1)
              .unionByName(shaped(accepted, accepted=1))
              .unionByName(shaped(po_open, open_delta=1))
              # flows outside the calendar have no stock row to land on
              .filter(F.col("date").between(F.lit(cal.start), F.lit(cal.end)))
-             .repartition(*SERIES)
+             .repartition(n, *SERIES))
+    flows = (shaped(grid.select(*SERIES, "date")).unionByName(moved)
              .groupBy(*SERIES, "date")
              .agg(*[F.sum(n).alias(n) for n in ["demand", "line_shipped", "accepted", "open_delta"]]))
     led = replay(flows, SERIES, "date", "accepted", "demand", cal.opening_stock)
@@ -297,7 +304,8 @@ class Build:
                                                self.stg_products))
     @cached_property
     def stock_daily(self):
-        grid = series_grid(self.dim_dc, self.stg_products.select("item_id").distinct(), self.cal)
+        grid = series_grid(self.dim_dc, self.stg_products.select("item_id").distinct(), self.cal,
+                           int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         return self._cut(stock_daily(grid, self.fact_order_lines, self.stg_goods_receipts, self.fact_purchase_orders,
                                      self.dim_item, self.cal))
     @cached_property
