@@ -35,7 +35,8 @@ def test_feature_plans_pair_nothing(spark):
     assert at
     for i in at:
         near = " ".join(lines[i:i + 4])
-        # the broadcast side is the region scan, or a reuse of that same broadcast
-        assert "r_regionkey" in near or "ReusedExchange" in near, near
+        # the broadcast side is the region scan, a reuse of that broadcast, or the centres table
+        # already persisted by another build in the session (the cache manager substitutes it)
+        assert any(t in near for t in ("r_regionkey", "ReusedExchange", "InMemoryTableScan")), near
     sup = supplier_trailing(b.fact_purchase_orders, snaps.selectExpr("snapshot_date AS date", "supplier_id"))
     assert "CartesianProduct" not in _plan(sup)
