@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from godown.llm.bfd_pack import op1_bfd_pack
 from godown.llm.byte_bpe import op6_byte_bpe
+from godown.llm.mcd_quality import op2_mcd_quality
 from godown.llm.ordered_pack import op9_ordered_pack
 from godown.llm.token_counts import op10_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_bfd_pack, op6_byte_bpe, op9_ordered_pack, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_bfd_pack, op2_mcd_quality, op6_byte_bpe, op9_ordered_pack, op10_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
