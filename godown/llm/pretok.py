@@ -100,20 +100,23 @@ def special_tokens(path: str) -> dict[str, int]:
         return {x["content"]: x["id"] for x in json.load(f)["added_tokens"]}
 
 
+#: A chunk is a space and what follows up to the next space or line end. Where every space and line end is followed
+#: by a visible character, cuts before them always fall between pre-tokens (and never inside a special string), so
+#: a chunk has the same pre-tokens and ids wherever it stands.
+ODD = re.compile(r"[ \n](?:\s|\Z)").search
+CHUNKS = re.compile(r"\n| ?[^ \n]+").findall
+
+
 class Words:
     """Ids by the tokenizers library with one library call per distinct chunk; build it once per Python worker.
 
-    A chunk is a space and what follows up to the next space or line end. Where every space and line end is
-    followed by a visible character, cuts before them always fall between pre-tokens (and never inside a
-    special string), so a chunk has the same ids wherever it stands. Other texts go to the library whole.
+    Texts that chunks cannot cut go to the library whole.
     """
 
     def __init__(self, spec: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
-        self._odd = re.compile(r"[ \n](?:\s|\Z)").search
-        self._chunks = re.compile(r"\n| ?[^ \n]+").findall
         self.cache: dict[str, bytes] = {}
 
     def _library(self, parts: list[str]) -> list[bytes]:
@@ -124,8 +127,8 @@ class Words:
         """Ids of each text as unsigned 32-bit arrays; null counts as empty."""
         out = []
         for i, j in text_batches(texts, 500_000):
-            odd = {t for t in texts[i:j] if t and self._odd(t)}
-            cut = [self._chunks(t) if t and t not in odd else [] for t in texts[i:j]]
+            odd = {t for t in texts[i:j] if t and ODD(t)}
+            cut = [CHUNKS(t) if t and t not in odd else [] for t in texts[i:j]]
             distinct = set().union(*cut)
             missing = distinct - self.cache.keys()
             if len(self.cache) + len(missing) > CACHE_CHUNKS:
@@ -159,6 +162,10 @@ class Splitter:
             return [w for w, _ in self._slow.pre_tokenize_str(text)]
         return self._fast(text)
 
+    def chunks(self, text: str) -> list[str]:
+        """Pieces that ``split`` cuts further, each in the same way wherever it stands."""
+        return self.split(text) if ODD(text) else CHUNKS(text)
+
     def split(self, text: str) -> list[str]:
         if self._special is None or not self._special.search(text):
             return self._segment(text)

@@ -1,13 +1,17 @@
 """Token counts (10): pieces counted once per distinct pre-token, joined to per-document frequencies.
 
 Two passes over the texts. The first gives the distinct pre-tokens, each of which the library encodes once.
-The second gives, per block of documents and pre-token, one row with the list of (document, frequency). The
+The second gives, per block of documents and pre-token, one row with the packed list of (document, frequency). The
 two meet in a join on the pre-token; a frequent pre-token has one row a block, and Spark splits skewed joins.
-Sums per document follow with partial aggregation. No ids are kept, and nothing goes through the driver.
+Sums per document follow, pre-aggregated. Pre-tokens that are entries of the vocabulary (a fixed table) are counted in
+the second pass itself. No ids are kept, and nothing goes through the driver.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+from itertools import chain
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -15,24 +19,46 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from godown.llm.pretok import Splitter, special_tokens, text_batches, words_for
+from godown.llm.pretok import Splitter, byte_chars, special_tokens, text_batches, words_for
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-#: Characters of text whose pre-tokens are listed together (memory of a task, not a limit on anything).
-BLOCK_CHARS = 16_000_000
+#: Characters of text, and documents, whose pre-tokens are listed together (memory of a task, not a limit on anything).
+BLOCK_CHARS, BLOCK_DOCS = 32_000_000, 65_535
+#: Blocks whose sums a task holds before it passes them on.
+HELD_BLOCKS = 128
+
+
+@lru_cache(2)
+def known_words(vocabulary: str) -> dict[str, int]:
+    """Pieces of those pre-tokens that are entries of the vocabulary, as the library counts them."""
+    tokenizer = words_for(vocabulary).tokenizer
+    byte_of = {c: b for b, c in enumerate(byte_chars())}
+    specials = special_tokens(vocabulary)
+    words = []
+    for t in tokenizer.get_vocab():
+        try:
+            words.append(t if t in specials else bytes(byte_of[c] for c in t).decode())
+        except UnicodeDecodeError:
+            continue
+    return {w: len(e.ids) for w, e in zip(words, tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True)}
 
 
 def _distinct(vocabulary: str):
     def run(batches):
-        split = Splitter(special_tokens(vocabulary)).split
-        words: set[str] = {""}
+        splitter, known = Splitter(special_tokens(vocabulary)), known_words(vocabulary)
+
+        def words(chunks):
+            own = {w for c in chunks for w in splitter.split(c)} - known.keys()
+            return pa.record_batch([pa.array(list(own), pa.string())], names=["word"])
+
+        chunks: set[str] = set()
         for b in batches:
             for t in b.column(0).to_pylist():
-                words.update(split(t) if t else ())
-                if len(words) > 300_000:
-                    yield pa.record_batch([pa.array(list(words), pa.string())], names=["word"])
-                    words = set()
-        yield pa.record_batch([pa.array(list(words), pa.string())], names=["word"])
+                chunks.update(splitter.chunks(t) if t else ())
+                if len(chunks) > 600_000:
+                    yield words(chunks)
+                    chunks = set()
+        yield words(chunks)
     return run
 
 
@@ -46,49 +72,100 @@ def _count(vocabulary: str):
     return run
 
 
-def _frequencies(vocabulary: str):
-    """Rows (word, base, postings, ids): a posting is row << 32 | frequency, a row is counted from ``base``.
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers, and where each list starts."""
+    return (np.fromiter(chain.from_iterable(lists), np.int64), np.concatenate([[0], np.cumsum([len(x) for x in lists])]))
 
-    The word '' carries the documents themselves: their ids, and their bytes as frequencies.
+
+def _block(ids: list, texts: list, base: int, splitter: Splitter, known: dict[str, int]):
+    """Rows (word, base, packed) of a block. ``packed`` holds the documents as 16-bit numbers, then as many frequencies of
+    one byte (a larger one takes several places). The word '' carries id, bytes and known pieces of every document.
     """
-    def block(ids: list, texts: list, base: int, split) -> pa.RecordBatch:
-        number: dict[str, int] = {}
-        parts, rows, sizes = [], [], []
-        for r, t in enumerate(texts):
-            sizes.append(len(t.encode()) if t else 0)
-            if t:
-                own = [number.setdefault(w, len(number)) for w in split(t)]
-                parts.append(np.array(own, np.int64))
-                rows.append(np.full(len(own), r, np.int64))
-        word, row = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (parts, rows))
-        key, freq = np.unique(word * len(texts) + row, return_counts=True)
-        starts = np.searchsorted(key, np.arange(len(number) + 1) * len(texts))
-        postings = np.concatenate([key % len(texts) << 32 | freq, np.arange(len(texts)) << 32 | np.array(sizes)])
-        offsets = np.append(starts, len(postings)).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(postings.astype(np.int64)))
-        own_ids = pa.array([None] * len(number) + [ids], pa.list_(pa.int64()))
-        return pa.record_batch([pa.array([*number, ""], pa.string()), pa.array([base] * (len(number) + 1), pa.int64()),
-                                lists, own_ids], names=["word", "base", "postings", "ids"])
+    chunk_no: dict[str, int] = {}
+    cut = [[chunk_no.setdefault(c, len(chunk_no)) for c in splitter.chunks(t)] if t else [] for t in texts]
+    chunk, doc_at = _flat(cut)
+    doc = np.repeat(np.arange(len(texts)), np.diff(doc_at))
+    word_no: dict[str, int] = {}
+    word, word_at = _flat([[word_no.setdefault(w, len(word_no)) for w in splitter.split(c)] for c in chunk_no])
+    length = np.diff(word_at)[chunk]  # words of each chunk in the texts
+    start = np.cumsum(length) - length
+    at = np.arange(length.sum()) - np.repeat(start, length) + np.repeat(word_at[chunk], length)
+    key, freq = np.unique(word[at] * len(texts) + np.repeat(doc, length), return_counts=True)
+    of_word, of_doc = np.divmod(key, len(texts))
+    names = list(word_no)
+    pieces = np.array([known.get(w, 0) for w in names], np.int64)
+    sure = np.zeros(len(texts), np.int64)
+    np.add.at(sure, of_doc, freq * pieces[of_word])
+    sizes = np.array([len(t.encode()) if t else 0 for t in texts], np.int64)
+    null = np.array([i is None for i in ids], np.int64)
+    own = np.concatenate([np.array([i or 0 for i in ids], np.int64), null, sizes, sure]).astype("<i8").tobytes()
+    yield pa.record_batch([pa.array([""]), pa.array([base]), pa.array([own], pa.binary())], names=["word", "base", "packed"])
+    times = -(-freq // 255)  # places of one byte
+    part = np.full(times.sum(), 255)
+    part[np.cumsum(times) - 1] = freq - 255 * (times - 1)
+    of_doc, of_word = np.repeat(of_doc, times).astype("<u2"), np.repeat(of_word, times)
+    part, bounds = part.astype(np.uint8), np.searchsorted(of_word, np.arange(len(names) + 1)).tolist()
+    rare = np.flatnonzero(pieces == 0).tolist()
+    for k in range(0, len(rare), 20_000):
+        some = rare[k:k + 20_000]
+        packed = [of_doc[bounds[w]:bounds[w + 1]].tobytes() + part[bounds[w]:bounds[w + 1]].tobytes() for w in some]
+        yield pa.record_batch([pa.array([names[w] for w in some], pa.string()), pa.array([base] * len(some), pa.int64()),
+                               pa.array(packed, pa.binary())], names=["word", "base", "packed"])
+
 
+def _frequencies(vocabulary: str):
     def run(batches):
-        split = Splitter(special_tokens(vocabulary)).split
+        splitter, known = Splitter(special_tokens(vocabulary)), known_words(vocabulary)
         base = TaskContext.get().partitionId() << 40
         ids, texts, size = [], [], 0
         for b in batches:
             new, new_ids = b.column(1).to_pylist(), b.column(0).to_pylist()
-            for i, j in text_batches(new, BLOCK_CHARS // 8):
-                ids += new_ids[i:j]
-                texts += new[i:j]
-                size += sum(len(t) for t in new[i:j] if t)
-                if size >= BLOCK_CHARS:
-                    yield block(ids, texts, base, split)
+            for i, j in text_batches(new, BLOCK_CHARS // 16):
+                own = sum(len(t) for t in new[i:j] if t)
+                if ids and (size + own > BLOCK_CHARS or len(ids) + j - i > BLOCK_DOCS):
+                    yield from _block(ids, texts, base, splitter, known)
                     base += len(ids)
                     ids, texts, size = [], [], 0
+                ids += new_ids[i:j]
+                texts += new[i:j]
+                size += own
         if ids:
-            yield block(ids, texts, base, split)
+            yield from _block(ids, texts, base, splitter, known)
     return run
 
 
+def _sums(batches):
+    """(row, tokens, doc_id, n_bytes): parts of the sums of documents, and the documents themselves."""
+    names = ["row", "tokens", "doc_id", "n_bytes"]
+    held: dict[int, np.ndarray] = {}
+
+    def passed_on():
+        for base, sums in held.items():
+            at = np.flatnonzero(sums)
+            nulls = pa.nulls(len(at), pa.int64())
+            yield pa.record_batch([pa.array(at + base), pa.array(sums[at]), nulls, nulls], names=names)
+        held.clear()
+
+    for b in batches:
+        for word, base, packed, pieces in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if word == "":
+                ids, null, sizes, sure = np.frombuffer(packed, "<i8").reshape(4, -1)
+                yield pa.record_batch([pa.array(np.arange(len(ids)) + base), pa.array(sure),
+                                       pa.array(ids, mask=null.astype(bool)), pa.array(sizes)], names=names)
+                continue
+            n = len(packed) // 3
+            if base not in held:
+                if len(held) >= HELD_BLOCKS:
+                    yield from passed_on()
+                held[base] = np.zeros(BLOCK_DOCS, np.int64)
+            docs = np.frombuffer(packed, "<u2", n)
+            if n == 1:
+                held[base][docs[0]] += packed[2] * pieces
+            else:
+                np.add.at(held[base], docs, np.frombuffer(packed, np.uint8, n, 2 * n).astype(np.int64) * pieces)
+    yield from passed_on()
+
+
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY,
                  limit: int = 1024) -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens and over_limit (n_tokens > ``limit``), one row per input row.
@@ -101,16 +178,12 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     pieces = (rows.select("text").mapInArrow(_distinct(vocabulary), "word string").distinct()
               .mapInArrow(_count(vocabulary), "word string, pieces long"))
-    freq = rows.mapInArrow(_frequencies(vocabulary), "word string, base long, postings array<long>, ids array<long>")
-    each = (freq.join(pieces, "word")
-            .select("word", "pieces", "base", "ids", F.posexplode("postings").alias("at", "posting"))
-            .select((F.col("base") + F.shiftright("posting", 32)).alias("row"),
-                    F.col("posting").bitwiseAND(F.lit(0xFFFFFFFF)).alias("n"), "pieces",
-                    F.get("ids", F.col("at")).alias("doc_id"), (F.col("word") == "").alias("own")))
-    return (each.groupBy("row")
-            .agg(F.max("doc_id").alias("doc_id"),
-                 F.max(F.when(F.col("own"), F.col("n"))).alias("n_bytes"),
-                 F.sum(F.when(F.col("own"), F.lit(0)).otherwise(F.col("n") * F.col("pieces"))).alias("n_tokens"))
+    freq = rows.mapInArrow(_frequencies(vocabulary), "word string, base long, packed binary")
+    documents = docs.sparkSession.range(1).select(F.lit("").alias("word"), F.col("id").alias("pieces"))
+    sums = (freq.join(pieces.unionByName(documents), "word").select("word", "base", "packed", "pieces")
+            .mapInArrow(_sums, "row long, tokens long, doc_id long, n_bytes long"))
+    return (sums.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"),
+                                    F.sum("tokens").alias("n_tokens"))
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
 
 
