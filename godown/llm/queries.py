@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from godown.llm.arc_warc import op4_arc_to_warc
 from godown.llm.bfd_pack import op1_bfd_pack
 from godown.llm.byte_bpe import op6_byte_bpe
 from godown.llm.int8_neardup import op7_int8_neardup
+from godown.llm.lang_fusion import op3_language_fusion
 from godown.llm.mcd_quality import op2_mcd_quality
 from godown.llm.ngram_jaccard import op5_ngram_jaccard
 from godown.llm.ordered_pack import op9_ordered_pack
+from godown.llm.quote_links import op8_quote_links
 from godown.llm.token_counts import op10_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_bfd_pack, op2_mcd_quality, op5_ngram_jaccard, op6_byte_bpe, op7_int8_neardup, op9_ordered_pack, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (
+    op1_bfd_pack, op2_mcd_quality, op3_language_fusion, op4_arc_to_warc, op5_ngram_jaccard, op6_byte_bpe, op7_int8_neardup,
+    op8_quote_links, op9_ordered_pack, op10_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
