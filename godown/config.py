@@ -1,13 +1,13 @@
 """Parameters of the analytics build.
 
-Dates and thresholds are arguments, never literals inside a query: the defaults below describe the
-driver tables (orders from 1995-01-01 to 2001-08-01, stock ledger to 2001-08-31).
+Thresholds are arguments, never literals inside a query. The calendar of a build comes from its data
+(``Calendar.covering``): a flow on a later date moves the end, and none is left out.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, timedelta
 
 # ---------------------------------------------------------------------------------------------------
 # These must equal the definitions the analyses are specified with.
@@ -49,6 +49,7 @@ FEATURES_NUMERIC = ("cover_days", "pipeline_cover_days", "stock_to_reorder_point
                     "supplier_on_time_180d", "supplier_lead_sd_180d", "days_to_festival")
 FEATURES_CATEGORICAL = ("category", "abc_class", "dc_id")
 
+# The reason texts are outputs that must match.
 # reason label, feature, reference value ("median" = median over labelled history)
 REASONS = (
     ("low stock cover", "cover_days", "median"),
@@ -73,5 +74,19 @@ class Calendar:
     test_start: date = date(2000, 1, 1)
     opening_stock: int = 50
 
+    @classmethod
+    def covering(cls, first: date, last: date) -> Calendar:
+        """Whole months from the first to the last day of any flow; snapshots from the second month on; a test
+        period from the start of the last year but one, and training up to half a year before it."""
+        start = first.replace(day=1)
+        end = _next_month(last) - timedelta(days=1)
+        return cls(start=start, end=end, snapshot_from=_next_month(start),
+                   festival_days=tuple(date(y, 11, 1) for y in range(start.year, end.year + 1)),
+                   train_end=date(end.year - 2, 6, 30), test_start=date(end.year - 1, 1, 1))
+
+
+def _next_month(d: date) -> date:
+    return date(d.year + d.month // 12, d.month % 12 + 1, 1)
+
 
 DEFAULT = Calendar()

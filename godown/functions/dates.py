@@ -23,8 +23,3 @@ def month_start(d: Column) -> Column:
 
 def is_monday(d: Column) -> Column:
     return F.weekday(d) == 0
-
-
-def days_between(a: Column, b: Column) -> Column:
-    """Whole days from ``a`` to ``b`` (``b - a``) as an integer, never an interval."""
-    return F.datediff(b, a)

@@ -15,8 +15,3 @@ def capped_ratio(a: Column, b: Column, cap: float) -> Column:
     """``least(a / nullif(b, 0), cap)``: a zero or null denominator gives the cap, because ``least``
     skips nulls."""
     return F.least(safe_div(a, b), F.lit(float(cap)))
-
-
-def int_flag(c: Column) -> Column:
-    """Boolean as 0/1 (null stays null)."""
-    return c.cast("int")

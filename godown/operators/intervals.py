@@ -24,11 +24,6 @@ def open_deltas(intervals: DataFrame, keys: list[str], start: str, end: str, qty
             .groupBy(*keys, F.col("e.d").alias(day)).agg(F.sum("e.q").alias("open_delta")))
 
 
-def running_total(c: Column, keys: list[str], day: str) -> Column:
-    return F.sum(c).over(Window.partitionBy(*keys).orderBy(day)
-                         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-
 def day_number(c: Column) -> Column:
     return F.unix_date(c)
 

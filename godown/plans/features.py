@@ -7,8 +7,6 @@ Monday filter sits above the windows, so it never changes what a window sees.
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,7 +91,7 @@ def stockout_snapshots(stock: DataFrame, items: DataFrame, pos: DataFrame, festi
                        cal: Calendar = DEFAULT, horizon: int = HORIZON_DAYS) -> DataFrame:
     """One row per Monday x centre x item: state, 8 numeric features, and the censored label."""
     snap = weekly_snapshots(stock, cal)
-    snap = snap.join(F.broadcast(items.select("item_id", "category", "abc_class", "supplier_id")), "item_id")
+    snap = snap.join(items.select("item_id", "category", "abc_class", "supplier_id"), "item_id")
     sup = supplier_trailing(pos, snap.select("date", "supplier_id"))
     fest = days_to_festival(snap.select("date"), festivals)
     known = F.date_add(F.col("date"), horizon) <= F.lit(cal.end)
@@ -113,15 +111,3 @@ def stockout_snapshots(stock: DataFrame, items: DataFrame, pos: DataFrame, festi
                     known.alias("outcome_known"),
                     F.when(known, F.col("out_next_14d").cast("int")).alias("stockout_14d"),
                     "open_po_units", "demand_28d", "demand_7d", "demand_sd_28d"))
-
-
-def model_features(spark) -> DataFrame:
-    """The feature registry as a small table (name, kind)."""
-    from godown.config import FEATURES_CATEGORICAL, FEATURES_NUMERIC
-    rows = [(f, "numeric") for f in FEATURES_NUMERIC] + [(f, "categorical") for f in FEATURES_CATEGORICAL]
-    return spark.createDataFrame(rows, "feature string, kind string")
-
-
-def label_end(cal: Calendar, horizon: int = HORIZON_DAYS):
-    """Last snapshot day with a known outcome."""
-    return cal.end - timedelta(days=horizon)

@@ -23,24 +23,29 @@ class Scope:
     warehouse: str = ALL      # dc_city
     period: str = ALL         # fiscal year label
     category: str = ALL
-    week: date | None = None  # as-of week for snapshot rows
+    week: date | None = None  # as-of week for snapshot rows; None is the latest snapshot week
 
 
-def _common(s: Scope) -> Column:
+def as_of(snapshots: DataFrame, day: str, s: Scope) -> Column:
+    """The scope's week, or the latest ``day`` of the snapshots."""
+    return F.lit(s.week) if s.week is not None else snapshots.select(F.max(day)).scalar()
+
+
+def _common(wb: DataFrame, s: Scope) -> Column:
     cat = F.lit(True) if s.category == ALL else (F.col("category") == s.category)
     fy = F.lit(True) if s.period == ALL else (F.col("fiscal_year") == s.period)
-    week = F.lit(True) if s.week is None else (F.col("period_date") == F.lit(s.week))
+    week = F.col("period_date") == as_of(wb.filter(F.col("record_type") == "Snapshot"), "period_date", s)
     return cat & F.when(F.col("record_type") == "Snapshot", week).otherwise(fy)
 
 
-def in_scope(s: Scope) -> Column:
+def in_scope(wb: DataFrame, s: Scope) -> Column:
     wh = F.lit(True) if s.warehouse == ALL else (F.col("dc_city") == s.warehouse)
-    return wh & _common(s)
+    return wh & _common(wb, s)
 
 
-def in_scope_on_map(s: Scope) -> Column:
+def in_scope_on_map(wb: DataFrame, s: Scope) -> Column:
     """The map ignores the warehouse parameter and drops supplier rows."""
-    return (F.col("record_type") != "Supplier") & _common(s)
+    return (F.col("record_type") != "Supplier") & _common(wb, s)
 
 
 def _snap(c: str = "record_type") -> Column:
@@ -53,14 +58,14 @@ def _high() -> Column:
 
 def kpis(wb: DataFrame, s: Scope) -> DataFrame:
     """OTIF, lead time, inventory turnover, carrying cost and average stock (lakh), products at risk."""
-    x = wb.filter(in_scope(s))
+    x = wb.filter(in_scope(wb, s))
     products, high = F.sum(_snap()), F.sum(_high())
     return x.agg(
         safe_div(F.sum("otif_lines"), F.sum("lines")).alias("otif"),
         safe_div(F.sum("lead_days_sum"), F.sum("lines")).alias("lead_time_days"),
         F.round(safe_div(F.sum("cogs") * 365, F.sum("stock_value_days")), 9).alias("inventory_turnover"),
-        F.round(F.sum("carrying_cost") / 100000, 9).alias("carrying_cost_lakh"),
-        F.round(safe_div(F.sum("stock_value_days"), F.sum("days")) / 100000, 9).alias("average_stock_lakh"),
+        F.round(F.sum("carrying_cost") / 100000, 6).alias("carrying_cost_lakh"),
+        F.round(safe_div(F.sum("stock_value_days"), F.sum("days")) / 100000, 6).alias("average_stock_lakh"),
         products.alias("products"), high.alias("high_risk"), safe_div(high, products).alias("high_risk_share"))
 
 
@@ -84,15 +89,15 @@ def kpis_from_facts(b, s: Scope, scores: DataFrame) -> DataFrame:
     cogs = keep(b.fact_order_lines.join(dc, "dc_id").join(days.withColumnRenamed("date", "ship_date"), "ship_date")) \
         .select(F.sum("cogs").cast("double")).scalar()
     items = b.dim_item.select("item_id", "category")
-    sc = scores.filter(F.col("snapshot_date") == F.lit(s.week)) if s.week else scores
-    sc = keep(sc.join(dc, "dc_id").join(F.broadcast(items), "item_id"), by_period=False)
+    sc = scores.filter(F.col("snapshot_date") == as_of(scores, "snapshot_date", s))
+    sc = keep(sc.join(dc, "dc_id").join(items, "item_id"), by_period=False)
     risk = sc.select(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(F.col("risk_band") == "High").alias("h"))).scalar()
     lane_row = lines.select(F.struct(F.avg(F.col("otif").cast("int")).alias("otif"), F.sum("lead_days").alias("ld"),
                                      F.count(F.lit(1)).alias("n"))).scalar()
     return b.spark.range(1).select(
         lane_row["otif"].alias("otif"), (lane_row["ld"] / lane_row["n"]).alias("lead_time_days"),
         F.round(cogs * 365 / stock["v"], 9).alias("inventory_turnover"),
-        F.round(stock["c"] / 100000, 9).alias("carrying_cost_lakh"),
+        F.round(stock["c"] / 100000, 6).alias("carrying_cost_lakh"),
         risk["n"].alias("products"), risk["h"].alias("high_risk"))
 
 
@@ -102,7 +107,7 @@ def otif_band(otif: Column) -> Column:
 
 def lane_otif_band(wb: DataFrame, s: Scope) -> DataFrame:
     """One value per lane across both map points (the point order is excluded from the grain)."""
-    lanes = wb.filter(in_scope_on_map(s) & (F.col("record_type") == "Lane"))
+    lanes = wb.filter(in_scope_on_map(wb, s) & (F.col("record_type") == "Lane"))
     otif = safe_div(F.sum("otif_lines"), F.sum("lines"))
     return (lanes.groupBy("lane_id")
             .agg(F.max("city").alias("lane_city"), otif.alias("lane_otif"),
@@ -113,7 +118,7 @@ def lane_otif_band(wb: DataFrame, s: Scope) -> DataFrame:
 
 def risk_gauge(wb: DataFrame, s: Scope) -> DataFrame:
     """Products at Watch and High risk per warehouse, for the as-of week."""
-    x = wb.filter(in_scope(s) & (F.col("record_type") == "Snapshot"))
+    x = wb.filter(in_scope(wb, s) & (F.col("record_type") == "Snapshot"))
     return x.groupBy("dc_city").agg(F.count_if(F.col("risk_band") == "Watch").alias("watch"),
                                     F.count_if(F.col("risk_band") == "High").alias("high"),
                                     F.count(F.lit(1)).alias("products"))
@@ -121,7 +126,7 @@ def risk_gauge(wb: DataFrame, s: Scope) -> DataFrame:
 
 def map_points(wb: DataFrame, s: Scope) -> DataFrame:
     """One circle per map point: size, high-risk share band and the tooltip note."""
-    x = wb.filter(in_scope_on_map(s))
+    x = wb.filter(in_scope_on_map(wb, s))
     g = x.groupBy("map_point").agg(F.sum(_snap()).alias("products"), F.sum(_high()).alias("high_risk"),
                                    F.min("dc_city").alias("served_by"))
     share = safe_div(F.col("high_risk"), F.col("products"))
@@ -138,7 +143,7 @@ def map_points(wb: DataFrame, s: Scope) -> DataFrame:
 
 def watch_list(wb: DataFrame, s: Scope) -> DataFrame:
     """High-risk products at warehouses, highest score first."""
-    x = wb.filter(in_scope(s) & (F.col("record_type") == "Snapshot") & (F.col("risk_band") == "High"))
+    x = wb.filter(in_scope(wb, s) & (F.col("record_type") == "Snapshot") & (F.col("risk_band") == "High"))
     return (x.select(item_label(F.col("sku"), F.col("dc_city")).alias("item"), "sku", "dc_id", "dc_city",
                      "risk_score", "cover_days", "reasons")
             .orderBy(F.desc("risk_score"), "dc_id", "sku"))
@@ -146,7 +151,7 @@ def watch_list(wb: DataFrame, s: Scope) -> DataFrame:
 
 def supplier_scorecard(wb: DataFrame, s: Scope) -> DataFrame:
     """On time, days late against the quote, defects and in-full rate per supplier, least on time first."""
-    x = wb.filter(in_scope(s) & (F.col("record_type") == "Supplier"))
+    x = wb.filter(in_scope(wb, s) & (F.col("record_type") == "Supplier"))
     return (x.groupBy("supplier_id", "supplier")
             .agg(safe_div(F.sum("pos_on_time"), F.sum("pos")).alias("on_time"),
                  safe_div(F.sum("po_lead_days_sum") - F.sum("po_quoted_days_sum"), F.sum("pos")).alias("days_late"),

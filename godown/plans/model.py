@@ -1,9 +1,10 @@
 """Dimensions and facts: date dimension, ABC classes, order-line, order, purchase-order, daily demand
 and daily stock facts.
 
-``Build`` wires the staged exports into every derived table lazily; each property is a DataFrame and
-nothing runs until an action. Reused frames are the same Python objects, so Spark reuses their
-exchanges inside one plan.
+``Build`` wires the staged exports into every derived table; each property is a DataFrame. Reused frames are the
+same Python objects, so Spark reuses their exchanges inside one plan. The calendar (first and last day of any
+flow), prefix sums, the ledger and the snapshots are computed when they are first asked for; all else runs
+with the action.
 """
 
 from __future__ import annotations
@@ -27,11 +28,12 @@ SERIES = ["dc_id", "item_id"]
 
 
 # ------------------------------------------------------------------------------------------ dimensions
-def date_dimension(spark: SparkSession, cal: Calendar = DEFAULT) -> DataFrame:
-    """One row per day of the calendar (start and end included): week, month, fiscal year."""
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(cal.start), F.lit(cal.end))).alias("date"))
+def date_dimension(span: DataFrame, fiscal_start_month: int = DEFAULT.fiscal_start_month) -> DataFrame:
+    """One row per day of the whole months that ``span`` (first_day, last_day) covers: week, month, fiscal year."""
+    whole = F.sequence(F.trunc("first_day", "month"), F.last_day("last_day"))
+    days = span.filter(F.col("first_day").isNotNull()).select(F.explode(whole).alias("date"))
     return days.select("date", week_start(F.col("date")).alias("week_start"), month_start(F.col("date")).alias("month"),
-                       fiscal_year_label(F.col("date"), cal.fiscal_start_month).alias("fiscal_year"))
+                       fiscal_year_label(F.col("date"), fiscal_start_month).alias("fiscal_year"))
 
 
 def festival_days(spark: SparkSession, cal: Calendar = DEFAULT) -> DataFrame:
@@ -151,8 +153,9 @@ def stock_daily(grid: DataFrame, lines: DataFrame, receipts: DataFrame, pos: Dat
     moved = (shaped(demand, demand=1, line_shipped=1)
              .unionByName(shaped(accepted, accepted=1))
              .unionByName(shaped(po_open, open_delta=1))
-             # flows outside the calendar have no stock row to land on
-             .filter(F.col("date").between(F.lit(cal.start), F.lit(cal.end)))
+             # a flow outside a given calendar has no stock row to land on: an error, never a dropped row
+             .withColumn("date", F.when(F.col("date").between(F.lit(cal.start), F.lit(cal.end)), F.col("date"))
+                         .otherwise(F.raise_error(F.concat(F.lit("a flow lies outside the calendar: "), F.col("date").cast("string")))))
              .repartition(n, *SERIES))
     flows = (shaped(grid.select(*SERIES, "date")).unionByName(moved)
              .groupBy(*SERIES, "date")
@@ -202,7 +205,7 @@ def with_trailing_columns(led: DataFrame, horizon: int = 14) -> DataFrame:
 def fact_inventory_daily(stock: DataFrame, items: DataFrame, carry_rate: float = CARRY_RATE) -> DataFrame:
     """Stock value and state per series and day."""
     value = F.col("on_hand") * F.col("unit_cost")
-    return (stock.join(F.broadcast(items.select("item_id", "category", "unit_cost")), "item_id")
+    return (stock.join(items.select("item_id", "category", "unit_cost"), "item_id")
             .select("date", "dc_id", "item_id", "category", "on_hand", "reorder_point",
                     value.alias("stock_value"),
                     (value.cast("double") * carry_rate / 365).alias("carrying_cost"),
@@ -221,9 +224,9 @@ class Build:
     ``materialize=False`` keeps everything as one lazy plan.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str | None = None, cal: Calendar = DEFAULT,
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, cal: Calendar | None = None,
                  exports: dict[str, DataFrame] | None = None, materialize: bool = True):
-        self.spark, self.sf_dir, self.cal = spark, sf_dir, cal
+        self.spark, self.sf_dir, self._cal = spark, sf_dir, cal
         self._exports = exports
         self.materialize = materialize
         self._kept: list[DataFrame] = []
@@ -244,6 +247,24 @@ class Build:
             df.unpersist()
         self._kept.clear()
 
+    @cached_property
+    def span(self) -> DataFrame:
+        """One row: the first and the last day of any order, shipment or receipt."""
+        def ends(df, *days):
+            return df.select(F.least(*days).alias("first_day"), F.greatest(*days).alias("last_day"))
+        seen = (ends(self.stg_sales_orders, "order_date", "order_date")
+                .unionByName(ends(self.stg_shipments, "ship_date", "delivered_date"))
+                .unionByName(ends(self.stg_goods_receipts, "received_date", "received_date")))
+        return self._cut(seen.agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day")))
+
+    @cached_property
+    def cal(self) -> Calendar:
+        """The given calendar, or the whole months of ``span``."""
+        if self._cal is not None:
+            return self._cal
+        first, last = self.span.first()
+        return Calendar.covering(first, last) if first else DEFAULT
+
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
         if self._exports is not None:
@@ -277,7 +298,11 @@ class Build:
 
     # dimensions
     @cached_property
-    def dim_date(self): return date_dimension(self.spark, self.cal)
+    def dim_date(self):
+        given = self._cal
+        span = self.span if given is None else self.spark.createDataFrame(
+            [(given.start, given.end)], "first_day date, last_day date")
+        return date_dimension(span, self.cal.fiscal_start_month)
     @cached_property
     def dim_dc(self): return self.stg_warehouses
     @cached_property

@@ -24,22 +24,22 @@ def centres_array(dcs: DataFrame) -> Column:
 
 def nearest_centre(points: DataFrame, dcs: DataFrame, key: str) -> DataFrame:
     """Nearest centre by road distance for each point (ties to the smaller centre id), and the
-    standard transit max(1, ceil(km / 450)) days."""
+    standard transit max(1, ceil(whole km / 450)) days."""
     # the array is projected first: a subquery cannot sit inside a lambda
     dist = F.transform(F.col("_centres"), lambda c: F.struct(
         road_km(F.col("lat"), F.col("lon"), c["lat"], c["lon"]).alias("km"), c["dc_id"].alias("dc_id")))
     best = F.array_min(dist)
     return points.withColumn("_centres", centres_array(dcs)).select(
         key, best["dc_id"].alias("nearest_dc"), best["km"].alias("road_km"),
-                         F.greatest(F.lit(1), F.ceil(best["km"] / TRANSIT_KM_PER_DAY)).cast("int").alias("std_transit_days"))
+                         F.greatest(F.lit(1), F.ceil(F.round(best["km"]) / TRANSIT_KM_PER_DAY)).cast("int").alias("std_transit_days"))
 
 
 def quoted_lead_time(suppliers: DataFrame, dcs: DataFrame) -> DataFrame:
-    """5 + floor(distance to the farthest centre / 600) days."""
+    """5 + floor(whole km to the farthest centre / 600) days."""
     dist = F.transform(F.col("_centres"), lambda c: road_km(F.col("lat"), F.col("lon"), c["lat"], c["lon"]))
     far = F.array_max(dist)
     return suppliers.withColumn("_centres", centres_array(dcs)).select("supplier_id", far.alias("max_km"),
-                            (F.lit(QUOTE_BASE_DAYS) + F.floor(far / QUOTE_KM_PER_DAY)).cast("int").alias("quoted_lead_days"))
+                            (F.lit(QUOTE_BASE_DAYS) + F.floor(F.round(far) / QUOTE_KM_PER_DAY)).cast("int").alias("quoted_lead_days"))
 
 
 def reorder_point(stock: DataFrame, items: DataFrame, suppliers: DataFrame, safety: float = 1.0) -> DataFrame:

@@ -12,18 +12,17 @@ from pyspark.sql import functions as F
 
 from godown.config import FEATURES_NUMERIC, REASONS
 from godown.plans import metrics, ml
+from godown.plans.oracle import TEST_START, TRAIN_END
 from godown.plans.registry import query
 
 KEYS = ["snapshot_date", "dc_id", "item_id"]
-TEST_START = "2000-01-01"
-TRAIN_END = "1999-06-30"
 
 TEST_SQL = f""",
 test AS (
   SELECT s.snapshot_date, s.dc_id, s.item_id, CAST(s.stockout_14d AS DOUBLE) AS label, c.risk_score AS score,
          CAST(s.below_reorder_point AS DOUBLE) AS rule
   FROM stockout_snapshots s JOIN stockout_scores c USING (snapshot_date, dc_id, item_id)
-  WHERE s.outcome_known AND s.snapshot_date >= DATE '{TEST_START}'),
+  WHERE s.outcome_known AND s.snapshot_date >= {TEST_START}),
 scored AS (
   SELECT 'baseline score' AS score_name, label, score FROM test
   UNION ALL SELECT 'reorder-point rule', label, rule FROM test),
@@ -55,8 +54,8 @@ def _union(frames):
 
 @query("temporal_split", f"""
 SELECT split, count(*) AS rows, CAST(sum(stockout_14d) AS BIGINT) AS positives FROM (
-  SELECT CASE WHEN snapshot_date <= DATE '{TRAIN_END}' THEN 'train' ELSE 'test' END AS split, stockout_14d
-  FROM stockout_snapshots WHERE outcome_known AND (snapshot_date <= DATE '{TRAIN_END}' OR snapshot_date >= DATE '{TEST_START}'))
+  SELECT CASE WHEN snapshot_date <= {TRAIN_END} THEN 'train' ELSE 'test' END AS split, stockout_14d
+  FROM stockout_snapshots WHERE outcome_known AND (snapshot_date <= {TRAIN_END} OR snapshot_date >= {TEST_START}))
 GROUP BY ALL""")
 def temporal_split(b):
     _, train, test = ml.temporal_split(b.stockout_snapshots, b.cal)

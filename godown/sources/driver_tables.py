@@ -13,10 +13,10 @@ Mapping (region = distribution centre, nation = delivery city, part = product, o
   sales orders     order date = o_orderdate, promised = order date + 1 + transit days
   shipments        ship = order date (+1 when key mod 3 = 0); delivered = ship + transit (+2 when key mod 5 = 0)
   order lines      lineitem summed by (order, part); a returned line ('R') ships a quarter short
-  purchase orders  one per order line, po_id = order_id * 1,000,000 + sku, placed on the order date with
-                   the product's supplier, promised after the quoted lead; dates written day first
-  goods receipts   none when po_id mod 101 = 0; split in two when po_id mod 7 = 0; 90% when mod 11 = 0;
-                   5% rejected when mod 13 = 0
+  purchase orders  one per order line, po_id = 'order_id-sku' (a pair, so that no two collide), placed on the
+                   order date with the product's supplier, promised after the quoted lead; dates written day first
+  goods receipts   by the number k = order_id * 1,000,000 + sku, of which only remainders are formed: none when
+                   k mod 101 = 0; split in two when k mod 7 = 0; 90% when mod 11 = 0; 5% rejected when mod 13 = 0
 The stock ledger (inventory_daily) is replayed from these flows by ``godown.plans.stock``.
 """
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from godown.functions.geo import road_km
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-PO_KEY_MULTIPLIER = 1_000_000
+PO_RULE_MULTIPLIER = 1_000_000
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -124,26 +124,31 @@ def purchase_orders_typed(lines: DataFrame, headers: DataFrame, products_: DataF
     return (lines.join(headers.select("order_id", "dc_id", "order_date"), "order_id")
             .join(products_.select("sku", "supplier_id"), "sku")
             .join(lead, "supplier_id")
-            .select((F.col("order_id") * PO_KEY_MULTIPLIER + F.col("sku")).alias("po_id"),
-                    "supplier_id", "dc_id", "sku", "order_date",
+            .select(F.concat_ws("-", F.col("order_id").cast("string"), F.col("sku").cast("string")).alias("po_id"),
+                    "order_id", "supplier_id", "dc_id", "sku", "order_date",
                     F.date_add("order_date", F.col("quoted_lead_days")).alias("promised_date"),
                     "qty_ordered", "quoted_lead_days"))
 
 
+def _po_mod(n: int) -> F.Column:
+    """(order_id * PO_RULE_MULTIPLIER + sku) mod n, from the parts (no product that could overflow)."""
+    return (F.col("order_id") % n * (PO_RULE_MULTIPLIER % n) + F.col("sku") % n) % n
+
+
 def goods_receipts(po: DataFrame) -> DataFrame:
     """One or two receipts per purchase order, generated in a single pass (array + explode)."""
-    p, q, lead = F.col("po_id"), F.col("qty_ordered"), F.col("quoted_lead_days")
-    p4 = (p % 4).cast("int")
-    split = p % 7 == 0
-    first_qty = (F.when(split, F.floor(q / 2)).when(p % 11 == 0, F.floor(q * 9 / 10)).otherwise(q)).cast("int")
+    q, lead = F.col("qty_ordered"), F.col("quoted_lead_days")
+    p4 = _po_mod(4).cast("int")
+    split = _po_mod(7) == 0
+    first_qty = (F.when(split, F.floor(q / 2)).when(_po_mod(11) == 0, F.floor(q * 9 / 10)).otherwise(q)).cast("int")
     first = F.struct(F.date_add("order_date", lead - 1 + p4).alias("received_date"), first_qty.alias("qty"))
     second = F.when(split, F.struct(F.date_add("order_date", lead + 2 + p4).alias("received_date"),
                                     (q - F.floor(q / 2)).cast("int").alias("qty")))
-    r = (po.filter(p % 101 != 0)
-         .select("po_id", F.explode(F.filter(F.array(first, second), lambda x: x.isNotNull())).alias("r")))
+    r = (po.filter(_po_mod(101) != 0)
+         .select("po_id", (_po_mod(13) == 0).alias("rejects"), F.explode(F.filter(F.array(first, second), lambda x: x.isNotNull())).alias("r")))
     got = F.col("r.qty")
     return r.select("po_id", F.col("r.received_date").alias("received_date"), got.alias("qty_received"),
-                    F.when(F.col("po_id") % 13 == 0, F.floor(got / 20)).otherwise(0).cast("int").alias("qty_rejected"))
+                    F.when(F.col("rejects"), F.floor(got / 20)).otherwise(0).cast("int").alias("qty_rejected"))
 
 
 def raw_exports(spark: SparkSession, sf_dir: str, keep=lambda df: df) -> dict[str, DataFrame]:

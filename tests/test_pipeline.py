@@ -21,7 +21,7 @@ def test_every_query_has_a_runner():
 
 def test_checks_clean_and_mutations_caught(build):
     t = build.tables()
-    for name, clean, broken in checks.mutation_results(t):
+    for name, clean, broken in checks.mutation_results(t):  # key, clean, after its break
         assert clean == 0, name
         assert broken > 0, name
 
