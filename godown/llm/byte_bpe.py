@@ -12,14 +12,15 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from godown.llm.pretok import byte_chars, text_batches, words_for
+from godown.llm.pretok import byte_chars, words_for
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Ids that ``decode`` handles at once.
-DECODE_IDS = 2_000_000
+#: Bytes of text that ``encode``, and ids that ``decode``, handle at once.
+BATCH_BYTES, DECODE_IDS = 3_000_000, 500_000
 
 
 @lru_cache(4)
@@ -34,12 +35,19 @@ def token_bytes(vocabulary: str) -> list[bytes]:
     return out
 
 
-def char_spans(text: str, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First character and the one after the last, of each id; ids that share a character all span it."""
-    raw = np.frombuffer(text.encode(), np.uint8)
-    char = np.cumsum((raw & 0xC0) != 0x80) - 1
-    ends = np.cumsum(lengths[ids])
-    return char[ends - lengths[ids]].astype(np.int32), char[ends - 1].astype(np.int32) + 1
+def char_spans(texts: pa.Array, offsets: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each id of a batch of texts, the first character and the one after the last; ids that share a character all
+    span it. Also how many ids of each text begin inside a character."""
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0]:bounds[-1]] if bounds[-1] else np.zeros(0, np.uint8)
+    begins = (raw & 0xC0) != 0x80
+    char = np.cumsum(begins, dtype=np.int32)  # characters begun up to and with this byte
+    size = lengths[ids]
+    stop = np.cumsum(size)
+    first = np.where(bounds[:-1] > bounds[0], char[bounds[:-1] - bounds[0] - 1] if len(char) else 0, 0)  # characters before each text
+    own = np.repeat(first, np.diff(offsets))
+    inside = np.concatenate([[0], np.cumsum(~begins[stop - size], dtype=np.int32)]) if len(ids) else np.zeros(1, np.int64)
+    return char[stop - size] - 1 - own, char[stop - 1] - own, (inside[offsets[1:]] - inside[offsets[:-1]]).astype(np.int64)
 
 
 def token_texts(ids, table: list[bytes]) -> list[str]:
@@ -51,12 +59,6 @@ def token_texts(ids, table: list[bytes]) -> list[str]:
     return out
 
 
-def _lists(parts: list[np.ndarray]) -> pa.ListArray:
-    offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-    values = np.concatenate(parts) if parts else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32, copy=False)))
-
-
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, ids, starts, ends, n_split_tokens: token ids of every whole text, their character spans, and how
     many ids begin inside a character.
@@ -68,14 +70,19 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
         words = words_for(vocabulary)
         lengths = np.array([len(t) for t in token_bytes(vocabulary)], np.int64)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for i, j in text_batches(texts, 2_000_000):
-                ids = words.encode(texts[i:j])
-                spans = [char_spans(t, x, lengths) if t else (x, x) for t, x in zip(texts[i:j], ids, strict=True)]
-                yield pa.record_batch([b.column(0).slice(i, j - i), _lists(ids), _lists([s for s, _ in spans]),
-                                       _lists([e for _, e in spans]),
-                                       pa.array([int(np.sum(s[1:] < e[:-1])) for s, e in spans], pa.int64())],
+            texts = pc.fill_null(b.column(1).cast(pa.large_string()), "")
+            at = 0
+            sizes = pc.binary_length(texts).to_numpy()
+            while at < b.num_rows:
+                n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), BATCH_BYTES, "right")))
+                some = texts.slice(at, n)
+                offsets, ids = words.encode_array(some)
+                starts, ends, inside = char_spans(some, offsets, ids, lengths)
+                lists = [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(v.astype(np.int32)))
+                         for v in (ids, starts, ends)]
+                yield pa.record_batch([b.column(0).slice(at, n), *lists, pa.array(inside)],
                                       names=["doc_id", "ids", "starts", "ends", "n_split_tokens"])
+                at += n
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, starts array<int>, ends array<int>, n_split_tokens long")
@@ -93,14 +100,15 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", voc
         table = token_bytes(vocabulary)
         get = table.__getitem__
         for b in batches:
-            at, lists = 0, b.column(1)
-            sizes = np.diff(lists.offsets.to_numpy()) if b.num_rows else np.zeros(0, int)
+            lists = b.column(1)
+            bounds = lists.offsets.to_numpy().astype(np.int64)
+            ids = lists.values.to_numpy()
+            at = 0
             while at < b.num_rows:
-                n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), DECODE_IDS, "right")))
-                part = lists.slice(at, n)
-                decoded = [b"".join(map(get, x)) if x else b"" for x in part.to_pylist()]
+                n = max(1, int(np.searchsorted(bounds[at + 1:] - bounds[at], DECODE_IDS, "right")))
+                parts = [b"".join(map(get, ids[x:y].tolist())) for x, y in zip(bounds[at:at + n], bounds[at + 1:at + n + 1], strict=True)]
                 cut = [b.column(k).slice(at, n) for k in range(b.num_columns)]
-                yield pa.record_batch([*cut, pa.array(decoded, pa.binary())],
+                yield pa.record_batch([*cut, pa.array(parts, pa.binary())],
                                       names=["doc_id", "ids", *[f"extra{k}" for k in range(len(extra))], "decoded"])
                 at += n
 

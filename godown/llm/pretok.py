@@ -17,11 +17,13 @@ from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 PATTERN = public_tokenizers.PATTERN
 #: Distinct chunks kept per worker; beyond it the cache starts anew (a bound on memory, not on results).
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 500_000
 
 
 @lru_cache(1)
@@ -101,47 +103,82 @@ def special_tokens(path: str) -> dict[str, int]:
 
 
 #: A chunk is a space and what follows up to the next space or line end. Where every space and line end is followed
-#: by a visible character, cuts before them always fall between pre-tokens (and never inside a special string), so
-#: a chunk has the same pre-tokens and ids wherever it stands.
+#: by a visible character, cuts before them always fall between pre-tokens, so a chunk has the same pre-tokens and ids
+#: wherever it stands. So do cuts between a Latin letter and a stop or comma that ends a chunk. Texts that hold a special
+#: string are not cut into chunks, as white space before it is taken together.
 ODD = re.compile(r"[ \n](?:\s|\Z)").search
 CHUNKS = re.compile(r"\n| ?[^ \n]+").findall
+_CUT = "\x1e"
+_ARROW_ODD = r"[ \n](?:[\s\x0b\x1c-\x1f\x{85}\p{Z}]|\z)|" + _CUT
+_ARROW_STOP = r"([A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}])([.,][ \n])"
 
 
 class Words:
     """Ids by the tokenizers library with one library call per distinct chunk; build it once per Python worker.
 
-    Texts that chunks cannot cut go to the library whole.
+    Arrow cuts and numbers the chunks of a batch; texts that chunks cannot cut go to the library whole.
     """
 
     def __init__(self, spec: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
-        self.cache: dict[str, bytes] = {}
+        specials = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._odd = "|".join([_ARROW_ODD, *specials])
+        self.cache: dict[str, bytes] = {"": b""}
+        self.again: set[str] = set()
 
     def _library(self, parts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for i in range(0, len(parts), 4096)
                 for e in self.tokenizer.encode_batch_fast(parts[i:i + 4096], add_special_tokens=False)]
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text as unsigned 32-bit arrays; null counts as empty."""
-        out = []
-        for i, j in text_batches(texts, 500_000):
-            odd = {t for t in texts[i:j] if t and ODD(t)}
-            cut = [CHUNKS(t) if t and t not in odd else [] for t in texts[i:j]]
-            distinct = set().union(*cut)
-            missing = distinct - self.cache.keys()
-            if len(self.cache) + len(missing) > CACHE_CHUNKS:
-                self.cache.clear()
-                missing = distinct
-            parts = list(missing)
-            self.cache.update(zip(parts, self._library(parts), strict=True))
-            whole = dict(zip(odd, self._library(list(odd)), strict=True))
-            get = self.cache.__getitem__
-            out += [np.frombuffer(whole[t] if t in odd else b"".join(map(get, c)), np.uint32)
-                    for t, c in zip(texts[i:j], cut, strict=True)]
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks, from the cache or the library. When it is full, what was met again is kept."""
+        cache = self.cache
+        missing = [c for c in chunks if c not in cache]
+        got = dict(zip(missing, self._library(missing), strict=True))
+        out = [cache[c] if c in cache else got[c] for c in chunks]
+        self.again.update(c for c in chunks if c in cache)
+        if len(cache) + len(got) > CACHE_CHUNKS:
+            keep = self.again if len(self.again) < CACHE_CHUNKS // 2 else ()
+            self.cache, self.again = {"": b""} | {c: cache[c] for c in keep}, set()
+        self.cache.update(got)
         return out
 
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids): the ids of all texts one after the other; null counts as empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = pc.match_substring_regex(texts, self._odd)
+        plain = pc.if_else(odd, "", texts)
+        cut = pc.replace_substring_regex(plain, _ARROW_STOP, f"\\1{_CUT}\\2")
+        cut = pc.replace_substring(pc.replace_substring(cut, " ", f"{_CUT} "), "\n", f"{_CUT}\n{_CUT}")
+        lists = pc.split_pattern(cut, _CUT)
+        chunks = lists.flatten().dictionary_encode()
+        each = self._ids(chunks.dictionary.to_pylist())
+        flat = np.frombuffer(b"".join(each), np.uint32)
+        size = np.fromiter(map(len, each), np.int32, len(each)) // 4
+        start = np.cumsum(size, dtype=np.int32) - size
+        number = chunks.indices.to_numpy()
+        length = size[number]
+        ends = np.concatenate([[0], np.cumsum(length, dtype=np.int32)])
+        at = np.repeat(start[number] - ends[:-1], length)
+        at += np.arange(ends[-1], dtype=np.int32)
+        ids = flat[at]
+        offsets = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        if len(at):
+            whole = [np.frombuffer(x, np.uint32) for x in self._library([texts[int(k)].as_py() for k in at])]
+            ids = np.insert(ids, np.repeat(offsets[at], [len(x) for x in whole]), np.concatenate(whole))
+            more = np.zeros(len(offsets), np.int64)
+            more[at + 1] = [len(x) for x in whole]
+            offsets = offsets + np.cumsum(more)
+        return offsets, ids
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text as an unsigned 32-bit array."""
+        offsets, ids = self.encode_array(pa.array(texts, pa.large_string()))
+        return np.split(ids, offsets[1:-1]) if texts else []
+
 
 class Splitter:
     """The pre-tokens of a text as the library's pattern cuts them, special strings as themselves.
@@ -164,7 +201,8 @@ class Splitter:
 
     def chunks(self, text: str) -> list[str]:
         """Pieces that ``split`` cuts further, each in the same way wherever it stands."""
-        return self.split(text) if ODD(text) else CHUNKS(text)
+        odd = ODD(text) or self._special is not None and self._special.search(text)
+        return self.split(text) if odd else CHUNKS(text)
 
     def split(self, text: str) -> list[str]:
         if self._special is None or not self._special.search(text):
