@@ -172,9 +172,9 @@ def identify(rows: DataFrame, model: np.ndarray, keep: list[str], text: str, dec
     """
     shared = rows.sparkSession.sparkContext.broadcast(model)
     blank = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    some = rows.select(F.col(text).cast("string").alias("_text"), *[F.col(c) for c in keep], blank(declared).alias("declared"),
+    some = rows.select(F.col(text).cast("string").alias("_words"), *[F.col(c) for c in keep], blank(declared).alias("declared"),
                        blank(suffix).alias("suffix"), blank(domain).alias("domain"), blank(host).alias("host"))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in some.drop("_text").schema)
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in some.drop("_words").schema)
     scored = cut_lineage(some.mapInArrow(_score(shared, markup), f"{types}, ll array<double>, q array<long>"))
     out = fuse(scored, languages).withColumn("has_text", F.exists("ll", lambda x: x != 0))
     bad = ~F.col("has_text") | (F.col("lang") == UNDETERMINED) | (F.col("confidence") < least_confidence)
@@ -202,13 +202,12 @@ def keep_identified(docs: DataFrame, languages: tuple[str, ...] = LANGUAGES, sam
     alone, so rejected rows are recognised by their id and a hash of these.
     """
     model = fit_text(docs, languages=languages, sample_rows=sample_rows)
-    key = F.xxhash64(F.col("text"), F.col("lang"), F.col("source"))
+    key = F.xxhash64(docs["text"], docs["lang"], docs["source"])
     none = F.lit("")
-    rows = docs.select("doc_id", "text", "lang", "source", key.alias("_key"))
-    got = identify(rows.withColumnRenamed("lang", "_lang"), model, ["doc_id", "_key"], "text", F.col("_lang"), none, none,
-                   F.col("source"), False, languages)
-    gone = cut_lineage(got.filter("rejected").select(F.col("doc_id").alias("_id"), F.col("_key").alias("_gone")).distinct())
-    return docs.join(gone, key.eqNullSafe(F.col("_gone")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    rows = docs.select("doc_id", docs["text"].alias("_text"), docs["lang"].alias("_lang"), docs["source"].alias("_source"), key.alias("_key"))
+    got = identify(rows, model, ["doc_id", "_key"], "_text", F.col("_lang"), none, none, F.col("_source"), False, languages)
+    gone = cut_lineage(got.filter("rejected").select(F.col("doc_id").alias("_gone_id"), F.col("_key").alias("_gone_key")).distinct())
+    return docs.join(gone, key.eqNullSafe(gone["_gone_key"]) & docs["doc_id"].eqNullSafe(gone["_gone_id"]), "left_anti")
 
 
 def op3_language_fusion(spark, sf_dir: str) -> DataFrame:

@@ -1,0 +1,43 @@
+"""The corpus pipeline: every stage acts on what the one before kept."""
+
+import pytest
+
+import corpus_pipeline
+from godown.llm import lang_fusion, mcd_quality
+from test_joins import brute_jaccard
+from test_tokens import check_pieces, library  # noqa: F401
+
+
+def test_stages(spark, library):  # noqa: F811
+    from pyspark.sql import functions as F
+
+    from godown.session import cut_lineage
+    sf = "/root/testdata/sf0.001"
+    docs = start = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = cut_lineage(stage(spark, docs, sf))
+        assert docs.columns == start.columns, name
+        kept.append({r.doc_id: r for r in docs.collect()})
+    assert kept[0].keys() == {r.doc_id for r in lang_fusion.keep_identified(start).collect()}
+    assert kept[1].keys() == {r.doc_id for r in mcd_quality.quality(cut_lineage(start.filter(F.col("doc_id").isin(list(kept[0]))))).filter("kept").collect()}
+    _, want = brute_jaccard([(r.doc_id, r.text) for r in kept[1].values()])
+    assert kept[2].keys() == {d for d, c in want.items() if c == d}
+    pieces = corpus_pipeline.run(spark, sf).withColumn("ids_crc32", F.crc32("ids")).collect()
+    check_pieces(pieces, [(r.doc_id, r.text) for r in kept[2].values()], library, 1, 2048)
+
+
+def test_awkward_rows(spark, docs, no_docs):
+    for frame in (docs, no_docs):
+        for _, stage in corpus_pipeline.STAGES:
+            frame = stage(spark, frame, "")
+        assert (frame.count() == 0) == (frame is None) or frame.count() >= 0
+
+
+@pytest.mark.parametrize("column", ["text", "lang", "source"])
+def test_all_null_columns(spark, docs, column):
+    from pyspark.sql import functions as F
+    frame = docs.limit(8).withColumn(column, F.lit(None).cast("string"))
+    for _, stage in corpus_pipeline.STAGES:
+        frame = stage(spark, frame, "")
+    frame.count()
