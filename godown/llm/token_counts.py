@@ -3,18 +3,19 @@
 Two passes over the texts. The first gives the distinct pre-tokens, each of which the library encodes once.
 The second gives, per block of documents and pre-token, one row with the packed list of (document, frequency). The
 two meet in a join on the pre-token; a frequent pre-token has one row a block, and Spark splits skewed joins.
-Sums per document follow, pre-aggregated. Pre-tokens that are entries of the vocabulary (a fixed table) are counted in
+Sums follow, pre-aggregated and packed, one group a block (its size is bounded by the block). Pre-tokens that are entries of the vocabulary (a fixed table) are counted in
 the second pass itself. No ids are kept, and nothing goes through the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +25,8 @@ from godown.llm.pretok import Splitter, byte_chars, special_tokens, text_batches
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: Characters of text, and documents, whose pre-tokens are listed together (memory of a task, not a limit on anything).
 BLOCK_CHARS, BLOCK_DOCS = 32_000_000, 65_535
-#: Blocks whose sums a task holds before it passes them on.
-HELD_BLOCKS = 128
+#: Postings that a task adds up before it passes their sums on.
+HELD_POSTINGS = 4_000_000
 
 
 @lru_cache(2)
@@ -48,14 +49,14 @@ def _distinct(vocabulary: str):
         splitter, known = Splitter(special_tokens(vocabulary)), known_words(vocabulary)
 
         def words(chunks):
-            own = {w for c in chunks for w in splitter.split(c)} - known.keys()
+            own = {w for c in chunks for w in splitter.split(c) if w not in known}
             return pa.record_batch([pa.array(list(own), pa.string())], names=["word"])
 
         chunks: set[str] = set()
         for b in batches:
             for t in b.column(0).to_pylist():
                 chunks.update(splitter.chunks(t) if t else ())
-                if len(chunks) > 600_000:
+                if len(chunks) > 400_000:
                     yield words(chunks)
                     chunks = set()
         yield words(chunks)
@@ -72,9 +73,10 @@ def _count(vocabulary: str):
     return run
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _flat(lists: Iterable[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """All numbers, and where each list starts."""
-    return (np.fromiter(chain.from_iterable(lists), np.int64), np.concatenate([[0], np.cumsum([len(x) for x in lists])]))
+    arrays = [np.array(x, np.int32) for x in lists]
+    return np.concatenate(arrays) if arrays else np.zeros(0, np.int32), np.concatenate([[0], np.cumsum([len(x) for x in arrays])])
 
 
 def _block(ids: list, texts: list, base: int, splitter: Splitter, known: dict[str, int]):
@@ -82,15 +84,19 @@ def _block(ids: list, texts: list, base: int, splitter: Splitter, known: dict[st
     one byte (a larger one takes several places). The word '' carries id, bytes and known pieces of every document.
     """
     chunk_no: dict[str, int] = {}
-    cut = [[chunk_no.setdefault(c, len(chunk_no)) for c in splitter.chunks(t)] if t else [] for t in texts]
-    chunk, doc_at = _flat(cut)
+    chunk, doc_at = _flat([chunk_no.setdefault(c, len(chunk_no)) for c in splitter.chunks(t)] if t else [] for t in texts)
     doc = np.repeat(np.arange(len(texts)), np.diff(doc_at))
     word_no: dict[str, int] = {}
-    word, word_at = _flat([[word_no.setdefault(w, len(word_no)) for w in splitter.split(c)] for c in chunk_no])
+    word, word_at = _flat([word_no.setdefault(w, len(word_no)) for w in splitter.split(c)] for c in chunk_no)
+    del chunk_no
     length = np.diff(word_at)[chunk]  # words of each chunk in the texts
     start = np.cumsum(length) - length
     at = np.arange(length.sum()) - np.repeat(start, length) + np.repeat(word_at[chunk], length)
-    key, freq = np.unique(word[at] * len(texts) + np.repeat(doc, length), return_counts=True)
+    key = word[at].astype(np.int64)
+    key *= len(texts)
+    key += np.repeat(doc, length)
+    del at, start, length, doc, chunk
+    key, freq = np.unique(key, return_counts=True)
     of_word, of_doc = np.divmod(key, len(texts))
     names = list(word_no)
     pieces = np.array([known.get(w, 0) for w in names], np.int64)
@@ -135,35 +141,64 @@ def _frequencies(vocabulary: str):
 
 
 def _sums(batches):
-    """(row, tokens, doc_id, n_bytes): parts of the sums of documents, and the documents themselves."""
-    names = ["row", "tokens", "doc_id", "n_bytes"]
-    held: dict[int, np.ndarray] = {}
+    """(base, documents, packed): tokens of some of a block's documents, packed as 16-bit numbers and then 32-bit sums;
+    or the block's documents themselves."""
+    names = ["base", "documents", "packed"]
+    rows, tokens, held = [], [], 0
 
     def passed_on():
-        for base, sums in held.items():
-            at = np.flatnonzero(sums)
-            nulls = pa.nulls(len(at), pa.int64())
-            yield pa.record_batch([pa.array(at + base), pa.array(sums[at]), nulls, nulls], names=names)
-        held.clear()
-
+        row, value = np.concatenate(rows), np.concatenate(tokens)
+        order = np.argsort(row, kind="stable")
+        row, value = row[order], value[order]
+        first = np.flatnonzero(np.diff(row, prepend=-1))
+        row, value = row[first], np.add.reduceat(value, first)
+        base, place = row >> 16, (row & 0xFFFF).astype("<u2")
+        cut = [*np.flatnonzero(np.diff(base, prepend=-1)).tolist(), len(base)]
+        packed = [place[x:y].tobytes() + value[x:y].astype("<u4").tobytes() for x, y in zip(cut, cut[1:], strict=False)]
+        return pa.record_batch([pa.array(bases[base[cut[:-1]]]), pa.nulls(len(packed), pa.binary()), pa.array(packed, pa.binary())],
+                               names=names)
+
+    bases, number = np.zeros(0, np.int64), {}
     for b in batches:
-        for word, base, packed, pieces in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if word == "":
-                ids, null, sizes, sure = np.frombuffer(packed, "<i8").reshape(4, -1)
-                yield pa.record_batch([pa.array(np.arange(len(ids)) + base), pa.array(sure),
-                                       pa.array(ids, mask=null.astype(bool)), pa.array(sizes)], names=names)
-                continue
-            n = len(packed) // 3
-            if base not in held:
-                if len(held) >= HELD_BLOCKS:
-                    yield from passed_on()
-                held[base] = np.zeros(BLOCK_DOCS, np.int64)
-            docs = np.frombuffer(packed, "<u2", n)
-            if n == 1:
-                held[base][docs[0]] += packed[2] * pieces
-            else:
-                np.add.at(held[base], docs, np.frombuffer(packed, np.uint8, n, 2 * n).astype(np.int64) * pieces)
-    yield from passed_on()
+        own = pc.equal(b.column(0), "")
+        for k in np.flatnonzero(own.to_numpy(zero_copy_only=False)).tolist():
+            yield pa.record_batch([b.column(1).slice(k, 1), b.column(2).slice(k, 1), pa.nulls(1, pa.binary())], names=names)
+        b = b.filter(pc.invert(own))
+        if not b.num_rows:
+            continue
+        packed = b.column(2)
+        raw = np.frombuffer(packed.buffers()[2], np.uint8)
+        bounds = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset:packed.offset + b.num_rows + 1].astype(np.int64)
+        n = np.diff(bounds) // 3
+        of = np.repeat(np.arange(b.num_rows), n)
+        k = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        at = bounds[of] + 2 * k
+        place = raw[at].astype(np.int64) | raw[at + 1].astype(np.int64) << 8
+        freq = raw[bounds[of] + 2 * n[of] + k].astype(np.int64)
+        block, own_block = np.unique(b.column(1).to_numpy(), return_inverse=True)
+        numbers = np.array([number.setdefault(x, len(number)) for x in block.tolist()])
+        rows.append(numbers[own_block][of] << 16 | place)
+        tokens.append(freq * b.column(3).to_numpy()[of])
+        held += len(of)
+        if held >= HELD_POSTINGS:
+            bases = np.fromiter(number, np.int64, len(number))
+            yield passed_on()
+            rows, tokens, held = [], [], 0
+            number.clear()
+    if held:
+        bases = np.fromiter(number, np.int64, len(number))
+        yield passed_on()
+
+
+def _total(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """The documents of one block with the sums of all that was counted for them."""
+    documents = next(x for x in table["documents"].to_pylist() if x is not None)
+    ids, null, sizes, total = np.frombuffer(documents, "<i8").reshape(4, -1).copy()
+    for packed in table["packed"].to_pylist():
+        if packed is not None:
+            n = len(packed) // 6
+            total[np.frombuffer(packed, "<u2", n)] += np.frombuffer(packed, "<u4", n, 2 * n)
+    return pa.table({"doc_id": pa.array(ids, mask=null.astype(bool)), "n_bytes": sizes, "n_tokens": total})
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY,
@@ -181,10 +216,9 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     freq = rows.mapInArrow(_frequencies(vocabulary), "word string, base long, packed binary")
     documents = docs.sparkSession.range(1).select(F.lit("").alias("word"), F.col("id").alias("pieces"))
     sums = (freq.join(pieces.unionByName(documents), "word").select("word", "base", "packed", "pieces")
-            .mapInArrow(_sums, "row long, tokens long, doc_id long, n_bytes long"))
-    return (sums.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"),
-                                    F.sum("tokens").alias("n_tokens"))
-            .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
+            .mapInArrow(_sums, "base long, documents binary, packed binary"))
+    counts = sums.groupBy("base").applyInArrow(_total, "doc_id long, n_bytes long, n_tokens long")
+    return counts.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def op10_token_counts(spark, sf_dir: str) -> DataFrame:
