@@ -38,6 +38,23 @@ class Pipeline(Build):
     def stockout_scores(self) -> DataFrame:
         return self._keep(baseline_scores(self.stockout_snapshots))
 
+    @cached_property
+    def training(self):
+        """(metric rows, chosen model, fitted models with their scored test rows); trained once a build."""
+        from godown.plans import ml
+        return ml.train_and_evaluate(self.stockout_snapshots, self.cal)
+
+    @cached_property
+    def trained_scores(self) -> DataFrame:
+        """Scores, bands and reasons of the chosen model for every snapshot."""
+        from godown.plans import ml
+        return self._cut(ml.stockout_scores(self.stockout_snapshots, self.training[1], self.cal))
+
+    @cached_property
+    def trained_workbench(self) -> DataFrame:
+        """The long table with the chosen model's scores and reasons."""
+        return self._keep(self.workbench(self.trained_scores))
+
     @cached_property
     def mart_lanes(self) -> DataFrame:
         from godown.plans import marts

@@ -103,7 +103,7 @@ def train_and_evaluate(snapshots: DataFrame, cal: Calendar = DEFAULT, gbt_rounds
     rows, fitted = [], {}
     for name in models:
         m = make_model(name, n_train, gbt_rounds).fit(train)
-        scored = score(m, test)
+        scored = cut_lineage(score(m, test).select(*KEYS, "label", "score"))  # four metrics read it
         fitted[name] = (m, scored)
         rows.append(dict(model=name, **evaluate(scored, rule_share)))
     r = evaluate(rule, rule_share)
@@ -136,31 +136,29 @@ def metrics_frame(spark, rows: list[dict]) -> DataFrame:
 def permutation_importance(model: PipelineModel, test: DataFrame, repeats: int = 5) -> DataFrame:
     """Mean and sd of the ROC AUC drop when one feature's values are permuted across test rows.
 
-    A permutation is a join on row rank: each row takes the feature value of the row whose rank in a
-    hash order (seeded per repeat) equals its own rank in key order. Ranks come from the distributed
-    prefix sum, so no single partition holds the test set.
+    A permutation is a join on row rank: each row takes the feature value of the row whose rank in a hash order (seeded
+    per repeat) equals its own rank in key order. The order does not depend on the feature, so there is one ranking a
+    repeat; all features and repeats are scored in one long frame and ranked in one pass.
     """
     from godown.operators.prefix import ordered_prefix_sums
+    features = (*FEATURES_NUMERIC, *FEATURES_CATEGORICAL)
     base = metrics.roc_auc(score(model, test), "label", "score").first()[0]
-    spark = test.sparkSession
-    ranked = ordered_prefix_sums(test, [F.col(k).asc() for k in KEYS], {"rid": F.lit(1).cast("long")})
+    ranked = ordered_prefix_sums(test.withColumnsRenamed({c: f"_k_{c}" for c in KEYS}).withColumns({c: F.col(f"_k_{c}") for c in KEYS}),
+                                 [F.col(f"_k_{k}").asc() for k in KEYS], {"rid": F.lit(1).cast("long")})
     ranked = cut_lineage(ranked)
-    out = []
-    for feat in (*FEATURES_NUMERIC, *FEATURES_CATEGORICAL):
-        drops = []
-        for r in range(repeats):
-            h = F.xxhash64(*[F.col(k).cast("string") for k in KEYS], F.lit(SEED * 100 + r))
-            keys = [F.col(k).alias(f"_k{i}") for i, k in enumerate(KEYS)]
-            donor = ordered_prefix_sums(ranked.select(F.col(feat).alias("_val"), h.alias("_h"), *keys),
-                                        [F.col("_h").asc(), *[F.col(f"_k{i}").asc() for i in range(len(KEYS))]],
-                                        {"rid": F.lit(1).cast("long")})
-            permuted = (ranked.join(donor.select("rid", "_val"), "rid")
-                        .withColumn(feat, F.col("_val")).drop("_val"))
-            drops.append(base - metrics.roc_auc(score(model, permuted), "label", "score").first()[0])
-        mean = sum(drops) / len(drops)
-        sd = (sum((d - mean) ** 2 for d in drops) / len(drops)) ** 0.5
-        out.append((feat, mean, sd))
-    return spark.createDataFrame(out, "feature string, importance double, std double").orderBy(F.desc("importance"))
+    donors = None
+    for r in range(repeats):
+        h = F.xxhash64(*[F.col(f"_k_{k}").cast("string") for k in KEYS], F.lit(SEED * 100 + r))
+        hashed = ranked.select(h.alias("_h"), *[f"_k_{k}" for k in KEYS], F.struct(*features).alias("_donor"))
+        order = [F.col("_h").asc(), *[F.col(f"_k_{k}").asc() for k in KEYS]]
+        one = ordered_prefix_sums(hashed, order, {"rid": F.lit(1).cast("long")}).select(F.lit(r).alias("repeat"), "rid", "_donor")
+        donors = one if donors is None else donors.unionByName(one)
+    long = ranked.join(donors, "rid").select("*", F.explode(F.array(*map(F.lit, features))).alias("feature"))
+    for f in features:
+        long = long.withColumn(f, F.when(F.col("feature") == f, F.col("_donor")[f]).otherwise(F.col(f)))
+    auc = metrics.roc_auc_by(score(model, long).select("feature", "repeat", "label", "score"), ["feature", "repeat"])
+    return (auc.withColumn("drop", F.lit(base) - F.col("roc_auc")).groupBy("feature")
+            .agg(F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("std")).orderBy(F.desc("importance")))
 
 
 def reference_values(labelled: DataFrame) -> dict[str, float]:
@@ -196,11 +194,9 @@ def scores_with_reasons(model, rows: DataFrame, refs: dict[str, float],
                        reasons.alias("reasons"))
 
 
-def stockout_scores(snapshots: DataFrame, cal: Calendar = DEFAULT, gbt_rounds: int = 300) -> DataFrame:
-    """Train, choose, refit the chosen model on every labelled snapshot, score every snapshot."""
-    rows, chosen, _ = train_and_evaluate(snapshots, cal, gbt_rounds)
+def stockout_scores(snapshots: DataFrame, chosen: str, cal: Calendar = DEFAULT, gbt_rounds: int = 300) -> DataFrame:
+    """Refit the chosen model on every labelled snapshot and score every snapshot, with bands and reasons."""
     labelled, _, _ = temporal_split(snapshots, cal)
     labelled = cut_lineage(with_validation(labelled))
     final = make_model(chosen, labelled.count(), gbt_rounds).fit(labelled)
-    refs = reference_values(labelled)
-    return scores_with_reasons(final, prepared(snapshots), refs)
+    return scores_with_reasons(final, prepared(snapshots), reference_values(labelled))

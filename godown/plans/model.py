@@ -335,11 +335,14 @@ class Build:
                                      self.dim_item, self.cal))
     @cached_property
     def stg_inventory(self):
+        """The stock export, where there is one, else the replayed ledger."""
+        if "inventory_daily" in self.raw:
+            return self.staged("inventory_daily")
         return self.stock_daily.select(F.col("date").alias("stock_date"), "dc_id", "item_id", "on_hand", "reorder_point")
     @cached_property
     def fact_demand_daily(self):
         return self.stock_daily.select("date", "dc_id", "item_id", F.col("demand").alias("qty_ordered"),
                                        F.col("line_shipped").alias("qty_shipped"))
     @cached_property
-    def fact_inventory_daily(self): return self._keep(fact_inventory_daily(self.stock_daily, self.dim_item))
+    def fact_inventory_daily(self): return self._keep(fact_inventory_daily(self.stg_inventory.withColumnRenamed("stock_date", "date"), self.dim_item))
 

@@ -33,6 +33,39 @@ def scan_text_csv(b):
     return stage("order_lines", read_text_csv(b.spark, path, "order_lines"))
 
 
+# export -> a number that any lost or changed value would move: (Spark, SQL, the table in SQL)
+EXPORT_SUMS = {
+    "warehouses": ("lat + lon", "lat + lon", "dim_dc"),
+    "delivery_zones": ("road_km + std_transit_days", "road_km + std_transit_days", "dim_zone"),
+    "suppliers": ("quoted_lead_days * length(supplier)", "quoted_lead_days * length(supplier)", "dim_supplier"),
+    "products": ("unit_cost * case_qty", "unit_cost * case_qty", "prod"),
+    "sales_orders": ("datediff(promised_date, order_date)", "promised_date - order_date", "stg_sales_orders"),
+    "order_lines": ("10 * qty_ordered + qty_shipped", "10 * qty_ordered + qty_shipped", "stg_order_lines"),
+    "shipments": ("datediff(delivered_date, ship_date)", "delivered_date - ship_date", "stg_shipments"),
+    "purchase_orders": ("qty_ordered + datediff(promised_date, order_date)", "qty_ordered + (promised_date - order_date)",
+                        "stg_purchase_orders"),
+    "goods_receipts": ("qty_received - 2 * qty_rejected", "qty_received - 2 * qty_rejected", "stg_goods_receipts"),
+    "inventory_daily": ("on_hand + 3 * reorder_point", "on_hand + 3 * reorder_point", "ledger"),
+}
+
+
+@query("scan_all_exports", "\nUNION ALL ".join(
+    f"SELECT '{name}' AS export, count(*) AS rows, round(CAST(sum({sql}) AS DOUBLE), 6) AS total FROM {table}"
+    for name, (_, sql, table) in EXPORT_SUMS.items()))
+def scan_all_exports(b):
+    """All ten exports written as CSV text, scanned as text and staged; rows and a sum over typed values of each."""
+    raw = b.raw | {"inventory_daily": b.stg_inventory.withColumnRenamed("item_id", "sku")}
+    out = None
+    for name, (total, _, _) in EXPORT_SUMS.items():
+        path = _scratch(b, f"{name}_csv")
+        raw[name].select(*[F.col(c).cast("string") for c, _, _ in EXPORTS[name]]).write.option("header", True).csv(path)
+        one = stage(name, read_text_csv(b.spark, path, name)).agg(
+            F.count(F.lit(1)).alias("rows"), F.round(F.sum(F.expr(total)).cast("double"), 6).alias("total"))
+        one = one.select(F.lit(name).alias("export"), "rows", "total")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("materialise_roundtrip", """
 SELECT order_id, CAST(dc_id AS BIGINT) AS dc_id, CAST(zone_id AS BIGINT) AS zone_id, CAST(order_date AS VARCHAR) AS order_date,
        CAST(promised_date AS VARCHAR) AS promised_date, CAST(ship_date AS VARCHAR) AS ship_date,

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from godown.config import FEATURES_NUMERIC, REASONS
+from godown.config import FEATURES_NUMERIC, MODEL_CHOICE_MARGIN, REASONS
 from godown.plans import metrics, ml
+from godown.plans.build import risk_band
 from godown.plans.oracle import TEST_START, TRAIN_END
 from godown.plans.registry import query
 
@@ -207,22 +208,59 @@ def reason_codes(b):
 # ------------------------------------------------------------------------------------------ trained models
 @query("model_metrics")
 def model_metrics(b):
-    rows, _, _ = ml.train_and_evaluate(b.stockout_snapshots, b.cal)
-    return ml.metrics_frame(b.spark, rows)
+    return ml.metrics_frame(b.spark, b.training[0])
 
 
 @query("stockout_scores")
 def stockout_scores(b):
-    return ml.stockout_scores(b.stockout_snapshots, b.cal)
+    return b.trained_scores
+
+
+@query("workbench_trained")
+def workbench_trained(b):
+    """The snapshot rows of the long table with the chosen model's scores and reasons."""
+    return b.trained_workbench.filter("record_type = 'Snapshot'").select(
+        "period_date", "dc_id", "sku", "risk_score", "risk_band", "reasons", "stockout_14d")
 
 
 @query("permutation_importance")
 def permutation_importance(b):
-    """Importance of each feature for the logistic model (5 permutations of the test window)."""
-    rows, _, fitted = ml.train_and_evaluate(b.stockout_snapshots, b.cal, models=(ml.LR,))
-    model, _ = fitted[ml.LR]
+    """Importance of each feature for the chosen model (5 permutations of the test window)."""
+    _, chosen, fitted = b.training
     _, _, test = ml.temporal_split(b.stockout_snapshots, b.cal)
-    return ml.permutation_importance(model, test)
+    return ml.permutation_importance(fitted[chosen][0], test)
+
+
+@query("model_facts", TEST_SQL + f"""
+SELECT (SELECT count(*) FROM stockout_snapshots WHERE outcome_known AND snapshot_date <= {TRAIN_END}) AS train_rows,
+       count(*) AS test_rows, avg(label) AS base_rate, avg(rule) AS rule_share,
+       count(*) FILTER (WHERE rule = 1 AND label = 1) / count(*) FILTER (WHERE label = 1) AS rule_capture,
+       true AS models_beat_rule, true AS choice_follows_margin
+FROM test""")
+def model_facts(b):
+    """What SQL can say of the training: its rows, the rule's figures, and that both models rank better than the rule and
+    the choice follows from their AUCs."""
+    rows = {r["model"]: r for r in b.training[0]}
+    rule = rows[ml.RULE]
+    beat = min(rows[m]["roc_auc"] for m in (ml.LR, ml.GBT)) > rule["roc_auc"]
+    wanted = ml.GBT if rows[ml.GBT]["roc_auc"] - rows[ml.LR]["roc_auc"] >= MODEL_CHOICE_MARGIN else ml.LR
+    return b.spark.createDataFrame(
+        [(rule["train_rows"], rule["test_rows"], rule["base_rate"], rule["rule_share"], rule["capture_at_rule_share"], beat,
+          rows[wanted]["chosen"] and sum(r["chosen"] for r in rows.values()) == 1)],
+        "train_rows long, test_rows long, base_rate double, rule_share double, rule_capture double, models_beat_rule boolean, "
+        "choice_follows_margin boolean")
+
+
+@query("score_facts", """
+SELECT count(*) AS snapshots, count(*) AS scored, 0::BIGINT AS outside, 0::BIGINT AS other_band, true AS some_reasons
+FROM stockout_snapshots""")
+def score_facts(b):
+    """One score in [0, 1] for every snapshot, bands that follow from the scores, and reasons for some."""
+    s = b.stockout_snapshots.select(*KEYS).join(b.trained_scores, KEYS, "left")
+    return s.agg(F.count(F.lit(1)).alias("snapshots"), F.count("risk_score").alias("scored"),
+                 F.count_if(~F.col("risk_score").between(0, 1)).alias("outside"),
+                 F.count_if(F.col("risk_band") != risk_band(F.col("risk_score"))).alias("other_band"),
+                 (F.count_if(F.col("reasons") != "") > 0).alias("some_reasons"))
 
 
 assert set(f for f, _ in LINEAR) <= set(FEATURES_NUMERIC)

@@ -36,18 +36,24 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-_BUILDS: dict[tuple[int, str], object] = {}
+_BUILDS: dict[tuple[str, str], object] = {}
 
 
 def build_for(spark: SparkSession, sf_dir: str):
-    """One build per session and data folder, so queries share its kept tables."""
+    """One build per application and data folder, so queries share its kept tables until ``release``."""
     from godown.plans.build import Pipeline
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BUILDS:
         _BUILDS[key] = Pipeline(spark, sf_dir)
     return _BUILDS[key]
 
 
+def release(spark: SparkSession, sf_dir: str | None = None) -> None:
+    """Forget the builds of this application (of one folder, or all): kept tables are given up, changed data is read anew."""
+    for key in [k for k in _BUILDS if k[0] == spark.sparkContext.applicationId and sf_dir in (None, k[1])]:
+        _BUILDS.pop(key).release()
+
+
 def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
     fn = REGISTRY[name][0]
 

@@ -22,7 +22,7 @@ EXPORTS: dict[str, list[tuple[str, str, str | None]]] = {
     "suppliers": [("supplier_id", "supplier_id", None), ("supplier", "supplier", None),
                   ("category", "category", None), ("hub", "hub", None), ("state", "state", None),
                   ("lat", "lat", "double"), ("lon", "lon", "double"), ("quoted_lead_days", "quoted_lead_days", "int")],
-    "products": [("sku", "sku", None), ("category", "category", None), ("item_id", "item_id", None),
+    "products": [("sku", "sku", None), ("category", "category", None),
                  ("supplier_id", "supplier_id", None), ("unit_cost", "unit_cost", "decimal(18,2)"),
                  ("unit_price", "unit_price", "decimal(18,2)"), ("case_qty", "case_qty", "int")],
     "sales_orders": [("order_id", "order_id", None), ("zone_id", "zone_id", None), ("dc_id", "dc_id", None),
@@ -36,7 +36,7 @@ EXPORTS: dict[str, list[tuple[str, str, str | None]]] = {
                         ("promised_date", "promised_date", "dd/MM/yyyy"), ("qty_ordered", "qty_ordered", "int")],
     "goods_receipts": [("po_id", "po_id", None), ("received_date", "received_date", "date"),
                        ("qty_received", "qty_received", "int"), ("qty_rejected", "qty_rejected", "int")],
-    "inventory_daily": [("stock_date", "stock_date", "date"), ("dc_id", "dc_id", None), ("item_id", "item_id", None),
+    "inventory_daily": [("stock_date", "stock_date", "date"), ("dc_id", "dc_id", None), ("sku", "item_id", None),
                         ("on_hand", "on_hand", "int"), ("reorder_point", "reorder_point", "int")],
 }
 
@@ -75,4 +75,6 @@ def stage(export: str, raw: DataFrame) -> DataFrame:
         if export == "suppliers" and dst == "supplier":
             c = clean_name(c)
         cols.append(c.alias(dst))
+    if export == "products":  # what is stocked: the adapter's brand/type, else the product itself
+        cols.append(F.col("item_id" if "item_id" in raw.columns else "sku").alias("item_id"))
     return raw.select(*cols)

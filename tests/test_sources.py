@@ -73,3 +73,23 @@ def test_typed_extract(spark):
     assert spark.read.parquet(out).filter(F.col("record_type") == "Node").count() == 1
     with pytest.raises(TypeError):
         typed_extract(df.withColumn("m", F.create_map(F.lit("a"), F.lit(1))), out + "2")
+
+
+def test_exports_as_a_distributor_writes_them(spark):
+    """Products with six columns and stock by product: the product itself is what is stocked."""
+    tmp = Path(tempfile.mkdtemp(prefix="godown-test-"))
+    path = _csv(tmp, "products.csv", "sku,category,supplier_id,unit_cost,unit_price,case_qty\nBE-001,Tea,S001,10.50,12.00,6\n")
+    p = stage("products", read_text_csv(spark, path, "products")).first()
+    assert p.item_id == "BE-001" and str(p.unit_cost) == "10.50" and p.case_qty == 6
+    path = _csv(tmp, "inventory_daily.csv", "stock_date,dc_id,sku,on_hand,reorder_point\n2024-04-01,DC-1,BE-001,5,7\n")
+    i = stage("inventory_daily", read_text_csv(spark, path, "inventory_daily")).first()
+    assert (i.stock_date, i.item_id, i.on_hand) == (date(2024, 4, 1), "BE-001", 5)
+
+
+def test_released_builds_read_changed_data(spark):
+    from conftest import SF
+    from godown.plans import registry
+    first = registry.build_for(spark, SF)
+    assert registry.build_for(spark, SF) is first
+    registry.release(spark, SF)
+    assert registry.build_for(spark, SF) is not first
