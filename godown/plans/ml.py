@@ -60,7 +60,7 @@ def make_model(name: str, n_train: int, gbt_rounds: int = 300) -> MLPipeline:
     if name == LR:
         # L2 with C = 0.5 on a summed log-loss equals regParam = 1 / (C n) on Spark's mean loss
         clf = LogisticRegression(featuresCol="features", labelCol="label", regParam=1.0 / (0.5 * max(n_train, 1)),
-                                 elasticNetParam=0.0, standardization=False, maxIter=200)
+                                 elasticNetParam=0.0, standardization=False, maxIter=3000)
         return MLPipeline(stages=[*_encoders(True), clf])
     clf = GBTClassifier(featuresCol="features", labelCol="label", maxDepth=4, stepSize=0.05, maxIter=gbt_rounds,
                         seed=SEED, validationIndicatorCol="is_validation", validationTol=0.0001)
@@ -163,10 +163,8 @@ def permutation_importance(model: PipelineModel, test: DataFrame, repeats: int =
 
 def reference_values(labelled: DataFrame) -> dict[str, float]:
     """Reset value per reason factor: the exact median of labelled history, or the listed constant."""
-    refs = {}
-    for _, feat, ref in REASONS:
-        refs[feat] = metrics.exact_quantiles(labelled, feat, [0.5], KEYS)[0] if ref == "median" else float(ref)
-    return refs
+    medians = metrics.exact_medians(labelled, [feat for _, feat, ref in REASONS if ref == "median"])
+    return {feat: medians[feat] if ref == "median" else float(ref) for _, feat, ref in REASONS}
 
 
 def scores_with_reasons(model, rows: DataFrame, refs: dict[str, float],
