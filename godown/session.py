@@ -51,7 +51,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` once as a parquet table under the shared checkpoint folder and read it back.
 
     Survives executor loss (the table is on shared storage, unlike a local checkpoint), computes
@@ -60,5 +60,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/godown-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").parquet(path, compression=compression)
     return spark.read.parquet(path)
+
+
+def drop_written(df: DataFrame) -> None:
+    """Remove a table that ``cut_lineage`` wrote, once nothing that is still to run reads it."""
+    spark = df.sparkSession
+    own = checkpoint_dir(spark).rstrip("/")
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        if re.search(r"/godown-[0-9a-f]{32}$", folder) and folder.split(":", 1)[-1].lstrip("/").startswith(own.split(":", 1)[-1].lstrip("/")):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
