@@ -4,8 +4,8 @@ import pytest
 
 import corpus_pipeline
 from godown.llm import lang_fusion, mcd_quality
-from test_joins import brute_jaccard
-from test_tokens import check_pieces, library  # noqa: F401
+from llm.test_joins import brute_jaccard
+from llm.test_tokens import check_pieces, library  # noqa: F401
 
 
 def test_stages(spark, library):  # noqa: F811

@@ -36,7 +36,7 @@ def vector(text, c):
 @pytest.fixture(scope="module")
 def prose(rows):
     """The corpus, and a large group with junk in it: symbols in one, very long words in the other."""
-    from conftest import text
+    from llm.awkward import text
     rnd = random.Random(21)
     more = [(1000 + k, text(rnd, rnd.randint(80, 400)), "fr", f"big{k % 2}") for k in range(260)]
     more += [(2000 + k, " | ".join(text(rnd, 120).split()), "fr", "big0") for k in range(12)]
@@ -46,7 +46,7 @@ def prose(rows):
 
 @pytest.fixture(scope="module")
 def table(spark, prose):
-    from conftest import EXTRA
+    from llm.awkward import EXTRA
     from pyspark.sql import functions as F
     df = spark.createDataFrame(prose, "doc_id long, text string, lang string, source string")
     return df.withColumns({c: F.lit(f"own {c}") for c in EXTRA}).repartition(3)
