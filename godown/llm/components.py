@@ -6,12 +6,23 @@ links are never gathered. Each round is written to the shared folder, which cuts
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+import time
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from godown.session import cut_lineage
 
 
+def free_finished(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of steps whose results are written. It does so when the driver collects its
+    garbage, which a driver that holds little may not do before the disks are full."""
+    gc.collect()
+    spark._jvm.System.gc()
+    time.sleep(1)  # they go in the background
+
+
 def _least(pairs: DataFrame) -> DataFrame:
     """Add to (u, v) the least of u and all its v."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -36,13 +47,12 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Links with a null end or from a node to itself say nothing; repeated links count once.
     """
     now = cut_lineage(links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u != v").distinct())
-    state = None
     while True:
         now = cut_lineage(_small_star(_large_star(now)))
-        new = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if new == state:
+        # Done when only stars are left: every node has one link, to a node that has none itself.
+        many = now.groupBy("u").count().filter("count > 1").limit(1).count()
+        if not many and not now.join(now.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1).count():
             break
-        state = new
     ends = now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return cut_lineage(ends.unionByName(roots))

@@ -3,28 +3,28 @@
 1. One pass gives each document's set size and fingerprint, and the shingles that are frequent in some block; the most
    frequent of them (a bounded list) go last in the global order, the others stand in hash order before them.
 2. Documents with equal sets are one node. Each node's prefix shingles are shuffled once; those of one node go.
-3. Two hub rounds: in each remaining bucket, every node is compared with one hub. Links merge nodes, and a bucket all of
-   whose nodes are merged is done, so a large group of near copies costs its size and not its square.
+3. Hub rounds: in each remaining bucket, nodes are compared with a hub. Links merge nodes, and a bucket all of whose
+   nodes are merged is done, so a large group of near copies costs its size and not its square.
 4. What is left is compared exhaustively across components: the nodes outside a bucket's largest component
    with all. No link between components can be missed.
 
-Pairs pass the length and positional filters in the join, are made distinct, and are verified once, after the suffix
-filter, on the texts. Shingles are 64-bit hashes of the word sequences.
+Pairs pass the length, positional and (in the exhaustive round) suffix filters in the join, are made distinct, and are
+verified once on the texts. Shingles are 64-bit hashes of the word sequences.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from godown.llm.components import connected_components
+from godown.llm.components import connected_components, free_finished
 from godown.llm.pretok import text_batches
-from godown.session import cut_lineage
+from godown.session import cut_lineage, drop_written
 
 WORDS = 5
 #: Similarity as a fraction: linked when DEN * intersection >= NUM * union.
@@ -33,44 +33,93 @@ NUM, DEN = 3, 4
 BLOCK_SHINGLES, LOCAL_COUNT, FREQUENT = 4_000_000, 4, 200_000
 #: Rows of one prefix shingle that one bucket should hold at most; more frequent ones are salted.
 BUCKET_ROWS = 50_000
-CACHE_WORDS = 400_000
+#: Hub rounds before the exhaustive one, partners a node takes in each but the first, shingles looked back at, shingles of the
+#: sets that a verifying task holds, bits of a signature. None of them changes the result.
+HUB_ROUNDS, PARTNERS, LOOKED_BACK, HELD_SHINGLES, SIGNATURE_BITS = 2, 4, 4, 4_000_000, 512
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                          0xA0761D6478BD642F], np.uint64)
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_BASE = 0xD1342543DE82EF95  # odd, so it has an inverse
+
+
 class Shingles:
-    """Distinct shingles of a text as a sorted array of 64-bit hashes."""
+    """Distinct shingles of texts, each a sorted array of 64-bit hashes.
 
-    def __init__(self):
-        self.cache: dict[bytes, bytes] = {}
+    All words of a batch are hashed at once: a word's hash is the sum of its mixed bytes times powers of a base, a
+    difference of running sums that is shifted to the word's start by the base's inverse, and then mixed.
+    """
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = text.encode().lower().split() if text else []
-        if not words:
-            return np.zeros(0, np.uint64)
-        cache = self.cache
-        try:
-            raw = b"".join(map(cache.__getitem__, words))
-        except KeyError:
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-            cache.update((w, xxhash.xxh3_64_digest(w)) for w in set(words) - cache.keys())
-            raw = b"".join(map(cache.__getitem__, words))
-        h = np.frombuffer(raw, ">u8").astype(np.uint64)
-        n = max(1, len(h) - WORDS + 1)
-        out = np.full(n, min(len(h), WORDS), np.uint64)
-        for k in range(min(WORDS, len(h))):
+    def __init__(self):
+        self.power = self.inverse = np.ones(1, np.uint64)
+
+    def _hashes(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Start and hash of every word of a byte string that ends in white space."""
+        raw = np.frombuffer(data, np.uint8)
+        if len(self.power) < len(raw):
+            for name, base in (("power", _BASE), ("inverse", pow(_BASE, -1, 1 << 64))):
+                steps = np.full(len(raw), base, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.cumprod(steps))
+        space = _SPACE[raw]
+        edge = np.flatnonzero(np.diff(space, prepend=True))
+        start, end = edge[::2], edge[1::2]
+        running = np.cumsum(_BYTE[raw] * self.power[:len(raw)])
+        h = (running[end - 1] - running[start] + _BYTE[raw[start]] * self.power[start]) * self.inverse[start]
+        return start, _mixed(h + (end - start).astype(np.uint64))
+
+    @staticmethod
+    def _windows(h: np.ndarray, width: int) -> np.ndarray:
+        n = len(h) - width + 1
+        out = np.full(n, width, np.uint64)
+        for k in range(width):
             out += h[k:k + n] * _MULTIPLIERS[k]
             out ^= out >> np.uint64(29)
         out *= np.uint64(0xBF58476D1CE4E5B9)
         out ^= out >> np.uint64(32)
-        return np.unique(out)
+        return out
+
+    def sets(self, texts: list[str | None]) -> list[np.ndarray]:
+        parts = [t.encode().lower() if t else b"" for t in texts]
+        place, h = self._hashes(b" ".join([*parts, b""]) or b" ")
+        ends = np.searchsorted(place, np.cumsum([len(p) + 1 for p in parts])).tolist()
+        windows = self._windows(h, WORDS) if len(h) >= WORDS else np.zeros(0, np.uint64)
+        out, start = [], 0
+        for end in ends:
+            if end - start >= WORDS:
+                s = np.sort(windows[start:end - WORDS + 1])
+                keep = np.empty(len(s), bool)
+                keep[0] = True
+                np.not_equal(s[1:], s[:-1], out=keep[1:])
+                out.append(s[keep])
+            else:
+                out.append(self._windows(h[start:end], end - start) if end > start else np.zeros(0, np.uint64))
+            start = end
+        return out
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        return self.sets([text])[0]
 
 
 def fingerprint(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def signature(shingles: np.ndarray) -> list[int]:
+    """Parity of the shingles in each of SIGNATURE_BITS classes, as whole numbers of 64 bits. Two signatures differ in no
+    more bits than the sets differ in shingles."""
+    odd = np.bincount((shingles & np.uint64(SIGNATURE_BITS - 1)).astype(np.intp), minlength=SIGNATURE_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
+
+
 def probe_prefix(n):
     """Prefix of a set within which it meets every smaller or equal linked set's index prefix."""
     return n - (NUM * n + DEN - 1) // DEN + 1
@@ -101,23 +150,27 @@ def linked(x: np.ndarray, y: np.ndarray) -> bool:
 
 
 def _facts(batches):
-    """Rows (kind, id, n, fp): a document with its set size and fingerprint (0), or a frequent shingle with its count (1)."""
+    """Rows (kind, id, n, fp, sig): a document with its set size, fingerprint and signature (0), or a frequent shingle with
+    its count (1)."""
     def counted(block):
         values, counts = np.unique(np.concatenate(block), return_counts=True)
         values, counts = values[counts >= LOCAL_COUNT], counts[counts >= LOCAL_COUNT]
         return pa.record_batch([pa.array(np.ones(len(values), np.int32)), pa.array(values.view(np.int64)),
-                                pa.array(counts.astype(np.int64)), pa.nulls(len(values), pa.binary())], names=names)
+                                pa.array(counts.astype(np.int64)), pa.nulls(len(values), pa.binary()),
+                                pa.nulls(len(values), pa.list_(pa.int64()))], names=names)
 
-    names = ["kind", "id", "n", "fp"]
+    names = ["kind", "id", "n", "fp", "sig"]
     shingles, block, size = Shingles(), [], 0
     for b in batches:
-        sets = [shingles(t) for t in b.column(1).to_pylist()]
-        yield pa.record_batch([pa.array(np.zeros(len(sets), np.int32)), b.column(0),
-                               pa.array([len(s) for s in sets], pa.int64()),
-                               pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary())], names=names)
-        for s in sets:
-            block.append(s)
-            size += len(s)
+        texts = b.column(1).to_pylist()
+        for i, j in text_batches(texts, 1_000_000):
+            sets = shingles.sets(texts[i:j])
+            yield pa.record_batch([pa.array(np.zeros(len(sets), np.int32)), b.column(0).slice(i, j - i),
+                                   pa.array([len(s) for s in sets], pa.int64()),
+                                   pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary()),
+                                   pa.array([signature(s) for s in sets], pa.list_(pa.int64()))], names=names)
+            block += sets
+            size += sum(map(len, sets))
             if size >= BLOCK_SHINGLES:
                 yield counted(block)
                 block, size = [], 0
@@ -151,23 +204,25 @@ def _prefixes(frequent):
         shingles, seen = Shingles(), set()
         for b in batches:
             doc_ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for i, j in text_batches(texts, 2_000_000):
+            for i, j in text_batches(texts, 1_000_000):
                 out: list[list] = [[], [], [], [], []]
-                for d, t in zip(doc_ids[i:j], texts[i:j], strict=True):
-                    s = shingles(t)
+                for d, s in zip(doc_ids[i:j], shingles.sets(texts[i:j]), strict=True):
                     if not len(s) or d is None or (fp := fingerprint(s)) in seen:
                         continue
                     seen.add(fp)
                     p = probe_prefix(len(s))
                     at = np.searchsorted(ids, s)
-                    count = np.where(ids[np.minimum(at, len(ids) - 1)] == s, counts[np.minimum(at, len(ids) - 1)], 0) \
-                        if len(ids) else np.zeros(len(s), np.int64)
-                    order = np.argsort(count, kind="stable")[:p]  # ties stay in hash order
-                    salts = 1 + count[order] // BUCKET_ROWS
-                    for c, v in zip(out, (s[order].view(np.int64), fp[0] * 256 + fp[1] % salts, np.full(p, d), np.full(p, len(s)),
-                                          np.arange(p)), strict=True):
+                    at[at == len(ids)] = 0
+                    known = np.flatnonzero(ids[at] == s) if len(ids) else at[:0]
+                    first, salt = s[:p], np.zeros(p, np.int32)
+                    if len(known) and known[0] < p:  # frequent shingles go last, the most frequent at the end
+                        count = np.zeros(len(s), np.int64)
+                        count[known] = counts[at[known]]
+                        order = np.argsort(count, kind="stable")[:p]  # ties stay in hash order
+                        first, salts = s[order], 1 + count[order] // BUCKET_ROWS
+                        salt = np.where(salts > 1, int.from_bytes(fp[:4], "big") % salts + 1, 0)
+                    for c, v in zip(out, (first.view(np.int64), salt, np.full(p, d), np.full(p, len(s)), np.arange(p)), strict=True):
                         c.append(v)
-                    out[1][-1] = np.where(salts > 1, (fp[0] * 256 + fp[1]) % salts + 1, 0)
                 if out[0]:
                     yield pa.record_batch([pa.array(np.concatenate(c).astype(k)) for c, k in
                                            zip(out, (np.int64, np.int32, np.int64, np.int64, np.int32), strict=True)],
@@ -185,54 +240,124 @@ def _pair_filters(na: Column, pa_: Column, nb: Column, pb: Column) -> Column:
 
 
 def _verify(batches):
-    shingles = Shingles()
+    shingles, sets, held = Shingles(), OrderedDict(), 0
+
+    def of(node: int, column: pa.Array, k: int) -> np.ndarray:
+        nonlocal held
+        text = column[k].as_py()
+        key = node, len(text), hash(text)
+        if key not in sets:
+            sets[key] = shingles(text)
+            held += len(sets[key])
+            while held > HELD_SHINGLES and len(sets) > 2:
+                held -= len(sets.popitem(last=False)[1])
+        sets.move_to_end(key)
+        return sets[key]
+
     for b in batches:
-        rows = zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)
-        same = [linked(shingles(x), shingles(y)) for x, y in rows]
+        ids = zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
+        same = [linked(of(x, b.column(2), k), of(y, b.column(3), k)) for k, (x, y) in enumerate(ids)]
         yield pa.record_batch([b.column(0), b.column(1), pa.array(same, pa.bool_())], names=["a", "b", "linked"])
 
 
-def _checked(pairs: DataFrame, texts: DataFrame, before: DataFrame | None) -> DataFrame:
-    """(a, b, linked) of the distinct pairs that were not verified before; written."""
+def _checked(pairs: DataFrame, texts: DataFrame, component: DataFrame, before: DataFrame | None) -> DataFrame:
+    """(a, b, linked) of the distinct pairs across components that were not verified before; written."""
+    c = component.select(F.col("node").alias("id"), F.col("component").alias("c"))
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = (pairs.join(c.withColumnsRenamed({"id": "a", "c": "ca"}), "a", "left").join(c.withColumnsRenamed({"id": "b", "c": "cb"}), "b", "left")
+             .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
     if before is not None:
-        pairs = pairs.join(before.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = cut_lineage(pairs.join(before.select("a", "b"), ["a", "b"], "left_anti"))
+        ids = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        texts = texts.join(ids, "id", "left_semi")
     both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"))
     out = both.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long, linked boolean")
     return cut_lineage(out.groupBy("a", "b").agg(F.max("linked").alias("linked")))
 
 
-def _live(buckets: DataFrame, component: DataFrame | None) -> DataFrame:
-    """Bucket rows with their components, without buckets that lie in one component."""
-    rows = buckets.withColumn("comp", F.col("id"))
-    if component is not None:
-        c = component.select(F.col("node").alias("id"), F.col("component").alias("c"))
-        rows = buckets.join(c, "id", "left").withColumn("comp", F.coalesce("c", "id")).drop("c")
-    mixed = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token")
-    return rows.join(mixed, "token", "left_semi")
+def _with_hubs(rows: DataFrame, seed: int) -> DataFrame:
+    """Rows of buckets that hold several components, each with a hub of its bucket; one exchange.
+
+    With seed 0 a bucket's hub is its node with the least hash, so the buckets of one group share theirs; with others every
+    bucket has a hub of its own, and nodes that the group's hub missed are soon caught by others. A bucket is a shingle, or
+    one of the salts of a frequent one; such a part is kept even if all its rows are of one component.
+    """
+    own = [F.lit(seed)] if not seed else [F.lit(seed), F.col("token")]
+    bucket = Window.partitionBy("token", "salt")
+    me = F.struct(F.xxhash64("id", *own).alias("h"), "id", "n", "pos", "comp")
+    return (rows.withColumn("lo", F.min("comp").over(bucket)).withColumn("hi", F.max("comp").over(bucket))
+            .filter("lo < hi or salt > 0").drop("lo", "hi").withColumn("hub", F.min(me).over(bucket)))
+
+
+def _with_components(rows: DataFrame, component: DataFrame) -> DataFrame:
+    c = component.select(F.col("node").alias("id"), F.col("component").alias("c"))
+    return rows.drop("comp").join(c, "id", "left").withColumn("comp", F.coalesce("c", "id")).drop("c")
 
 
 def _hub_pairs(live: DataFrame, seed: int) -> DataFrame:
-    """Each row of a bucket with the bucket's hub, and the hubs of a salted shingle with one of them."""
-    me = F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), "id", "n", "pos", "comp")
-    hubs = live.groupBy("token", "salt").agg(F.min(me).alias("hub"))
-    tops = hubs.groupBy("token").agg(F.min("hub").alias("top"), F.count("*").alias("k")).filter("k > 1")
-    rows = live.join(hubs, ["token", "salt"]).select("id", "n", "pos", "comp", "hub").unionByName(
-        hubs.join(tops, "token").select("hub.id", "hub.n", "hub.pos", "hub.comp", F.col("top").alias("hub")))
-    return rows.filter((F.col("comp") != F.col("hub.comp")) & _pair_filters(
-        F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos"))).select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
-
-
-def _all_pairs(live: DataFrame) -> DataFrame:
-    """Pairs across components of a bucket: the rows outside its largest component with all rows."""
-    sizes = live.groupBy("token", "comp").count()
-    major = sizes.groupBy("token").agg(F.max(F.struct("count", "comp")).alias("m")).select("token", F.col("m.comp").alias("major"))
-    rows = live.join(major, "token").select("token", "id", "n", "pos", "comp", "major")
+    """Rows with their hub, in all rounds but the first at most PARTNERS a node; and the hubs of a salted shingle with
+    one of them."""
+    salted = live.filter("salt > 0").select("token", "hub").distinct()
+    tops = salted.groupBy("token").agg(F.min("hub").alias("top"))
+    rows = live.select("token", "id", "n", "pos", "comp", "hub").unionByName(
+        salted.join(tops, "token").select("token", "hub.id", "hub.n", "hub.pos", "hub.comp", F.col("top").alias("hub")))
+    rows = rows.filter((F.col("comp") != F.col("hub.comp")) & _pair_filters(
+        F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
+    if seed:
+        rows = rows.groupBy("id", F.pmod("token", F.lit(PARTNERS)).alias("slot")).agg(F.min_by("hub", "hub.h").alias("hub"))
+    return rows.select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
+
+
+def _across(rows: DataFrame) -> DataFrame:
+    """Rows of shingles whose nodes are of several components, with the shingle's largest component; written."""
+    token = Window.partitionBy("token")
+    def marked(r):
+        return (r.withColumn("lo", F.min("comp").over(token)).withColumn("hi", F.max("comp").over(token)).filter("lo < hi")
+                .withColumn("k", F.count("*").over(Window.partitionBy("token", "comp")))
+                .withColumn("major", F.max(F.struct("k", "comp")).over(token)["comp"]))
+    # A salted shingle may have any number of rows: its sums are pre-aggregated and its rows never gathered.
+    salted = rows.filter("salt > 0")
+    sizes = salted.groupBy("token", "comp").count().groupBy("token").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("count", "comp"))["comp"].alias("major")).filter("lo < hi")
+    columns = ["token", "id", "n", "pos", "comp", "major"]
+    return cut_lineage(marked(rows.filter("salt = 0")).select(*columns).unionByName(salted.join(sizes, "token").select(*columns)))
+
+
+def _all_pairs(rows: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Pairs across components of a bucket: the rows outside its largest component with all rows. The suffix filter is by
+    signatures: a pair whose signatures differ in more bits than linked sets may differ in shingles is no pair.
+
+    A pair is given at the first shingle that its prefixes share, and where it shares none of the LOOKED_BACK shingles
+    before it in both; so near copies come up a few times and not once for every shingle.
+    """
+    before = Window.partitionBy("id").orderBy("pos").rowsBetween(-LOOKED_BACK, -1)
+    rows = rows.withColumn("back", F.collect_list("token").over(before)).join(sigs.select("id", F.col("n").alias("of"), "sig"), "id")
+    rows = rows.filter("n = of").drop("of")
     x, y = rows.filter("comp != major").alias("x"), rows.alias("y")
     once = (F.col("y.comp") == F.col("y.major")) | (F.col("x.id") < F.col("y.id"))
+    differ = sum((F.bit_count(F.col("x.sig")[k].bitwiseXOR(F.col("y.sig")[k])) for k in range(1, SIGNATURE_BITS // 64)),
+                 F.bit_count(F.col("x.sig")[0].bitwiseXOR(F.col("y.sig")[0])))
+    n = F.col("x.n") + F.col("y.n")
+    close = differ <= n - 2 * F.floor((NUM * n + NUM + DEN - 1) / (NUM + DEN))
     return x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp")) & once & _pair_filters(
-        F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+        F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos")) & close & ~F.arrays_overlap("x.back", "y.back")).select(
+        F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
+def _merged(component: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) after further links: the components they join are merged."""
+    c = component.select("node", "component")
+    ends = (links.join(c.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
+            .join(c.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+            .select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")))
+    ends = cut_lineage(ends)
+    top = connected_components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    nodes = c.unionByName(ends.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("ca").alias("component")),
+                                                        F.struct(F.col("b").alias("node"), F.col("cb").alias("component")))).alias("x"))
+                          .select("x.node", "x.component")).distinct()
+    return cut_lineage(nodes.join(top.select(F.col("node").alias("component"), F.col("component").alias("further")), "component", "left")
+                       .select("node", F.coalesce("further", "component").alias("component")))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,28 +370,32 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    facts = cut_lineage(rows.mapInArrow(_facts, "kind int, id long, n long, fp binary"))
+    facts = cut_lineage(rows.mapInArrow(_facts, "kind int, id long, n long, fp binary, sig array<long>"))
     frequent = spark.sparkContext.broadcast(_frequent(facts))
     prefixes = rows.mapInArrow(_prefixes(frequent), "token long, salt int, id long, n long, pos int")
-    alone = Window.partitionBy("token", "salt")
-    shared = prefixes.withColumn("k", F.count("*").over(alone)).filter("k > 1 or salt > 0").drop("k")
+    # Every document is its own component at first, so a bucket of two documents is kept.
+    live = cut_lineage(_with_hubs(prefixes.withColumn("comp", F.col("id")), 0))
+    free_finished(spark)
+    texts = cut_lineage(rows.join(live.select("id").distinct(), "id", "left_semi"), "zstd")
+    free_finished(spark)
 
     sets = facts.filter("kind = 0 and id is not null and n > 0")
+    sigs = sets.select("id", "n", "sig").distinct()
     first = sets.groupBy("fp").agg(F.min("id").alias("rep"))
-    rep = sets.select("id", "fp").distinct().join(first, "fp").select("id", "rep")
-    buckets = shared.join(rep, "id").select("token", "salt", F.col("rep").alias("id"), "n", "pos").distinct()
-    buckets = cut_lineage(buckets)
-    nodes = _live(buckets, None).select("id").distinct()
-    texts = cut_lineage(rows.join(nodes, "id", "left_semi"))
-
     # Several texts under one id: all of its sets are one node, so equal sets are links like any other.
-    equal = rep.filter("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    done = component = None
-    for step in (1, 2, 0):
-        live = cut_lineage(_live(buckets, component))
-        new = _checked(_hub_pairs(live, step) if step else _all_pairs(live), texts, done)
+    equal = sets.select("id", "fp").distinct().join(first, "fp").filter("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    component, done = connected_components(equal), None
+    for step in range(HUB_ROUNDS + 1):
+        if step:
+            old, rows_left = live, _with_components(live.select("token", "salt", "id", "n", "pos"), component)
+            live = cut_lineage(_with_hubs(rows_left, step)) if step < HUB_ROUNDS else _across(rows_left)
+            drop_written(old)
+            free_finished(spark)
+        pairs = _hub_pairs(live, step) if step < HUB_ROUNDS else _all_pairs(live, sigs)
+        new = _checked(pairs, texts, component, done)
         done = new if done is None else done.unionByName(new)
-        component = connected_components(done.filter("linked").select("a", "b").unionByName(equal))
+        component = _merged(component, new.filter("linked"))
+        free_finished(spark)
     return (facts.filter("kind = 0").join(component.withColumnRenamed("node", "id"), "id", "left")
             .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
                     F.coalesce("component", "id").alias("component_id")))
@@ -274,10 +403,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def first_of_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component the document with the smallest id, once, and every row with a
-    null id."""
+    null id. Of several rows under that id the one whose text has the least hash stays.
+    """
     kept = jaccard_components(docs, id_col, text_col).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    own = docs.join(kept, F.col(id_col) == F.col("_kept"), "left_semi").dropDuplicates([id_col])
-    return own.unionByName(docs.filter(F.col(id_col).isNull()))
+    own = docs.join(kept, docs[id_col] == kept["_kept"], "left_semi")
+    first = Window.partitionBy(id_col).orderBy(F.xxhash64(F.col(text_col)))
+    rank = "_rank_in_component"
+    once = own.withColumn(rank, F.row_number().over(first)).filter(F.col(rank) == 1).drop(rank)
+    return once.unionByName(docs.filter(docs[id_col].isNull()))
 
 
 def op5_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
