@@ -266,4 +266,5 @@ def op4_arc_to_warc(spark, sf_dir: str) -> DataFrame:
     at = f"{checkpoint_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
     write_arc(spark.read.parquet(f"{sf_dir}/pages.parquet"), f"{at}/arc")
     convert(spark, f"{at}/arc", f"{at}/warc")
-    return warc_records(spark, f"{at}/warc")
+    return warc_records(spark, f"{at}/warc").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+                                                   "digests_match")

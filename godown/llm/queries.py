@@ -16,4 +16,52 @@ from godown.llm.token_counts import op10_token_counts
 QUERIES = {f.__name__: f for f in (
     op1_bfd_pack, op2_mcd_quality, op3_language_fusion, op4_arc_to_warc, op5_ngram_jaccard, op6_byte_bpe, op7_int8_neardup,
     op8_quote_links, op9_ordered_pack, op10_token_counts)}
-ORACLE_SQL: dict[str, str] = {}
+
+_SPACE = "\\x20\\x09-\\x0D"
+
+ORACLE_SQL: dict[str, str] = {
+    # Digests by their definition: 160 bits, five at a time, in the letters of base 32.
+    "op4_arc_to_warc": """
+WITH bits AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body,
+         array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(instr('0123456789abcdef', substr(sha1(encode(coalesce(html, ''))), i, 1)) - 1), 4, '0')), '') AS b
+  FROM pages),
+coded AS (
+  SELECT page_id, octet_length(body) AS payload_bytes,
+         array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+           16 * substr(b, 5 * k + 1, 1)::INTEGER + 8 * substr(b, 5 * k + 2, 1)::INTEGER + 4 * substr(b, 5 * k + 3, 1)::INTEGER
+           + 2 * substr(b, 5 * k + 4, 1)::INTEGER + substr(b, 5 * k + 5, 1)::INTEGER, 1)), '') AS payload_digest
+  FROM bits)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN page_id = max(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+       nullif(max(page_id) OVER same, page_id) AS refers_to, true AS digests_match
+FROM coded WINDOW same AS (PARTITION BY payload_digest)""",
+    # All pairs of documents that share a shingle, and all that each reaches.
+    "op5_ngram_jaccard": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^{_SPACE}]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+  JOIN n nx ON nx.doc_id = x.doc_id JOIN n ny ON ny.doc_id = y.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 75 * (any_value(nx.n) + any_value(ny.n) - count(*))),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.other FROM reach r JOIN links l ON l.a = r.doc_id)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id""",
+    # Every pair of vectors.
+    "op7_int8_neardup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x, v y WHERE x.vec_id <> y.vec_id AND list_dot_product(x.e, y.e)
+    >= 0.95 * sqrt(list_dot_product(x.e, x.e) * list_dot_product(y.e, y.e))),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.other FROM reach r JOIN links l ON l.a = r.vec_id)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id)::BIGINT AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
+FROM reach GROUP BY vec_id""",
+}
