@@ -70,7 +70,7 @@ def fit_text(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Log probabilities, one row a language and a last one for undetermined, of every bucket.
 
     Fitted on at most ``sample_rows`` whole rows of the given languages; what comes to the driver is a count per
-    language and bucket. Without any labelled row all languages are alike.
+    language and bucket. Without any labelled row all languages are alike, so none can win and every row is rejected.
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.filter(F.col("lang").isin(*languages) & F.col("id").isNotNull())

@@ -28,16 +28,17 @@ def test_stages(spark, library):  # noqa: F811
 
 
 def test_awkward_rows(spark, docs, no_docs):
-    for frame in (docs, no_docs):
+    for start in (docs, no_docs):
+        frame = start
         for _, stage in corpus_pipeline.STAGES:
             frame = stage(spark, frame, "")
-        assert (frame.count() == 0) == (frame is None) or frame.count() >= 0
+        assert (frame.count() > 0) == (start is docs)
 
 
-@pytest.mark.parametrize("column", ["text", "lang", "source"])
-def test_all_null_columns(spark, docs, column):
+@pytest.mark.parametrize("columns", [["text", "lang"], ["source"]])
+def test_all_null_columns(spark, docs, columns):
     from pyspark.sql import functions as F
-    frame = docs.limit(8).withColumn(column, F.lit(None).cast("string"))
+    frame = docs.limit(8).withColumns({c: F.lit(None).cast("string") for c in columns})
     for _, stage in corpus_pipeline.STAGES:
         frame = stage(spark, frame, "")
-    frame.count()
+    assert (frame.count() > 0) == (columns == ["source"])
