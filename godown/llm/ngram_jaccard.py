@@ -19,6 +19,7 @@ from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -267,9 +268,7 @@ def _checked(pairs: DataFrame, texts: DataFrame, component: DataFrame, before: D
     pairs = (pairs.join(c.withColumnsRenamed({"id": "a", "c": "ca"}), "a", "left").join(c.withColumnsRenamed({"id": "b", "c": "cb"}), "b", "left")
              .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
     if before is not None:
-        pairs = cut_lineage(pairs.join(before.select("a", "b"), ["a", "b"], "left_anti"))
-        ids = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-        texts = texts.join(ids, "id", "left_semi")
+        pairs = pairs.join(before.select("a", "b"), ["a", "b"], "left_anti")
     both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"))
     out = both.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long, linked boolean")
@@ -376,7 +375,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # Every document is its own component at first, so a bucket of two documents is kept.
     live = cut_lineage(_with_hubs(prefixes.withColumn("comp", F.col("id")), 0))
     free_finished(spark)
-    texts = cut_lineage(rows.join(live.select("id").distinct(), "id", "left_semi"), "zstd")
+    # Dealt by id once and kept there; every round's joins find the texts in place. Lost parts are read again.
+    dealt = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = rows.join(live.select("id").distinct(), "id", "left_semi").repartition(dealt, "id").persist(StorageLevel.MEMORY_AND_DISK)
     free_finished(spark)
 
     sets = facts.filter("kind = 0 and id is not null and n > 0")
@@ -396,6 +397,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         done = new if done is None else done.unionByName(new)
         component = _merged(component, new.filter("linked"))
         free_finished(spark)
+    texts.unpersist()
     return (facts.filter("kind = 0").join(component.withColumnRenamed("node", "id"), "id", "left")
             .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
                     F.coalesce("component", "id").alias("component_id")))
