@@ -221,7 +221,8 @@ def rank_encoder(path: str):
 
     For a .json file this holds only where merges are listed in the order of the ids they make (checked), as
     then merging by rank and by list are the same; special strings keep the ids that tokenizers gives them.
-    Other files go through ``Words``.
+    Other files go through ``Words``, and so do texts on which tiktoken gives up: its regex engine raises an error
+    at about a million white-space characters in a row.
     """
     import tiktoken
     specials: dict[str, int] = {}
@@ -245,7 +246,11 @@ def rank_encoder(path: str):
     allowed = set(specials)
 
     def encode_one(text: str) -> np.ndarray:
-        return enc.encode_to_numpy(text, allowed_special=allowed, disallowed_special=()).astype(np.uint32, copy=False)
+        try:
+            ids = enc.encode_to_numpy(text, allowed_special=allowed, disallowed_special=())
+        except ValueError:
+            ids = words_for(path).encode([text])[0]
+        return ids.astype(np.uint32, copy=False)
 
     return encode_one
 

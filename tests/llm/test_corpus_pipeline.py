@@ -42,3 +42,16 @@ def test_all_null_columns(spark, docs, columns):
     for _, stage in corpus_pipeline.STAGES:
         frame = stage(spark, frame, "")
     assert (frame.count() > 0) == (columns == ["source"])
+
+
+def test_very_long_white_space_run(spark):
+    """A document with two million spaces between its paragraphs passes every stage, whole."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    a, b = docs.filter("lang = 'en' and n_chars between 1000 and 3000").orderBy("doc_id").limit(2).collect()
+    padded = (1_000_000, a.text + " " * 2_000_000 + b.text, a.lang, a.source, len(a.text) + 2_000_000 + len(b.text))
+    frame = docs.unionByName(spark.createDataFrame([padded], docs.schema))
+    for _, stage in corpus_pipeline.STAGES:
+        frame = stage(spark, frame, sf)
+    pieces = frame.filter("doc_id = 1000000").collect()
+    assert sum(p.length for p in pieces) == pieces[0].doc_tokens > 2_000_000

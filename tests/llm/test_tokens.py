@@ -219,3 +219,26 @@ def test_digest_columns_are_those_of_the_text(spark, ranks):
         assert got[d].n_tokens == len(ids) and got[d].n_chars == len(t or "")
         assert got[d].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert got[d].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
+
+
+def test_very_long_white_space_runs(spark, library):
+    """Texts on which tiktoken's regex engine gives up have the ids of the tokenizers library, and cost no other row."""
+    from pyspark.sql import functions as F
+    prose = "Some words stand here, and end. " * 20
+    rows = [(0, prose, "en", "s"), *[(k + 1, prose + c * 2_000_000 + prose, "en", "s") for k, c in enumerate(" \n")],
+            (3, "<|endoftext|>" + " " * 1_100_000, "en", "s")]
+    one = pretok.ranks_for(JSON)
+    for _, t, *_ in rows:
+        assert np.array_equal(one(t), library(t))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(1)
+    want = {d: ids for d, t, *_ in rows for ids in [library(t)]}
+    packed = bfd_pack.unpack(bfd_pack.pack_bfd(docs))
+    ordered = ordered_pack.pack_ordered(docs).withColumn("ids_crc32", F.crc32("ids"))
+    for pieces, end_id in ((packed, 50256), (ordered, 1)):
+        got = defaultdict(int)
+        for p in pieces.collect():
+            ids = [*want[p.doc_id], end_id]
+            assert p.doc_tokens == len(ids)
+            assert p.ids_crc32 == zlib.crc32(np.array(ids[p.start:p.start + p.length], "<u4").tobytes())
+            got[p.doc_id] += p.length
+        assert got == {d: len(ids) + 1 for d, ids in want.items()}
