@@ -23,13 +23,15 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 DIMS = ("t_length", "t_symbols", "t_lines", "t_repeats")
 #: Least scale of each statistic, added to the estimated covariance: log word length varies by some hundredths between
 #: ordinary texts, prose holds next to no symbols, and a refrain or a repeated heading is no fault. Without it a group
-#: whose nearer rows are all 0 in one statistic would have a singular estimate and reject any row that is not.
-FLOORS = (0.05, 0.02, 0.30, 0.30)
+#: whose nearer rows are all 0 in one statistic would have a singular estimate and reject any row that is not. The
+#: distance is at most the sum of (deviation / floor)^2, so each floor has to let its statistic pass ``CUTOFF`` alone:
+#: where nobody else repeats anything, from 74 % repeated lines or 42 % words in repeated windows on.
+FLOORS = (0.08, 0.032, 0.20, 0.15)
 #: Whole-number units per 1.0 of a statistic, and histogram bins per floor.
 UNIT, FINE = 100_000, 8
 SHARE, STEPS, MIN_GROUP = 0.75, 4, 100
-#: Squared distance beyond which a vector is rejected (chi-square with 4 degrees of freedom, tail of about 1e-9).
-CUTOFF = 47.0
+#: Squared distance beyond which a vector is rejected (chi-square with 4 degrees of freedom, quantile 0.999).
+CUTOFF = 18.467
 CHI2_MEDIAN = 3.3567
 #: Distance bins: 32 to a unit of the logarithm of 1 + squared distance.
 BINS = 32

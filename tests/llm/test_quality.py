@@ -115,3 +115,21 @@ def test_empty_table_and_native_plan(table, capsys):
     Q.quality(table).explain()
     Q.statistics(table).explain()
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+def test_each_statistic_rejects_alone(spark):
+    """In a group where nobody else repeats anything: a listing in varying order, and a text said half over again."""
+    from llm.awkward import text
+    rnd = random.Random(5)
+    rows = [(k, text(rnd, rnd.randint(80, 400)), "en", "a") for k in range(150)]
+    items = text(rnd, 40).split() * 5
+    rnd.shuffle(items)
+    words = text(rnd, 380).split()
+    rows += [(200, "\n".join(items), "en", "a"), (201, " ".join(words + words[:118]), "en", "a"),
+             (202, " ".join(x + " |" * (k % 8 == 0) for k, x in enumerate(words)), "en", "a"), (203, " ".join(x * 2 for x in words), "en", "a")]
+    at = {r[0]: counts(r[1]) for r in rows}
+    assert at[200][3] > 0.75 * 200 and at[201][3] == 0 and 0.45 < at[201][4] / at[201][0] < 0.5
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in Q.quality(df).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {d for d, r in got.items() if not r.kept} == {200, 201, 202, 203}
