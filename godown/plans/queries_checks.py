@@ -192,3 +192,13 @@ def label_recount_all(b):
     wrong = checks.label_recount(t, sample=None).agg(F.count(F.lit(1)).alias("wrong"))
     return t[SNAPS].filter("outcome_known").agg(F.count(F.lit(1)).alias("snapshots"),
                                                 F.sum(F.col("stockout_14d").cast("long")).alias("stockouts")).crossJoin(wrong)
+
+
+@query("supplier_leakage_all", f"""
+SELECT count(*) AS snapshots, count(DISTINCT (snapshot_date, supplier_id)) AS recounted, 0::BIGINT AS wrong FROM {SNAPS}""")
+def supplier_leakage_all(b):
+    """The supplier on-time feature recounted for every snapshot, not only for the first week of a month."""
+    t = b.tables()
+    wrong = checks.supplier_leakage(t, sample=None).agg(F.count(F.lit(1)).alias("wrong"))
+    return t[SNAPS].agg(F.count(F.lit(1)).alias("snapshots"),
+                        F.count_distinct(F.struct("snapshot_date", "supplier_id")).alias("recounted")).crossJoin(wrong)

@@ -40,3 +40,18 @@ def test_feature_plans_pair_nothing(spark):
         assert any(t in near for t in ("r_regionkey", "ReusedExchange", "InMemoryTableScan")), near
     sup = supplier_trailing(b.fact_purchase_orders, snaps.selectExpr("snapshot_date AS date", "supplier_id"))
     assert "CartesianProduct" not in _plan(sup)
+
+
+def test_supplier_leakage_in_every_week(build):
+    """A leaked supplier feature after the first week of a month is seen by the full recount only."""
+    from pyspark.sql import functions as F
+
+    from godown.plans import checks
+    t = build.tables()
+    assert checks.supplier_leakage(t, sample=None).count() == 0
+    late = t["stockout_snapshots"].withColumn("supplier_on_time_180d", F.col("supplier_on_time_180d") + F.when(
+        F.dayofmonth("snapshot_date") > 7, 0.1).otherwise(0.0))
+    broken = t | {"stockout_snapshots": late}
+    want = late.filter(F.dayofmonth("snapshot_date") > 7).select("snapshot_date", "supplier_id").distinct().count()
+    assert checks.supplier_leakage(broken).count() == 0
+    assert checks.supplier_leakage(broken, sample=None).select("snapshot_date", "supplier_id").distinct().count() == want > 0
