@@ -25,7 +25,7 @@ from godown.session import cut_lineage
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Split points of a node, entries below which it is a leaf.
-DEGREE, LEAF = 8, 12
+DEGREE, LEAF = 8, 96
 
 
 def _down(x: np.ndarray) -> np.ndarray:
@@ -36,16 +36,20 @@ def _up(x: np.ndarray) -> np.ndarray:
     return np.nextafter(x, np.inf)
 
 
+def exact_doubles(most: int, width: int) -> bool:
+    """Whether doubles hold every product and sum of a squared distance exactly, for components of at most ``most``."""
+    return 4 * most * most * width < 1 << 53
+
+
 def squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Exact squared distances of whole-number rows; by a product of doubles where these hold every value exactly."""
-    if not len(x) or not len(y) or not x.shape[1]:
-        return np.zeros((len(x), len(y)), np.int64)
-    most = max(int(np.abs(x).max()), int(np.abs(y).max()))
-    if 4 * most * most * x.shape[1] < 1 << 53:
-        u, v = x.astype(np.float64), y.astype(np.float64)
-        d = np.einsum("ij,ij->i", u, u)[:, None] + np.einsum("ij,ij->i", v, v)[None, :] - 2 * (u @ v.T)
-        return d.astype(np.int64)
-    return np.stack([((x - e) ** 2).sum(axis=1) for e in y], axis=1)
+    """Squared distances of whole-number rows: by a matrix product for doubles, which then hold each value exactly, else in
+    64-bit whole numbers."""
+    if x.dtype != np.float64:
+        return np.stack([((x - e) ** 2).sum(axis=1) for e in y], axis=1) if len(y) else np.zeros((len(x), 0), x.dtype)
+    d = x @ (-2 * y.T)
+    d += np.einsum("ij,ij->i", x, x)[:, None]
+    d += np.einsum("ij,ij->i", y, y)
+    return d
 
 
 class Gnat:
@@ -66,6 +70,7 @@ class Gnat:
                 chosen.pop()
                 break
             far = np.minimum(far, squared(self.entries[ids], self.entries[ids[chosen[-1:]]])[:, 0])
+        chosen = np.sort(chosen)
         splits, rest = ids[chosen], np.delete(ids, chosen)
         d = squared(self.entries[splits], self.entries[rest])
         home = d.argmin(axis=0)
@@ -81,35 +86,34 @@ class Gnat:
 
     def nearest(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index and squared distance of each query's nearest entry, the lower index of several."""
-        best = np.full(len(queries), np.iinfo(np.int64).max)
+        most = max((int(np.abs(x).max()) for x in (queries, self.entries) if x.size), default=0)
+        kind = np.float64 if exact_doubles(most, self.entries.shape[1]) else np.int64
+        best = np.full(len(queries), np.inf if kind is np.float64 else np.iinfo(np.int64).max, kind)
         index = np.full(len(queries), len(self.entries))
-        self._visit(self.root, queries, np.arange(len(queries)), best, index)
-        return index, best
+        self._visit(self.root, queries.astype(kind), self.entries.astype(kind), np.arange(len(queries)), best, index)
+        return index, best.astype(np.int64)
 
-    def _visit(self, node, queries, rows, best, index) -> None:
+    def _visit(self, node, queries, entries, rows, best, index) -> None:
         ids, children, low, high = node
-        d = squared(queries[rows], self.entries[ids])
+        d = squared(queries[rows], entries[ids])
         self.compared += d.size
-        order = np.argsort(ids)
-        k = order[d[:, order].argmin(axis=1)]  # of equal distances the lower index
+        k = d.argmin(axis=1)  # the ids of a node ascend, so of equal distances this is the lower index
         near = d[np.arange(len(rows)), k]
         better = (near < best[rows]) | (near == best[rows]) & (ids[k] < index[rows])
         best[rows[better]], index[rows[better]] = near[better], ids[k[better]]
         if children is None:
             return
-        root = np.sqrt(d)
-        below, above = _down(root), _up(root)
-        home = d.argmin(axis=1)
-        for nearest_first in (True, False):
-            for j, child in enumerate(children):
-                if child is None:
-                    continue
-                some = np.flatnonzero((home == j) == nearest_first)
-                # No entry of the child is nearer than the larger of these; rounded down, so what ties is visited.
-                least = np.maximum(_down(below[some] - high[:, j]), _down(low[:, j] - above[some])).max(axis=1)
-                some = some[~(least > _up(np.sqrt(best[rows[some]])))]
-                if len(some):
-                    self._visit(child, queries, rows[some], best, index)
+        for j, child in enumerate(children):  # the nearest split point's child first
+            if child is not None and len(own := np.flatnonzero(k == j)):
+                self._visit(child, queries, entries, rows[own], best, index)
+        # Rounded outwards: from a split point, what may be nearer or tie lies between these two distances.
+        reach = _up(np.sqrt(best[rows]))[:, None]
+        inner, outer = _down(_down(np.sqrt(d)) - reach), _up(_up(np.sqrt(d)) + reach)
+        for j, child in enumerate(children):
+            if child is not None:
+                gone = ((inner > high[:, j]) | (outer < low[:, j])).any(axis=1) | (k == j)
+                if not gone.all():
+                    self._visit(child, queries, entries, rows[~gone], best, index)
 
 
 def _whole(batches):
@@ -150,7 +154,9 @@ def _sums(books):
             parts = np.split(_matrix(b.column(0).to_pylist(), book.shape[0] * book.shape[2]), len(book), axis=1)
             for p, x in enumerate(parts):
                 index, _ = trees[p].nearest(x)
-                np.add.at(total[p], index, x)
+                order = np.argsort(index, kind="stable")
+                first = np.flatnonzero(np.diff(index[order], prepend=-1))
+                total[p, index[order[first]]] += np.add.reduceat(x[order], first, axis=0)
                 count[p] += np.bincount(index, minlength=count.shape[1])
         part, entry = np.nonzero(count)
         yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(entry.astype(np.int32)), pa.array(count[part, entry]),
