@@ -81,8 +81,11 @@ def _flat(lists: Iterable[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 def _block(ids: list, texts: list, base: int, splitter: Splitter, known: dict[str, int]):
     """Rows (word, base, packed) of a block. ``packed`` holds the documents as 16-bit numbers, then as many frequencies of
-    one byte (a larger one takes several places). The word '' carries id, bytes and known pieces of every document.
+    one byte (a larger one takes several places). A word of its own, which no text can hold, carries id, bytes and known pieces
+    of every document.
     """
+    if len(texts) > 1 << 16:
+        raise ValueError("a block numbers its documents with 16 bits")
     chunk_no: dict[str, int] = {}
     chunk, doc_at = _flat([chunk_no.setdefault(c, len(chunk_no)) for c in splitter.chunks(t)] if t else [] for t in texts)
     doc = np.repeat(np.arange(len(texts)), np.diff(doc_at))
@@ -105,7 +108,7 @@ def _block(ids: list, texts: list, base: int, splitter: Splitter, known: dict[st
     sizes = np.array([len(t.encode()) if t else 0 for t in texts], np.int64)
     null = np.array([i is None for i in ids], np.int64)
     own = np.concatenate([np.array([i or 0 for i in ids], np.int64), null, sizes, sure]).astype("<i8").tobytes()
-    yield pa.record_batch([pa.array([""]), pa.array([base]), pa.array([own], pa.binary())], names=["word", "base", "packed"])
+    yield pa.record_batch([pa.array([f"\0{base}\0"]), pa.array([base]), pa.array([own], pa.binary())], names=["word", "base", "packed"])
     times = -(-freq // 255)  # places of one byte
     part = np.full(times.sum(), 255)
     part[np.cumsum(times) - 1] = freq - 255 * (times - 1)
@@ -126,7 +129,7 @@ def _frequencies(vocabulary: str):
         ids, texts, size = [], [], 0
         for b in batches:
             new, new_ids = b.column(1).to_pylist(), b.column(0).to_pylist()
-            for i, j in text_batches(new, BLOCK_CHARS // 16):
+            for i, j in ((k, min(k + BLOCK_DOCS, j)) for i, j in text_batches(new, BLOCK_CHARS // 16) for k in range(i, j, BLOCK_DOCS)):
                 own = sum(len(t) for t in new[i:j] if t)
                 if ids and (size + own > BLOCK_CHARS or len(ids) + j - i > BLOCK_DOCS):
                     yield from _block(ids, texts, base, splitter, known)
@@ -160,7 +163,7 @@ def _sums(batches):
 
     bases, number = np.zeros(0, np.int64), {}
     for b in batches:
-        own = pc.equal(b.column(0), "")
+        own = b.column(3).is_null()  # no pre-token, so it met none
         for k in np.flatnonzero(own.to_numpy(zero_copy_only=False)).tolist():
             yield pa.record_batch([b.column(1).slice(k, 1), b.column(2).slice(k, 1), pa.nulls(1, pa.binary())], names=names)
         b = b.filter(pc.invert(own))
@@ -214,8 +217,8 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pieces = (rows.select("text").mapInArrow(_distinct(vocabulary), "word string").distinct()
               .mapInArrow(_count(vocabulary), "word string, pieces long"))
     freq = rows.mapInArrow(_frequencies(vocabulary), "word string, base long, packed binary")
-    documents = docs.sparkSession.range(1).select(F.lit("").alias("word"), F.col("id").alias("pieces"))
-    sums = (freq.join(pieces.unionByName(documents), "word").select("word", "base", "packed", "pieces")
+    # Each block's documents have a key of their own, so they spread over all tasks and pass the join by.
+    sums = (freq.join(pieces, "word", "left").select("word", "base", "packed", "pieces")
             .mapInArrow(_sums, "base long, documents binary, packed binary"))
     counts = sums.groupBy("base").applyInArrow(_total, "doc_id long, n_bytes long, n_tokens long")
     return counts.withColumn("over_limit", F.col("n_tokens") > limit)

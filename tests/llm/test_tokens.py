@@ -80,6 +80,21 @@ def test_token_counts_across_blocks(docs, rows, library, monkeypatch):
     assert all(w not in known for b in blocks for w in b.column(0).to_pylist() if w)
 
 
+@pytest.mark.parametrize("rows_a_batch", ["1", "10000", "200000"])
+def test_token_counts_of_any_batch(spark, library, rows_a_batch):
+    """More documents in one Arrow batch than a block numbers."""
+    n = 70_000 if rows_a_batch == "200000" else 300
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_a_batch)
+    try:
+        df = spark.range(n).selectExpr("id as doc_id", "concat('zqxjkw', ' vbnmqq', id % 3) as text").coalesce(1)
+        got = token_counts.token_counts(df).groupBy("n_tokens").count().collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = {len(library.encode(f"zqxjkw vbnmqq{k}", add_special_tokens=False).ids) for k in range(3)}
+    assert {r.n_tokens for r in got} == want and sum(r["count"] for r in got) == n
+
+
 def test_encode_and_decode(docs, no_docs, rows, ranks):
     enc = byte_bpe.encode(docs)
     table = byte_bpe.token_bytes(RANKS)
