@@ -35,6 +35,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 FIRST_DAY = datetime(2001, 1, 1, tzinfo=timezone.utc)
 #: The text sink's gzip at its fastest level: a third of the time for a few hundredths more bytes.
 FAST = {"zlib.compress.level": "BEST_SPEED"}
+#: Records of a version block and of an ARC file, each with its version blocks.
+BLOCK_RECORDS, FILE_RECORDS = 100, 5000
 #: Payload bytes that go through Arrow at once.
 BATCH_BYTES = 8_000_000
 
@@ -75,21 +77,40 @@ def arc_record(version: int, url: str, date: str, content: bytes, offset: int, n
     return " ".join(head[f] for f in FIELDS[version]).encode() + b"\n" + content
 
 
-def read_arc(stream: io.BufferedReader) -> Iterator[tuple[int, dict, bytes, bool]]:
+_ADDRESS_DATE = re.compile(r" ([0-9A-Fa-f.:]+|-) (\d{4,14}) ")
+
+
+def header_fields(text: str, version: int) -> dict[str, str] | None:
+    """Fields of a header line by shape: URL, address and date from the left, the others from the right, so that the URL, the
+    content type and the location may hold spaces. None if the line has not the shape of the version."""
+    m = _ADDRESS_DATE.search(text)
+    if not m or not m.start():
+        return None
+    rest = text[m.end():].split(" ")
+    if not re.fullmatch(r"\d{1,18}", rest[-1]):
+        return None
+    found = {"URL": text[:m.start()], "IP-address": m[1], "Archive-date": m[2], "Archive-length": rest[-1]}
+    if version == 1:
+        return found | {"Content-type": " ".join(rest[:-1])} if len(rest) > 1 else None
+    code = next((k for k in range(1, len(rest) - 5) if re.fullmatch(r"\d{3}|-", rest[k])), None)
+    if code is None or not rest[-3].isdecimal():
+        return None
+    return found | {"Content-type": " ".join(rest[:code]), "Result-code": rest[code], "Checksum": rest[code + 1],
+                    "Location": " ".join(rest[code + 2:-3]), "Offset": rest[-3], "Filename": rest[-2]}
+
+
+def read_arc(stream: io.BufferedReader) -> Iterator[tuple[int, dict | None, bytes, bool]]:
     """(offset, header fields, content, whole) of every record after a version block.
 
-    The fields are those of the file's version (5 or 10, by count where the version block is missing). URLs may hold
-    spaces, as the other fields cannot. Lines that are no header are skipped. A record that is longer than the
-    rest of the file is given as far as it goes, not whole. Version blocks inside a file start anew.
+    The fields are those of the file's version (by shape where the version block is missing). A line that is not blank and
+    no header is given too, with None for its fields. A record that is longer than the rest of the file is given as far as
+    it goes, not whole. Version blocks inside a file start anew.
     """
     version, offset = None, 0
     while line := stream.readline():
         start, offset = offset, offset + len(line)
         text = line.decode("utf-8", "replace").rstrip("\r\n")
-        fields = next((dict(zip(FIELDS[v], text.rsplit(" ", len(FIELDS[v]) - 1), strict=True))
-                       for v in ([version] if version else [2, 1])
-                       if text.count(" ") >= len(FIELDS[v]) - 1 and re.fullmatch(r"\d{1,18}", text.rpartition(" ")[2])
-                       and re.fullmatch(r"\d{4,14}", text.rsplit(" ", len(FIELDS[v]) - 1)[2])), None)
+        fields = next((f for v in ([version] if version else [2, 1]) if (f := header_fields(text, v))), None)
         if text.startswith("filedesc:") and (m := re.search(r" (\d{1,9})$", text)):
             block = stream.read(int(m[1]))
             offset += len(block)
@@ -98,12 +119,14 @@ def read_arc(stream: io.BufferedReader) -> Iterator[tuple[int, dict, bytes, bool
             content = stream.read(int(fields["Archive-length"]))
             offset += len(content)
             yield start, fields, content, len(content) == int(fields["Archive-length"])
+        elif text.strip():
+            yield start, None, line, False
 
 
 def write_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
               compression: str = "gzip") -> None:
-    """Write pages as ARC files (gzipped, or plain with ``compression`` none), a file a partition, in turn of version 1
-    and 2.
+    """Write pages as ARC files (gzipped, or plain with ``compression`` none) of at most ``FILE_RECORDS`` records. A file has
+    several version blocks, of version 1 and 2 in turn.
 
     The payload is the page in UTF-8 (null: empty) after an HTTP head that carries the page's id (none if null). White
     space and controls in URLs are percent-encoded; a null or empty URL is '-'. An empty table leaves no record.
@@ -111,12 +134,15 @@ def write_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str
     def run(batches):
         def records():
             number = TaskContext.get().partitionId()
-            version, name = 1 + number % 2, f"pages-{number:05d}.arc"
-            block = arc_version_block(name, version)
-            offset = len(block) + 1
-            yield (block,)
+            name, offset, n = f"pages-{number:05d}.arc", 0, 0
             for b in batches:
                 for page, url, html in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    if n % (BLOCK_RECORDS - 1) == 0:  # the block itself is a record of the sink
+                        version = 1 + n // (BLOCK_RECORDS - 1) % 2
+                        block = arc_version_block(name, version)
+                        offset = (offset if n % (FILE_RECORDS // BLOCK_RECORDS * (BLOCK_RECORDS - 1)) else 0) + len(block) + 1
+                        yield (block,)
+                    n += 1
                     url = re.sub(r"[\x00-\x20\x7f-\xa0]", lambda m: "".join(f"%{c:02X}" for c in m[0].encode()), url or "") or "-"
                     body = (html or "").encode()
                     own = b"" if page is None else f"X-Page-Id: {page}\r\n".encode()
@@ -129,7 +155,8 @@ def write_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html"))
     (rows.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
-     .write.mode("error").option("lineSep", "\n").option("compression", compression).options(**FAST).text(path))
+     .write.mode("error").option("lineSep", "\n").option("compression", compression).option("maxRecordsPerFile", FILE_RECORDS)
+     .options(**FAST).text(path))
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -138,9 +165,10 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 ARC_SCHEMA = pa.schema([("record_id", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("ip", pa.string()),
                         ("date", pa.string()), ("mime", pa.string()), ("head", pa.binary()), ("payload", pa.binary()),
-                        ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("whole", pa.bool_())])
+                        ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("whole", pa.bool_()),
+                        ("file", pa.string()), ("offset", pa.int64()), ("unparsed", pa.binary())])
 ARC_DDL = ("record_id string, page_id long, url string, ip string, date string, mime string, head binary, payload binary, "
-           "payload_bytes long, payload_digest string, whole boolean")
+           "payload_bytes long, payload_digest string, whole boolean, file string, offset long, unparsed binary")
 
 
 def iso_date(digits: str) -> str:
@@ -158,19 +186,23 @@ def _page_id(head: bytes) -> int | None:
 
 
 def arc_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """Every record of the ARC files under ``path``; without ``payloads`` only their lengths and digests."""
+    """Every record of the ARC files under ``path``; without ``payloads`` only their lengths and digests. A line that is no
+    header gives a row too: its bytes are in ``unparsed`` (else null) and all but file and offset is null."""
     def run(batches):
         def records():
             for b in batches:
                 for k in range(b.num_rows):
                     name = b.column(0)[k].as_py().rpartition("/")[2]
                     for offset, f, content, whole in read_arc(_opened(b.column(1)[k].as_py())):
+                        if f is None:
+                            yield (*[None] * 10, False, name, offset, content)
+                            continue
                         end = re.search(rb"\r?\n\r?\n", content) if content.startswith(b"HTTP/") else None
                         head, payload = (content[:end.end()], content[end.end():]) if end else (b"", content)
                         sha, date = digest(payload), iso_date(f["Archive-date"])
                         record = uuid.uuid5(uuid.NAMESPACE_URL, f"{f['URL']} {date} {sha} {name} {offset}")
                         yield (f"<urn:uuid:{record}>", _page_id(head), f["URL"], f["IP-address"], date, f["Content-type"],
-                               head, payload if payloads else b"", len(payload), sha, whole)
+                               head, payload if payloads else b"", len(payload), sha, whole, name, offset, None)
         yield from _sendable(records(), ARC_SCHEMA)
     return _files(spark, path).mapInArrow(run, ARC_DDL)
 
@@ -204,13 +236,16 @@ def read_warc(stream: io.BufferedReader) -> Iterator[tuple[dict[str, str], bytes
         yield fields, stream.read(int(fields.get("content-length", 0)))
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, least_bytes: int = 0) -> None:
-    """Convert the ARC files under ``arc_path`` to gzipped WARC files under ``warc_path``.
+def convert(spark: SparkSession, arc_path: str, warc_path: str, least_bytes: int = 0) -> DataFrame:
+    """Convert the ARC files under ``arc_path`` to gzipped WARC files under ``warc_path``; returns the lines (file, offset,
+    unparsed) that are neither a header nor within a record, from the written index.
 
     Of records with equal payloads of at least ``least_bytes`` bytes, the one with the largest page id is a response
     (of repeated rows, the one with the largest record id; null ids come last), the others are revisits of it.
     """
-    index = cut_lineage(arc_records(spark, arc_path, payloads=False).select("record_id", "page_id", "payload_bytes", "payload_digest"))
+    read = cut_lineage(arc_records(spark, arc_path, payloads=False).select(
+        "record_id", "page_id", "payload_bytes", "payload_digest", "file", "offset", "unparsed"))
+    index = read.filter("unparsed is null")
     same = ["payload_digest", "payload_bytes"]
     groups = (index.filter(F.col("payload_bytes") >= least_bytes).groupBy(same)
               .agg(F.max(F.struct("page_id", "record_id")).alias("first"), F.count("*").alias("n")).filter("n > 1")
@@ -224,9 +259,10 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least_bytes: int
                     yield (warc_record("revisit" if r["refers_to"] else "response", r),)
         yield from _sendable(records(), pa.schema([("record", pa.binary())]))
 
-    joined = arc_records(spark, arc_path).join(revisits, "record_id", "left")
+    joined = arc_records(spark, arc_path).filter("unparsed is null").drop("unparsed", "file", "offset").join(revisits, "record_id", "left")
     (joined.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
      .write.mode("error").option("lineSep", "\r\n\r\n").option("compression", "gzip").options(**FAST).text(warc_path))
+    return read.filter("unparsed is not null").select("file", "offset", "unparsed")
 
 
 def warc_records(spark: SparkSession, path: str) -> DataFrame:

@@ -25,10 +25,39 @@ def test_arc_headers_of_both_versions():
     assert [c for _, _, c, _ in got][:2] == [b"HTTP/1.0 200 OK\r\n\r\nhi\n\n", b"plain"]
     assert [w for *_, w in got] == [True, True, False]
     bare = b"no header\n" + arc_warc.arc_record(2, "http://e", "20010101000000", b"a 1 2 3 4\n", 0, "z") + b"\njunk\n"
-    assert [c for _, _, c, _ in read_all(bare)] == [b"a 1 2 3 4\n"]  # by field count, without a version block
+    assert [c for _, f, c, _ in read_all(bare) if f] == [b"a 1 2 3 4\n"]  # by shape, without a version block
+    assert [(o, c) for o, f, c, _ in read_all(bare) if not f] == [(0, b"no header\n"), (len(bare) - 5, b"junk\n")]
     assert arc_warc.iso_date("1999") == "1999-01-01T00:00:00Z" and arc_warc.iso_date("20019901000000") == "1970-01-01T00:00:00Z"
 
 
+def test_arc_headers_with_spaces():
+    one = arc_warc.arc_version_block("x.arc", 1) + b"\n"
+    one += b"http://a/ 7 b 10.0.0.1 20010203040506 text/html; charset=utf-8 5\nhello\nhttp://b ::1 1999 text/plain 2\nhi\n- - 2001 no type 1\nx"
+    got = read_all(one)
+    assert [(f["URL"], f["IP-address"], f["Archive-date"], f["Content-type"], c) for _, f, c, _ in got] == [
+        ("http://a/ 7 b", "10.0.0.1", "20010203040506", "text/html; charset=utf-8", b"hello"), ("http://b", "::1", "1999", "text/plain", b"hi"),
+        ("-", "-", "2001", "no type", b"x")]
+    two = arc_warc.arc_version_block("y.arc", 2) + b"\nhttp://c 10.0.0.1 20010203040506 text/html; charset=utf-8 302 abc http://to/ here 77 y.arc 3\nabc\n"
+    (_, f, content, _), = [r for r in read_all(two) if r[1]]
+    assert (f["Content-type"], f["Result-code"], f["Checksum"], f["Location"], f["Offset"], content) == (
+        "text/html; charset=utf-8", "302", "abc", "http://to/ here", "77", b"abc")
+    for text in ("", " ", "a b", "http://a 1.1.1.1 2001 5", "http://a 1.1.1.1 2001 x y", " 1.1.1.1 2001 t 5"):
+        assert arc_warc.header_fields(text, 1) is None
+    assert arc_warc.header_fields("http://a 1.1.1.1 2001 t 200 - - off f 5", 2) is None
+
+
+def test_unparsed_lines_are_returned(spark, tmp_path):
+    (tmp_path / "arc").mkdir()
+    good = b"http://a/ 10.0.0.1 20010203040506 text/html; charset=utf-8 5\nhello\n"
+    data = arc_warc.arc_version_block("x.arc", 1) + b"\n" + good + b"a damaged header\nits payload\n" + good.replace(b"a/", b"b/")
+    (tmp_path / "arc" / "part-0.arc").write_bytes(data)
+    lost = arc_warc.convert(spark, str(tmp_path / "arc"), str(tmp_path / "warc"))
+    assert [(r.file, r.offset, bytes(r.unparsed)) for r in lost.orderBy("offset").collect()] == [
+        ("part-0.arc", data.index(b"a damaged"), b"a damaged header\n"), ("part-0.arc", data.index(b"its"), b"its payload\n")]
+    got = arc_warc.warc_records(spark, str(tmp_path / "warc")).collect()
+    assert sorted((r.url, r.payload_bytes, r.record_type) for r in got)[0][:2] == ("http://a/", 5) and len(got) == 2
+
+
 def pages():
     rnd = random.Random(8)
     html = [f"<html lang='en'>{rnd.random()}</html>" for _ in range(20)] + ["", "é\r\n\r\nWARC/1.1\r\nx: y\r\n\r\n", "\n", "x" * 3_000_000]
@@ -37,9 +66,11 @@ def pages():
     return rows
 
 
-def test_round_trip(spark, tmp_path):
+def test_round_trip(spark, tmp_path, monkeypatch):
     from pyspark.sql import functions as F
     rows = pages()
+    monkeypatch.setattr(arc_warc, "BLOCK_RECORDS", 5)  # before the tasks are sent
+    monkeypatch.setattr(arc_warc, "FILE_RECORDS", 20)
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("own") for c in ("record", "path", "head")})
     arc_warc.write_arc(df.repartition(3), str(tmp_path / "arc"), compression="none")
     arc_warc.convert(spark, str(tmp_path / "arc"), str(tmp_path / "warc"))
@@ -62,6 +93,8 @@ def test_round_trip(spark, tmp_path):
     data = b"".join(gzip.decompress(p.read_bytes()) for p in sorted((tmp_path / "warc").glob("part-*.gz")))
     assert data.count(b"WARC-Record-ID: <urn:uuid:") == len(rows)
     assert len({r.record_id for r in got}) == len(rows)
+    blocks = b"".join(p.read_bytes() for p in sorted((tmp_path / "arc").glob("part-*")))
+    assert blocks.count(b" text/plain ") == blocks.count(b"filedesc://") > 3 and b"\n1 0 godown" in blocks and b"\n2 0 godown" in blocks
 
 
 def test_no_pages(spark, tmp_path):
