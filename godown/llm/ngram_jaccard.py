@@ -49,6 +49,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+#: Bytes of a word beyond which a library hashes it.
+LONG_WORD = 64
 _BASE = 0xD1342543DE82EF95  # odd, so it has an inverse
 
 
@@ -56,7 +58,8 @@ class Shingles:
     """Distinct shingles of texts, each a sorted array of 64-bit hashes.
 
     All words of a batch are hashed at once: a word's hash is the sum of its mixed bytes times powers of a base, a
-    difference of running sums that is shifted to the word's start by the base's inverse, and then mixed.
+    difference of running sums that is shifted to the word's start by the base's inverse, and then mixed. Long words, few in
+    any text, have a library's hash.
     """
 
     def __init__(self):
@@ -75,7 +78,11 @@ class Shingles:
         start, end = edge[::2], edge[1::2]
         running = np.cumsum(_BYTE[raw] * self.power[:len(raw)])
         h = (running[end - 1] - running[start] + _BYTE[raw[start]] * self.power[start]) * self.inverse[start]
-        return start, _mixed(h + (end - start).astype(np.uint64))
+        h = _mixed(h + (end - start).astype(np.uint64))
+        # Powers of two have many zero bits at their ends, by which long words of a regular build could be equal.
+        for k in np.flatnonzero(end - start > LONG_WORD).tolist():
+            h[k] = int.from_bytes(hashlib.blake2b(data[start[k]:end[k]], digest_size=8).digest(), "big")
+        return start, h
 
     @staticmethod
     def _windows(h: np.ndarray, width: int) -> np.ndarray:
@@ -408,11 +415,11 @@ def first_of_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     null id. Of several rows under that id the one whose text has the least hash stays.
     """
     kept = jaccard_components(docs, id_col, text_col).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    own = docs.join(kept, docs[id_col] == kept["_kept"], "left_semi")
-    first = Window.partitionBy(id_col).orderBy(F.xxhash64(F.col(text_col)))
-    rank = "_rank_in_component"
-    once = own.withColumn(rank, F.row_number().over(first)).filter(F.col(rank) == 1).drop(rank)
-    return once.unionByName(docs.filter(docs[id_col].isNull()))
+    whole = docs.select(F.col(id_col).alias("i"), F.xxhash64(F.col(text_col)).alias("h"),
+                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"))  # no name of theirs can clash
+    own = whole.join(kept, F.col("i") == F.col("_kept"), "left_semi")
+    once = own.withColumn("k", F.row_number().over(Window.partitionBy("i").orderBy("h"))).filter("k = 1")
+    return once.select("r.*").unionByName(docs.filter(docs[id_col].isNull()))
 
 
 def op5_ngram_jaccard(spark, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ import random
 
 #: Names that the operators use inside; as extra columns of an input they must not clash.
 EXTRA = ["id", "word", "row", "base", "grp", "token", "n", "pos", "comp", "rep", "bin", "d2", "a", "b", "ll", "q", "post",
-         "_row", "_key", "_kept", "scale", "m0", "vec", "raw", "dim", "cell", "record", "turn_", "hash", "host"]
+         "_row", "_key", "_kept", "_rank_in_component", "i", "h", "r", "k", "parts", "linked", "scale", "m0", "vec", "raw", "dim", "cell", "record", "turn_", "hash", "host"]
 
 
 def sentence(rnd: random.Random, n: int, stem: str = "wo") -> str:

@@ -108,6 +108,23 @@ def vectors(rnd, n=300, dim=24):
     return rows
 
 
+def test_very_large_and_small_components(spark):
+    rows = [(1, [1e-150, 1e-150]), (2, [1e-150, 1e-150]), (3, [1e200, 1e200]), (4, [2e200, 2e200]), (5, [5e-324, 0.0]), (6, [0.0, 3e-310]),
+            (7, [1.7e308, -1.7e308]), (8, [-1e-300, 1e-300]), (9, [0.0, -0.0]), (10, [3.0, 3.0])]
+    got = int8_neardup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {
+        1: (4, 1), 2: (4, 1), 3: (4, 1), 4: (4, 1), 5: (0, 5), 6: (0, 6), 7: (0, 7), 8: (0, 8), 9: (0, 9), 10: (4, 1)}
+
+
+def test_long_words_of_a_regular_build_differ():
+    """Thue-Morse words have equal polynomial hashes modulo a power of two."""
+    a, b = "a", "b"
+    for _ in range(12):
+        a, b = a + b, b + a
+    got = ngram_jaccard.Shingles().sets([f"w x {a} y z", f"w x {b} y z", a, b, a + " " + b])
+    assert len({tuple(s.tolist()) for s in got}) == 5
+
+
 def brute_vectors(rows, t=0.95):
     ok = [(k, r[0], np.array(r[1], np.float64)) for k, r in enumerate(rows) if r[0] is not None and r[1] and None not in r[1]
           and np.isfinite(r[1]).all() and any(r[1])]
