@@ -35,8 +35,8 @@ BLOCK_SHINGLES, LOCAL_COUNT, FREQUENT = 4_000_000, 4, 200_000
 #: Rows of one prefix shingle that one bucket should hold at most; more frequent ones are salted.
 BUCKET_ROWS = 50_000
 #: Hub rounds before the exhaustive one, partners a node takes in each but the first, shingles looked back at, shingles of the
-#: sets that a verifying task holds, bits of a signature. None of them changes the result.
-HUB_ROUNDS, PARTNERS, LOOKED_BACK, HELD_SHINGLES, SIGNATURE_BITS = 2, 4, 4, 4_000_000, 512
+#: sets that a verifying task holds, bits of a signature (at least; and in the join). None of them changes the result.
+HUB_ROUNDS, PARTNERS, LOOKED_BACK, HELD_SHINGLES, SIGNATURE_BITS = 2, 4, 4, 4_000_000, 256
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                          0xA0761D6478BD642F], np.uint64)
 
@@ -121,11 +121,32 @@ def fingerprint(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def signature(shingles: np.ndarray) -> list[int]:
-    """Parity of the shingles in each of SIGNATURE_BITS classes, as whole numbers of 64 bits. Two signatures differ in no
-    more bits than the sets differ in shingles."""
-    odd = np.bincount((shingles & np.uint64(SIGNATURE_BITS - 1)).astype(np.intp), minlength=SIGNATURE_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
+def signature(shingles: np.ndarray) -> bytes:
+    """Parity of the shingles in each of as many classes as there are shingles (a power of two, SIGNATURE_BITS at least).
+    Two signatures of one length differ in no more bits than the sets differ in shingles."""
+    bits = max(SIGNATURE_BITS, 1 << max(0, len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.intp), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def folded(sig: np.ndarray, size: int) -> np.ndarray:
+    """A signature's bytes with fewer classes: a class is the sum of those that are equal in their low bits."""
+    return np.bitwise_xor.reduce(sig.reshape(-1, size), axis=0)
+
+
+def close(x: np.ndarray, y: np.ndarray, n: int) -> bool:
+    """Whether sets of ``n`` shingles together may be linked, by their signatures."""
+    size = min(len(x), len(y))
+    differ = int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum())
+    return differ <= n - 2 * ((NUM * n + NUM + DEN - 1) // (NUM + DEN))
+
+
+def _close(batches):
+    """(a, b) of the pairs of rows (a, b, na, nb, sig_a, sig_b) that may be linked."""
+    for batch in batches:
+        sigs = [[np.frombuffer(s, np.uint8) for s in batch.column(k).to_pylist()] for k in (4, 5)]
+        n = (batch.column(2).to_numpy() + batch.column(3).to_numpy()).tolist()
+        yield batch.select(["a", "b"]).filter(pa.array([close(x, y, k) for x, y, k in zip(*sigs, n, strict=True)], pa.bool_()))
 
 
 def probe_prefix(n):
@@ -158,25 +179,27 @@ def linked(x: np.ndarray, y: np.ndarray) -> bool:
 
 
 def _facts(batches):
-    """Rows (kind, id, n, fp, sig): a document with its set size, fingerprint and signature (0), or a frequent shingle with
-    its count (1)."""
+    """Rows (kind, id, n, fp, sig, far): a document with its set size, fingerprint and signature, short and whole (0), or a
+    frequent shingle with its count (1)."""
     def counted(block):
         values, counts = np.unique(np.concatenate(block), return_counts=True)
         values, counts = values[counts >= LOCAL_COUNT], counts[counts >= LOCAL_COUNT]
         return pa.record_batch([pa.array(np.ones(len(values), np.int32)), pa.array(values.view(np.int64)),
                                 pa.array(counts.astype(np.int64)), pa.nulls(len(values), pa.binary()),
-                                pa.nulls(len(values), pa.list_(pa.int64()))], names=names)
+                                pa.nulls(len(values), pa.list_(pa.int64())), pa.nulls(len(values), pa.binary())], names=names)
 
-    names = ["kind", "id", "n", "fp", "sig"]
+    names = ["kind", "id", "n", "fp", "sig", "far"]
     shingles, block, size = Shingles(), [], 0
     for b in batches:
         texts = b.column(1).to_pylist()
         for i, j in text_batches(texts, 1_000_000):
             sets = shingles.sets(texts[i:j])
+            far = [signature(s) for s in sets]
+            near = [folded(np.frombuffer(s, np.uint8), SIGNATURE_BITS // 8).view("<i8").tolist() for s in far]
             yield pa.record_batch([pa.array(np.zeros(len(sets), np.int32)), b.column(0).slice(i, j - i),
                                    pa.array([len(s) for s in sets], pa.int64()),
                                    pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary()),
-                                   pa.array([signature(s) for s in sets], pa.list_(pa.int64()))], names=names)
+                                   pa.array(near, pa.list_(pa.int64())), pa.array(far, pa.binary())], names=names)
             block += sets
             size += sum(map(len, sets))
             if size >= BLOCK_SHINGLES:
@@ -268,22 +291,27 @@ def _verify(batches):
         yield pa.record_batch([b.column(0), b.column(1), pa.array(same, pa.bool_())], names=["a", "b", "linked"])
 
 
-def _checked(pairs: DataFrame, texts: DataFrame, component: DataFrame, before: DataFrame | None) -> DataFrame:
-    """(a, b, linked) of the distinct pairs across components that were not verified before; written."""
+def _checked(pairs: DataFrame, texts: DataFrame, sigs: DataFrame, component: DataFrame, before: DataFrame | None) -> DataFrame:
+    """(a, b, linked) of the distinct pairs across components that were not verified before; written. Texts move only for pairs
+    whose whole signatures leave them open."""
     c = component.select(F.col("node").alias("id"), F.col("component").alias("c"))
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = (pairs.join(c.withColumnsRenamed({"id": "a", "c": "ca"}), "a", "left").join(c.withColumnsRenamed({"id": "b", "c": "cb"}), "b", "left")
              .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
     if before is not None:
         pairs = pairs.join(before.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = pairs.join(sigs.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("far").alias("sig_a")), "a").join(
+        sigs.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("far").alias("sig_b")), "b")
+    pairs = pairs.select("a", "b", "na", "nb", "sig_a", "sig_b").mapInArrow(_close, "a long, b long").distinct()
     both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"))
     out = both.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long, linked boolean")
     return cut_lineage(out.groupBy("a", "b").agg(F.max("linked").alias("linked")))
 
 
-def _with_hubs(rows: DataFrame, seed: int) -> DataFrame:
-    """Rows of buckets that hold several components, each with a hub of its bucket; one exchange.
+def _with_hubs(rows: DataFrame, seed: int, comp: str = "comp") -> DataFrame:
+    """Rows of buckets that hold several components, each with a hub of its bucket; one exchange. ``comp`` is the column of a
+    node's component.
 
     With seed 0 a bucket's hub is its node with the least hash, so the buckets of one group share theirs; with others every
     bucket has a hub of its own, and nodes that the group's hub missed are soon caught by others. A bucket is a shingle, or
@@ -291,9 +319,9 @@ def _with_hubs(rows: DataFrame, seed: int) -> DataFrame:
     """
     own = [F.lit(seed)] if not seed else [F.lit(seed), F.col("token")]
     bucket = Window.partitionBy("token", "salt")
-    me = F.struct(F.xxhash64("id", *own).alias("h"), "id", "n", "pos", "comp")
-    return (rows.withColumn("lo", F.min("comp").over(bucket)).withColumn("hi", F.max("comp").over(bucket))
-            .filter("lo < hi or salt > 0").drop("lo", "hi").withColumn("hub", F.min(me).over(bucket)))
+    me = F.struct(F.xxhash64("id", *own).alias("h"), "id", "n", "pos", F.col(comp).alias("comp"))
+    return (rows.withColumn("lo", F.min(comp).over(bucket)).withColumn("hi", F.max(comp).over(bucket))
+            .filter("lo < hi or salt > 0").drop("lo", "hi").withColumn("hub", F.min(me).over(bucket)).withColumn("comp", F.col(comp)))
 
 
 def _with_components(rows: DataFrame, component: DataFrame) -> DataFrame:
@@ -315,39 +343,38 @@ def _hub_pairs(live: DataFrame, seed: int) -> DataFrame:
     return rows.select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """Rows of shingles whose nodes are of several components, with the shingle's largest component; written."""
-    token = Window.partitionBy("token")
-    def marked(r):
-        return (r.withColumn("lo", F.min("comp").over(token)).withColumn("hi", F.max("comp").over(token)).filter("lo < hi")
-                .withColumn("k", F.count("*").over(Window.partitionBy("token", "comp")))
-                .withColumn("major", F.max(F.struct("k", "comp")).over(token)["comp"]))
-    # A salted shingle may have any number of rows: its sums are pre-aggregated and its rows never gathered.
-    salted = rows.filter("salt > 0")
-    sizes = salted.groupBy("token", "comp").count().groupBy("token").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("count", "comp"))["comp"].alias("major")).filter("lo < hi")
-    columns = ["token", "id", "n", "pos", "comp", "major"]
-    return cut_lineage(marked(rows.filter("salt = 0")).select(*columns).unionByName(salted.join(sizes, "token").select(*columns)))
-
-
 def _all_pairs(rows: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs across components of a bucket: the rows outside its largest component with all rows. The suffix filter is by
+    """Pairs across components of a shingle: the rows outside its largest component with all rows. The suffix filter is by
     signatures: a pair whose signatures differ in more bits than linked sets may differ in shingles is no pair.
 
     A pair is given at the first shingle that its prefixes share, and where it shares none of the LOOKED_BACK shingles
-    before it in both; so near copies come up a few times and not once for every shingle.
+    before it in both; so near copies come up a few times and not once for every shingle. Rows are dealt by id, which
+    gives them those shingles and their signature, and by shingle, where the pairs meet; nothing else moves. A salted
+    shingle may have any number of rows: its sums are pre-aggregated, and its rows go through a join that Spark splits.
     """
     before = Window.partitionBy("id").orderBy("pos").rowsBetween(-LOOKED_BACK, -1)
     rows = rows.withColumn("back", F.collect_list("token").over(before)).join(sigs.select("id", F.col("n").alias("of"), "sig"), "id")
-    rows = rows.filter("n = of").drop("of")
+    rows = rows.filter("n = of").select("token", "salt", "id", "n", "pos", "comp", "back", "sig")
+    token = Window.partitionBy("token")
+    alone = (rows.filter("salt = 0").withColumn("lo", F.min("comp").over(token)).withColumn("hi", F.max("comp").over(token)).filter("lo < hi")
+             .withColumn("k", F.count("*").over(Window.partitionBy("token", "comp")))
+             .withColumn("major", F.max(F.struct("k", "comp")).over(token)["comp"]).drop("lo", "hi", "k"))
+    salted = rows.filter("salt > 0")
+    sizes = salted.groupBy("token", "comp").count().groupBy("token").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("count", "comp"))["comp"].alias("major")).filter("lo < hi")
+    return _meeting(alone).unionByName(_meeting(salted.join(sizes.select("token", "major"), "token")))
+
+
+def _meeting(rows: DataFrame) -> DataFrame:
+    """(a, b) of the rows (token, id, n, pos, comp, major, back, sig) that meet at a shingle and pass the filters."""
     x, y = rows.filter("comp != major").alias("x"), rows.alias("y")
     once = (F.col("y.comp") == F.col("y.major")) | (F.col("x.id") < F.col("y.id"))
     differ = sum((F.bit_count(F.col("x.sig")[k].bitwiseXOR(F.col("y.sig")[k])) for k in range(1, SIGNATURE_BITS // 64)),
                  F.bit_count(F.col("x.sig")[0].bitwiseXOR(F.col("y.sig")[0])))
     n = F.col("x.n") + F.col("y.n")
-    close = differ <= n - 2 * F.floor((NUM * n + NUM + DEN - 1) / (NUM + DEN))
+    near = differ <= n - 2 * F.floor((NUM * n + NUM + DEN - 1) / (NUM + DEN))
     return x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp")) & once & _pair_filters(
-        F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos")) & close & ~F.arrays_overlap("x.back", "y.back")).select(
+        F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos")) & near & ~F.arrays_overlap("x.back", "y.back")).select(
         F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
@@ -376,11 +403,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    facts = cut_lineage(rows.mapInArrow(_facts, "kind int, id long, n long, fp binary, sig array<long>"))
+    facts = cut_lineage(rows.mapInArrow(_facts, "kind int, id long, n long, fp binary, sig array<long>, far binary"))
     frequent = spark.sparkContext.broadcast(_frequent(facts))
     prefixes = rows.mapInArrow(_prefixes(frequent), "token long, salt int, id long, n long, pos int")
     # Every document is its own component at first, so a bucket of two documents is kept.
-    live = cut_lineage(_with_hubs(prefixes.withColumn("comp", F.col("id")), 0))
+    live = cut_lineage(_with_hubs(prefixes, 0, "id"))
     free_finished(spark)
     # Dealt by id once and kept there; every round's joins find the texts in place. Lost parts are read again.
     dealt = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -388,7 +415,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     free_finished(spark)
 
     sets = facts.filter("kind = 0 and id is not null and n > 0")
-    sigs = sets.select("id", "n", "sig").distinct()
+    sigs = cut_lineage(sets.select("id", "n", "sig", "far").distinct())
     first = sets.groupBy("fp").agg(F.min("id").alias("rep"))
     # Several texts under one id: all of its sets are one node, so equal sets are links like any other.
     equal = sets.select("id", "fp").distinct().join(first, "fp").filter("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
@@ -396,15 +423,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     for step in range(HUB_ROUNDS + 1):
         if step:
             old, rows_left = live, _with_components(live.select("token", "salt", "id", "n", "pos"), component)
-            live = cut_lineage(_with_hubs(rows_left, step)) if step < HUB_ROUNDS else _across(rows_left)
-            drop_written(old)
-            free_finished(spark)
-        pairs = _hub_pairs(live, step) if step < HUB_ROUNDS else _all_pairs(live, sigs)
-        new = _checked(pairs, texts, component, done)
+            if step < HUB_ROUNDS:
+                live = cut_lineage(_with_hubs(rows_left, step))
+                drop_written(old)
+                free_finished(spark)
+        pairs = _hub_pairs(live, step) if step < HUB_ROUNDS else _all_pairs(rows_left, sigs)
+        new = _checked(pairs, texts, sigs, component, done)
         done = new if done is None else done.unionByName(new)
         component = _merged(component, new.filter("linked"))
         free_finished(spark)
     texts.unpersist()
+    drop_written(live)
     return (facts.filter("kind = 0").join(component.withColumnRenamed("node", "id"), "id", "left")
             .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
                     F.coalesce("component", "id").alias("component_id")))
