@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from godown.config import RISK_HIGH, RISK_WATCH
-from godown.plans import features
+from godown.operators.allocation import allocate
+from godown.plans import features, sparse
 from godown.plans.model import Build
 
 
@@ -29,6 +30,30 @@ def baseline_scores(snapshots: DataFrame) -> DataFrame:
 
 
 class Pipeline(Build):
+    @cached_property
+    def line_stock(self) -> DataFrame:
+        """Units of each order line that the ledger's stock could serve, in the order of the orders."""
+        before = F.lag("on_hand", 1, self.cal.opening_stock).over(Window.partitionBy("dc_id", "item_id").orderBy("date"))
+        supply = self.stock_daily.select("date", "dc_id", "item_id", (before + F.col("accepted")).alias("available"))
+        lines = self.fact_order_lines.select("order_id", "sku", "dc_id", "item_id", F.col("order_date").alias("date"), "qty_ordered")
+        return self._cut(allocate(lines, supply, ["dc_id", "item_id", "date"], ["order_id", "sku"], "qty_ordered", "available", "qty_from_stock"))
+
+    @cached_property
+    def product_flows(self) -> DataFrame:
+        return self._cut(sparse.daily_flows(self.fact_order_lines, self.stg_goods_receipts, self.fact_purchase_orders, ["dc_id", "sku"], self.cal))
+
+    @cached_property
+    def product_runs(self) -> DataFrame:
+        return sparse.stock_runs(self.product_flows, ["dc_id", "sku"], self.cal)
+
+    @cached_property
+    def product_snapshots(self) -> DataFrame:
+        """Snapshots by centre and product, with each product's own supplier and class; from the sparse ledger."""
+        stock = self._cut(sparse.states_on(self.product_flows, ["dc_id", "sku"], sparse.mondays(self.cal), self.cal))
+        snaps = features.stockout_snapshots(stock.withColumnRenamed("sku", "item_id"), self.dim_product.drop("item_id").withColumnRenamed("sku", "item_id"),
+                                            self.fact_purchase_orders, self.festival_days, self.cal)
+        return self._cut(snaps.withColumnRenamed("item_id", "sku"))
+
     @cached_property
     def stockout_snapshots(self) -> DataFrame:
         return self._cut(features.stockout_snapshots(self.stock_daily, self.dim_item, self.fact_purchase_orders,
@@ -81,7 +106,7 @@ class Pipeline(Build):
                  "fact_purchase_orders", "dim_product", "fact_order_lines", "stockout_snapshots", "stockout_scores",
                  "sc_workbench"]
         t = {n: getattr(self, n) for n in names}
-        t["stock_shipped"] = self.stock_daily.select("date", "dc_id", "item_id", "shipped")
+        t["line_stock"] = self.line_stock
         return t
 
     def workbench(self, scores: DataFrame | None = None) -> DataFrame:

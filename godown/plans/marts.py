@@ -67,10 +67,10 @@ WORKBENCH_COLUMNS: list[tuple[str, str]] = [
 LANE_MEASURES = ["lines", "otif_lines", "ontime_lines", "infull_lines", "lead_days_sum", "units_ordered", "units_shipped"]
 
 
-def typed(df: DataFrame) -> DataFrame:
-    """Pad a branch to the declared 41 columns, typed."""
+def typed(df: DataFrame, texts: set[str] = frozenset()) -> DataFrame:
+    """Pad a branch to the declared 41 columns, typed; the ids in ``texts`` are text in this build's exports."""
     have = set(df.columns)
-    return df.select(*[(F.col(c) if c in have else F.lit(None)).cast(t).alias(c) for c, t in WORKBENCH_COLUMNS])
+    return df.select(*[(F.col(c) if c in have else F.lit(None)).cast("string" if c in texts else t).alias(c) for c, t in WORKBENCH_COLUMNS])
 
 
 def fiscal_months(dim_date: DataFrame) -> DataFrame:
@@ -123,4 +123,8 @@ def workbench(b, scores: DataFrame) -> DataFrame:
                      "category", "supplier_id", "supplier", F.col("item_id").alias("sku"), "on_hand", "reorder_point",
                      "cover_days", "risk_score", "risk_band", *(["reasons"] if "reasons" in score_cols else []),
                      "stockout_14d"))
-    return typed(lanes).unionByName(typed(nodes)).unionByName(typed(suppliers)).unionByName(typed(snaps))
+    texts = {c for c, df in (("dc_id", b.dim_dc), ("supplier_id", b.dim_supplier)) if dict(df.dtypes)[c] == "string"}
+    out = None
+    for branch in (lanes, nodes, suppliers, snaps):
+        out = typed(branch, texts) if out is None else out.unionByName(typed(branch, texts))
+    return out

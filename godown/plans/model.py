@@ -114,10 +114,10 @@ def fact_purchase_orders(pos: DataFrame, receipts: DataFrame, suppliers: DataFra
 def series_grid(dcs: DataFrame, items: DataFrame, cal: Calendar, partitions: int | None = None) -> DataFrame:
     """Dense calendar per stock series (centre x item).
 
-    Centres (regions) and items (brand x type) are dimension tables bounded by the schema, so their
-    product is small. Days are generated per series (a generator, not a join).
+    The centres travel as one array value, so every item makes its own series and days (generators, no join, and
+    no broadcast of the items).
     """
-    series = F.broadcast(dcs.select("dc_id")).crossJoin(F.broadcast(items.select("item_id")))
+    series = items.select("item_id", F.explode(dcs.agg(F.collect_set("dc_id")).scalar()).alias("dc_id")).select(*SERIES)
     if partitions:
         # only the series rows move; each partition generates its own days, so the dense grid is
         # born hash-partitioned on the series key

@@ -94,7 +94,7 @@ def replenishment(snapshots: DataFrame, rop: DataFrame, items: DataFrame, festiv
     k = ["snapshot_date", "dc_id", "item_id"]
     r = rop.select(F.col("date").alias("snapshot_date"), "dc_id", "item_id", "reorder_point", "avg28")
     s = snapshots.select(*k, "on_hand", "open_po_units").join(r, k) \
-        .join(F.broadcast(items.select("item_id", "case_qty")), "item_id")
+        .join(items.select("item_id", "case_qty"), "item_id")
     factor = prebuild_factor(F.col("snapshot_date"), festive_lift, cal)
     if policy_from is not None:
         factor = F.when(F.col("snapshot_date") >= F.lit(policy_from), factor).otherwise(F.lit(1.0))

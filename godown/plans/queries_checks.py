@@ -92,9 +92,11 @@ CHECK_SQL = {
     "check_stock_nonneg": (
         "FROM {T} WHERE sign(on_hand) = -1", STOCK, _with(STOCK, "on_hand", "-5 - on_hand", _top(STOCK, "date", "dc_id", "item_id"))),
     "check_stock_balance": (
-        "FROM (SELECT t.date, t.on_hand - y.on_hand AS grown, l.accepted - l.shipped AS moved FROM {T} t "
+        "FROM (SELECT t.date, t.on_hand - y.on_hand AS grown, coalesce(a.accepted, 0) - coalesce(l.units, 0) AS moved FROM {T} t "
         "JOIN {T} y ON (y.date + 1, y.dc_id, y.item_id) = (t.date, t.dc_id, t.item_id) "
-        "JOIN ledger l ON (l.date, l.dc_id, l.item_id) = (t.date, t.dc_id, t.item_id)) WHERE grown <> moved",
+        "LEFT JOIN acc a ON (a.date, a.dc_id, a.item_id) = (t.date, t.dc_id, t.item_id) "
+        "LEFT JOIN (SELECT date, dc_id, item_id, sum(qty_from_stock) AS units FROM line_stock GROUP BY ALL) l "
+        "ON (l.date, l.dc_id, l.item_id) = (t.date, t.dc_id, t.item_id)) WHERE grown <> moved",
         STOCK, _with(STOCK, "on_hand", "on_hand + 7", _top(STOCK, "date", "dc_id", "item_id"))),
     "check_receipts": (
         "FROM {T} WHERE greatest(qty_rejected - qty_received, qty_received - qty_ordered) > 0",

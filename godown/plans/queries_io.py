@@ -121,5 +121,5 @@ def top_supplier_per_category(b):
     """The supplier with the most products in each category (ties to the smaller id): an arg-max
     over a pre-aggregated count, no sort of the products."""
     counts = b.stg_products.groupBy("category", "supplier_id").agg(F.count(F.lit(1)).alias("products"))
-    best = F.max_by(F.struct("supplier_id", "products"), F.struct(F.col("products"), -F.col("supplier_id")))
+    best = F.min(F.struct((-F.col("products")).alias("fewest"), "supplier_id", "products"))
     return counts.groupBy("category").agg(best.alias("b")).select("category", "b.supplier_id", "b.products")
