@@ -10,10 +10,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from godown.plans import checks
+from godown.plans import checks, metrics, queries_model
 from godown.plans.queries_checks import WORKBENCH_SQL
 from godown.plans.registry import query
-from godown.session import checkpoint_dir
+from godown.session import checkpoint_dir, cut_lineage
 from godown.sources import sinks
 from godown.sources.exports import EXPORTS, read_text_csv, stage
 
@@ -86,32 +86,51 @@ def typed_extract(b):
     return b.spark.read.parquet(path).groupBy("record_type").agg(F.count(F.lit(1)).alias("rows"))
 
 
-GATED = ("dim_dc", "dim_zone", "dim_supplier", "dim_product")
+#: Exported tables; those of the trained model have no row counts in SQL, so they are reported without.
+GATED = ("dim_dc", "dim_zone", "dim_supplier", "dim_product", "model_metrics", "model_calibration", "model_importance", "sc_workbench")
+TRAINED = ("model_metrics", "model_calibration", "model_importance")
 
 
-@query("gated_export", """
-SELECT 'dim_dc' AS table_name, count(*) AS rows FROM dim_dc
-UNION ALL SELECT 'dim_zone', count(*) FROM dim_zone
-UNION ALL SELECT 'dim_supplier', count(*) FROM dim_supplier
-UNION ALL SELECT 'dim_product', count(*) FROM dim_product""")
+def exported_tables(b) -> dict:
+    """The eight tables that leave the build; the model's from its one training, the long table with its scores and reasons."""
+    _, chosen, fitted = b.training
+    return {n: getattr(b, n) for n in ("dim_dc", "dim_zone", "dim_supplier", "dim_product")} | {
+        "model_metrics": queries_model.model_metrics(b), "sc_workbench": b.trained_workbench,
+        "model_calibration": cut_lineage(metrics.calibration(fitted[chosen][1], keys=queries_model.KEYS)),
+        "model_importance": cut_lineage(queries_model.permutation_importance(b))}
+
+
+@query("gated_export", WORKBENCH_SQL + "\nUNION ALL ".join(
+    f"SELECT '{n}' AS table_name, {'NULL::BIGINT' if n in TRAINED else f'(SELECT count(*) FROM {n})'} AS rows, true AS ordered, true AS same" for n in GATED))
 def gated_export(b):
-    """Run the 15 checks; export the dimensions as ordered CSV only if all pass; rows read back."""
-    out = _scratch(b, "export")
-    t = b.tables()
-    ok, results = sinks.gated_export(t | {n: getattr(b, n) for n in GATED}, lambda: checks.run_checks(t), out,
-                                     list(GATED))
+    """Run the 15 checks; export eight tables as CSV in a total order only if all pass; order and contents read back."""
+    out, t = _scratch(b, "export"), b.tables()
+    tables = exported_tables(b)
+    ok, results = sinks.gated_export(tables, lambda: checks.run_checks(t), out, list(GATED))
     if not ok:
-        failed = [r for r in results if r[1]]
-        raise RuntimeError(f"checks failed, nothing exported: {failed}")
-    parts = [b.spark.read.option("header", True).csv(f"{out}/{n}").select(F.lit(n).alias("table_name"),
-                                                                          F.count(F.lit(1)).alias("rows"))
-             .groupBy("table_name").agg(F.sum("rows").alias("rows")) for n in GATED]
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
+        raise RuntimeError(f"checks failed, nothing exported: {[r for r in results if r[1]]}")
+    res = None
+    for n in GATED:
+        one = sinks.verified(tables[n], f"{out}/{n}").select(
+            F.lit(n).alias("table_name"), F.when(F.lit(n not in TRAINED), F.col("rows")).alias("rows"), "ordered", "same")
+        res = one if res is None else res.unionByName(one)
     return res
 
 
+@query("blocked_export", """
+SELECT 'check_supplier_names' AS check_name, count(*) AS violations, false AS exported, 0::BIGINT AS paths_written
+FROM dim_supplier WHERE supplier_id = (SELECT max(supplier_id) FROM dim_supplier)""")
+def blocked_export(b):
+    """One broken supplier name: the check fires, and nothing is written."""
+    key, out = "check_supplier_names", _scratch(b, "blocked")
+    t = checks.broken_tables({"dim_supplier": b.dim_supplier}, key)
+    ok, results = sinks.gated_export(t, lambda: checks.run_checks(t, (key,)), out, ["dim_supplier"])
+    path = b.spark._jvm.org.apache.hadoop.fs.Path(out)
+    written = path.getFileSystem(b.spark._jsc.hadoopConfiguration()).exists(path)
+    return b.spark.createDataFrame([(k, n, ok, int(written)) for k, n, _ in results],
+                                   "check_name string, violations long, exported boolean, paths_written long")
+
+
 @query("top_supplier_per_category", """
 SELECT category, supplier_id, products FROM (
   SELECT category, supplier_id, count(*) AS products,

@@ -66,6 +66,27 @@ def test_gated_export(spark):
     assert [r.k for r in back] == ["1", "2"]
 
 
+def test_exports_are_proved_by_reading(spark):
+    from pyspark.sql import functions as F
+
+    from godown.sources import sinks
+    out = tempfile.mkdtemp(prefix="godown-test-")
+    rows = [(k % 7 if k % 5 else None, f' "{k}", \t' if k % 3 else "", None if k % 4 else k / 3) for k in range(200)] + [(1, None, 0.5)] * 2
+    df = spark.createDataFrame(rows, "k int, v string, x double").repartition(3)
+    sinks.export(df, out + "/good")
+    assert tuple(sinks.verified(df, out + "/good").first()) == (202, True, True)
+    assert sinks.manifest(spark, out + "/good", df.schema).agg(F.sum("rows")).first()[0] == 202
+    df.write.options(**sinks.CSV).csv(out + "/unordered")
+    assert tuple(sinks.verified(df, out + "/unordered").first()) == (202, False, True)
+    sinks.export(df.withColumn("x", F.when(F.col("k") == 1, 0.75).otherwise(F.col("x"))), out + "/changed")
+    assert tuple(sinks.verified(df, out + "/changed").first()) == (202, True, False)
+    for part in (0, 1):  # each file is ordered, but not one after the other
+        df.filter(F.hash("v", "x") % 2 == part).coalesce(1).sort(*[F.col(c).asc_nulls_last() for c in df.columns]).write.mode("append").options(**sinks.CSV).csv(out + "/parts")
+    assert sinks.verified(df, out + "/parts").first()["rows"] <= 202 and not sinks.verified(df, out + "/parts").first()["ordered"]
+    sinks.export(df.filter("false"), out + "/empty")
+    assert tuple(sinks.verified(df.filter("false"), out + "/empty").first()) == (0, True, True)
+
+
 def test_typed_extract(spark):
     out = tempfile.mkdtemp(prefix="godown-test-") + "/x"
     df = spark.createDataFrame([("Lane", 1.0), ("Node", 2.0), ("Lane", 3.0)], "record_type string, v double")
