@@ -69,6 +69,46 @@ def kpis(wb: DataFrame, s: Scope) -> DataFrame:
         products.alias("products"), high.alias("high_risk"), safe_div(high, products).alias("high_risk_share"))
 
 
+SCOPE_SUMS = ("otif_lines", "lines", "lead_days_sum", "cogs", "stock_value_days", "carrying_cost", "days")
+
+
+def kpis_every_scope(wb: DataFrame, week: date | None = None) -> DataFrame:
+    """``kpis`` of every scope in one pass: a row a (warehouse, period, category) of which each may be "All".
+
+    Every combination has a row that holds any row of the long table; snapshots are those of ``week`` (or the latest) and
+    belong to every period. The long table is summed once to its (warehouse, year, category) cells, a bounded table, and
+    only that is rolled up; a row without a warehouse, year or category counts only under "All" of it.
+    """
+    snap = F.col("record_type") == "Snapshot"
+    in_week = F.col("period_date") == as_of(wb.filter(snap), "period_date", Scope(week=week))
+    sums = [F.sum(c).alias(c) for c in SCOPE_SUMS]
+    cells = (wb.filter(~snap | in_week)
+             .groupBy("dc_city", F.when(~snap, F.col("fiscal_year")).alias("fiscal_year"), "category", snap.alias("snap"))
+             .agg(*sums, F.sum(_snap()).alias("products"), F.sum(_high()).alias("high_risk")))
+    scope = {"warehouse": "dc_city", "period": "fiscal_year", "category": "category"}
+    totals = [*SCOPE_SUMS, "products", "high_risk"]
+
+    def rolled(df: DataFrame, keys: dict[str, str]) -> DataFrame:
+        # a null that stands for all rows is "All"; a null of the data names no scope
+        named = [F.when(F.grouping(c) == 1, F.lit(ALL)).otherwise(F.col(c)).alias(f"_{k}") for k, c in keys.items()]
+        r = df.cube(*keys.values()).agg(*named, *[F.sum(c).alias(f"_{c}") for c in totals])
+        return r.select(*[F.col(f"_{k}").alias(k) for k in keys], *[F.col(f"_{c}").alias(c) for c in totals]).dropna(subset=list(keys))
+
+    facts = rolled(cells.filter(~F.col("snap")), scope)
+    # the calendar's years, so one bounded array
+    periods = wb.filter(~snap).select(F.array_union(F.array(F.lit(ALL)), F.collect_set("fiscal_year"))).scalar()
+    held = (rolled(cells.filter("snap"), {k: c for k, c in scope.items() if k != "period"})
+            .withColumn("_periods", periods).withColumn("period", F.explode("_periods")).drop("_periods"))
+    x = facts.unionByName(held).groupBy(*scope).agg(*[F.sum(c).alias(c) for c in totals])
+    return x.select(
+        *scope, safe_div(F.col("otif_lines"), F.col("lines")).alias("otif"),
+        safe_div(F.col("lead_days_sum"), F.col("lines")).alias("lead_time_days"),
+        F.round(safe_div(F.col("cogs") * 365, F.col("stock_value_days")), 9).alias("inventory_turnover"),
+        F.round(F.col("carrying_cost") / 100000, 6).alias("carrying_cost_lakh"),
+        F.round(safe_div(F.col("stock_value_days"), F.col("days")) / 100000, 6).alias("average_stock_lakh"),
+        "products", "high_risk", safe_div(F.col("high_risk"), F.col("products")).alias("high_risk_share"))
+
+
 def kpis_from_facts(b, s: Scope, scores: DataFrame) -> DataFrame:
     """The headline numbers from facts and dimensions directly (a separate code path from ``kpis``)."""
     dc = F.broadcast(b.dim_dc.select("dc_id", "dc_city"))

@@ -87,17 +87,67 @@ def prebuild_factor(d: Column, lift: float, cal: Calendar = DEFAULT) -> Column:
     return F.greatest(*[festive_factor(F.date_add(d, i), lift, cal) for i in PREBUILD_AHEAD_DAYS])
 
 
+def festive_days(lifts: DataFrame, cal: Calendar = DEFAULT) -> DataFrame:
+    """``category``, ``date`` and ``factor`` of the days on which a category's demand is lifted; every other day has 1.
+
+    ``lifts`` has a row a category (``category``, ``festive_lift``; null: none). Each is spread over the days around every
+    festival, so the relation has at most 32 rows a category and festival; the largest lift of a day counts.
+    """
+    gain = F.coalesce(F.col("festive_lift"), F.lit(1.0)) - F.lit(1.0)
+    away = F.explode(F.sequence(F.lit(-7), F.lit(24))).alias("away")
+    per = (lifts.select("category", gain.alias("gain"), F.explode(F.array(*[F.lit(x) for x in cal.festival_days])).alias("festival"))
+           .select("category", "gain", "festival", away))
+    share = F.when(F.col("away") >= 0, F.lit(1.0) - F.col("away") / F.lit(30.0)).otherwise(F.lit(0.4) * (F.lit(1.0) + F.col("away") / F.lit(7.0)))
+    return (per.select("category", F.date_sub("festival", F.col("away")).alias("date"), (F.lit(1.0) + F.col("gain") * share).alias("factor"))
+            .groupBy("category", "date").agg(F.max("factor").alias("factor")).filter(F.col("factor") > 1.0))
+
+
+def prebuild_days(festive: DataFrame) -> DataFrame:
+    """``category``, ``date`` and ``factor``: the largest of ``festive_days`` over the look-ahead days 0, 3, ..., 21."""
+    step = F.explode(F.array(*[F.lit(i) for i in PREBUILD_AHEAD_DAYS])).alias("step")
+    return (festive.select("category", "date", "factor", step)
+            .groupBy("category", F.date_sub("date", F.col("step")).alias("date")).agg(F.max("factor").alias("factor")))
+
+
+def season_factors_by_category(lifts: DataFrame, cal: Calendar = DEFAULT) -> DataFrame:
+    """``category``, ``date``, ``festive_factor`` and ``summer_factor`` for every day of the calendar.
+
+    ``lifts`` has a row a category with ``festive_lift`` and ``summer_lift`` (null: none)."""
+    days = F.explode(F.sequence(F.lit(cal.start), F.lit(cal.end))).alias("date")
+    lift = F.coalesce(F.col("summer_lift"), F.lit(1.0))
+    return (lifts.select("category", lift.alias("summer_lift"), days).join(festive_days(lifts, cal), ["category", "date"], "left")
+            .select("category", "date", F.coalesce("factor", F.lit(1.0)).alias("festive_factor"),
+                    F.when(F.month("date").isin(4, 5, 6), F.col("summer_lift")).otherwise(F.lit(1.0)).alias("summer_factor")))
+
+
+def prebuilt(df: DataFrame, factors: DataFrame, policy_from=None) -> DataFrame:
+    """``df`` (``category``, ``snapshot_date``) with ``prebuild_factor``: that of ``factors`` (``prebuild_days``) from the
+    policy's first day on, else 1. A null or unlisted category has 1. Only the sparse relation joins, on both keys."""
+    f = factors.select("category", F.col("date").alias("snapshot_date"), F.col("factor").alias("_factor"))
+    factor = F.coalesce(F.col("_factor"), F.lit(1.0))
+    if policy_from is not None:
+        factor = F.when(F.col("snapshot_date") >= F.lit(policy_from), factor).otherwise(F.lit(1.0))
+    return df.join(f, ["category", "snapshot_date"], "left").select(*df.columns, factor.alias("prebuild_factor"))
+
+
 def replenishment(snapshots: DataFrame, rop: DataFrame, items: DataFrame, festive_lift: float = 1.6,
-                  policy_from=None, cal: Calendar = DEFAULT) -> DataFrame:
+                  policy_from=None, cal: Calendar = DEFAULT, factors: DataFrame | None = None) -> DataFrame:
     """Order-up-to suggestions at snapshots: when stock plus open orders is at or below the
-    (pre-built) reorder point, order up to reorder point + 30 days of demand, in whole cases."""
+    (pre-built) reorder point, order up to reorder point + 30 days of demand, in whole cases.
+
+    The reorder point is lifted from ``policy_from`` on by each category's own ``factors`` (``prebuild_days``), or without
+    them by one ``festive_lift``."""
     k = ["snapshot_date", "dc_id", "item_id"]
     r = rop.select(F.col("date").alias("snapshot_date"), "dc_id", "item_id", "reorder_point", "avg28")
     s = snapshots.select(*k, "on_hand", "open_po_units").join(r, k) \
-        .join(items.select("item_id", "case_qty"), "item_id")
-    factor = prebuild_factor(F.col("snapshot_date"), festive_lift, cal)
-    if policy_from is not None:
-        factor = F.when(F.col("snapshot_date") >= F.lit(policy_from), factor).otherwise(F.lit(1.0))
+        .join(items.select("item_id", "case_qty", "category"), "item_id")
+    if factors is not None:
+        s = prebuilt(s, factors, policy_from)
+        factor = F.col("prebuild_factor")
+    else:
+        factor = prebuild_factor(F.col("snapshot_date"), festive_lift, cal)
+        if policy_from is not None:
+            factor = F.when(F.col("snapshot_date") >= F.lit(policy_from), factor).otherwise(F.lit(1.0))
     rp = F.round(F.col("reorder_point") * factor, 6)
     position = F.col("on_hand") + F.col("open_po_units")
     target = rp + F.lit(float(ORDER_UP_TO_DAYS)) * F.col("avg28")

@@ -96,7 +96,7 @@ def exported_tables(b) -> dict:
     _, chosen, fitted = b.training
     return {n: getattr(b, n) for n in ("dim_dc", "dim_zone", "dim_supplier", "dim_product")} | {
         "model_metrics": queries_model.model_metrics(b), "sc_workbench": b.trained_workbench,
-        "model_calibration": cut_lineage(metrics.calibration(fitted[chosen][1], keys=queries_model.KEYS)),
+        "model_calibration": cut_lineage(metrics.calibration(fitted[chosen][1])),
         "model_importance": cut_lineage(queries_model.permutation_importance(b))}
 
 

@@ -120,7 +120,7 @@ SELECT CAST(len(list_filter(q[2:len(q) - 1], lambda x: x < score)) + 1 AS BIGINT
        round(avg(score), 12) AS predicted, avg(label) AS actual, count(*) AS snapshots
 FROM test, edges GROUP BY 1""")
 def score_calibration(b):
-    c = metrics.calibration(test_frame(b), "label", "score", 10, KEYS)
+    c = metrics.calibration(test_frame(b), "label", "score", 10)
     return c.select(F.col("decile").cast("long").alias("decile"), F.round("predicted", 12).alias("predicted"),
                     "actual", "snapshots")
 
