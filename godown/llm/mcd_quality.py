@@ -1,10 +1,13 @@
 """Robust multivariate quality rules (2): minimum-covariance-determinant estimates per language and source.
 
-DataFrame functions only. Each text becomes a vector of four transformed statistics. Per group the estimate starts at
-medians and quartile ranges (from fixed-width histograms) and takes concentration steps: distances, the rows up to the
-``share`` nearest, their mean and covariance. A step is one grouped aggregation by (group, distance bin), so a group of
-any size is pre-aggregated before the shuffle and no row is moved to its group. Statistics are kept as scaled
-whole numbers, which makes every sum exact and the verdict independent of the order of rows.
+DataFrame functions only. Each text becomes a vector of four transformed statistics. Per group the estimate is the
+covariance of least determinant over the ``share`` nearest rows, sought from several starts: the medians and quartile
+ranges (from fixed-width histograms), and rows drawn by hash, each with those ranges and with the least scales. A
+concentration step takes distances, the rows up to the ``share`` nearest, and their mean and covariance; after two steps
+the best starts go on until no determinant falls any more, and the least one stays. A step is one grouped aggregation by
+(group, start, distance bin) for all groups and starts, so a group of any size is pre-aggregated before the shuffle and no row
+is moved to its group. Statistics are kept as scaled whole numbers, which makes every sum exact and the verdict
+independent of the order of rows.
 """
 
 from __future__ import annotations
@@ -29,7 +32,12 @@ DIMS = ("t_length", "t_symbols", "t_lines", "t_repeats")
 FLOORS = (0.08, 0.032, 0.20, 0.15)
 #: Whole-number units per 1.0 of a statistic, and histogram bins per floor.
 UNIT, FINE = 100_000, 8
-SHARE, STEPS, MIN_GROUP = 0.75, 4, 100
+MIN_GROUP = 100
+#: Share of a group's rows whose covariance is least; junk of up to nearly the rest cannot carry the estimate.
+SHARE = 0.55
+#: Rows drawn as starts, steps of all starts, starts that go on, and at most so many further steps while the logarithm of a
+#: determinant falls by more than the last figure.
+DRAWN, FIRST_STEPS, GO_ON, MOST_STEPS, FALL = 3, 2, 2, 20, 1e-3
 #: Squared distance beyond which a vector is rejected (chi-square with 4 degrees of freedom, quantile 0.999).
 CUTOFF = 18.467
 CHI2_MEDIAN = 3.3567
@@ -109,7 +117,8 @@ def _groups(stats: DataFrame, min_group: int) -> DataFrame:
 
 
 def _start(rows: DataFrame) -> DataFrame:
-    """Per group: medians as centres and quartile ranges as scales, from histograms of fixed bin width."""
+    """Per group and start: a centre (the medians, or a row drawn by hash) and scales (quartile ranges from histograms of
+    fixed bin width, or the floors)."""
     width = [int(f * UNIT / FINE) for f in FLOORS]
     bins = rows.select("grp", F.explode(F.array(*[
         F.struct(F.lit(k).alias("dim"), F.floor(F.col(d) / width[k]).alias("bin")) for k, d in enumerate(DIMS)])).alias("b"))
@@ -124,8 +133,17 @@ def _start(rows: DataFrame) -> DataFrame:
         here = F.col("dim") == k
         scale = F.greatest((F.col("q3") - F.col("q1")) * width[k] / 1.349, F.lit(FLOORS[k] * UNIT))
         each += [F.max(F.when(here, (F.col("q2") + 0.5) * width[k])).alias(f"m{k}"), F.max(F.when(here, scale)).alias(f"l{k}{k}")]
-    zero = [F.lit(0.0).alias(f"l{i}{j}") for i in range(len(DIMS)) for j in range(i)]
-    return q.groupBy("grp").agg(*each).select("*", *zero)
+    drawn = rows.groupBy("grp").agg(*[F.min_by(F.struct(*DIMS), F.xxhash64(F.lit(k), *DIMS)).alias(f"drawn{k}") for k in range(DRAWN)])
+
+    def start(no: int, row: str | None, ranges: bool) -> Column:
+        p = range(len(DIMS))
+        centre = [(F.col(f"{row}.{d}") if row else F.col(f"m{i}")).cast("double").alias(f"m{i}") for i, d in enumerate(DIMS)]
+        scale = [(F.col(f"l{i}{i}") if ranges else F.lit(FLOORS[i] * UNIT)).cast("double").alias(f"l{i}{i}") for i in p]
+        zero = [F.lit(0.0).alias(f"l{i}{j}") for i in p for j in range(i)]
+        return F.struct(F.lit(no).alias("start"), *centre, *scale, *zero)
+
+    starts = [start(0, None, True)] + [start(1 + 2 * k + r, f"drawn{k}", bool(r)) for k in range(DRAWN) for r in (0, 1)]
+    return q.groupBy("grp").agg(*each).join(drawn, "grp").select("grp", F.explode(F.array(*starts)).alias("s")).select("grp", "s.*")
 
 
 def _distance(prefix: str = "") -> Column:
@@ -145,30 +163,58 @@ def _binned(rows: DataFrame, params: DataFrame) -> DataFrame:
 
 
 def _step(rows: DataFrame, params: DataFrame, share: float) -> DataFrame:
-    """One concentration step: mean and covariance of the rows up to the ``share`` nearest (whole bins)."""
+    """One concentration step of every group and start: mean and covariance of the rows up to the ``share`` nearest (whole
+    bins), and the logarithm of the determinant."""
     p = range(len(DIMS))
     exact = lambda c: F.sum(c.cast("decimal(20,0)"))
     sums = {f"s{i}": exact(F.col(DIMS[i])) for i in p} | {
         f"s{i}{j}": exact(F.col(DIMS[i]) * F.col(DIMS[j])) for i in p for j in p if j <= i}
-    by_bin = _binned(rows, params).groupBy("grp", "bin").agg(F.count("*").alias("n"), *[c.alias(k) for k, c in sums.items()])
-    w = Window.partitionBy("grp")
+    by_bin = _binned(rows, params).groupBy("grp", "start", "bin").agg(F.count("*").alias("n"), *[c.alias(k) for k, c in sums.items()])
+    w = Window.partitionBy("grp", "start")
     near = by_bin.select("*", F.sum("n").over(w.orderBy("bin")).alias("upto"), F.sum("n").over(w).alias("total")).filter(
         F.col("upto") - F.col("n") < F.ceil(share * F.col("total")))
-    t = near.groupBy("grp").agg(F.sum("n").alias("n"), *[F.sum(k).cast("double").alias(k) for k in sums])
-    t = t.select("grp", "n", *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in p], *[F.col(k) for k in sums if len(k) == 3])
+    t = near.groupBy("grp", "start").agg(F.sum("n").alias("n"), *[F.sum(k).cast("double").alias(k) for k in sums])
+    t = t.select("grp", "start", "n", *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in p], *[F.col(k) for k in sums if len(k) == 3])
     cov = {(i, j): F.col(f"s{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}") + F.lit((FLOORS[i] * UNIT) ** 2 if i == j else 0.0)
            for i in p for j in p if j <= i}
-    t = t.select("grp", *[f"m{i}" for i in p], *[c.alias(f"c{i}{j}") for (i, j), c in cov.items()])
+    t = t.select("grp", "start", *[f"m{i}" for i in p], *[c.alias(f"c{i}{j}") for (i, j), c in cov.items()])
     for i in p:  # Cholesky, one column after the other
         for j in range(i + 1):
             r = F.col(f"c{i}{j}")
             for k in range(j):
                 r = r - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             t = t.withColumn(f"l{i}{j}", F.sqrt(F.greatest(r, F.lit(1.0))) if i == j else r / F.col(f"l{j}{j}"))
-    return t.drop(*[f"c{i}{j}" for i, j in cov])
+    logdet = sum((2 * F.log(f"l{i}{i}") for i in p), F.lit(0.0))
+    return t.withColumn("logdet", logdet).drop(*[f"c{i}{j}" for i, j in cov])
+
+
+def _least(params: DataFrame, n: int) -> DataFrame:
+    """The ``n`` starts of each group with the least determinants."""
+    w = Window.partitionBy("grp").orderBy("logdet", "start")  # a row a start
+    return params.withColumn("_no", F.row_number().over(w)).filter(F.col("_no") <= n).drop("_no")
 
 
-def fit(stats: DataFrame, share: float = SHARE, steps: int = STEPS, min_group: int = MIN_GROUP) -> tuple[DataFrame, DataFrame]:
+def _estimate(rows: DataFrame, share: float) -> DataFrame:
+    """Centre and Cholesky factor of the least determinant found, a row a group (with ``logdet``)."""
+    params = cut_lineage(_start(rows))
+    for _ in range(FIRST_STEPS):
+        params = cut_lineage(_step(rows, params, share))
+    params = cut_lineage(_least(params, GO_ON))
+    for _ in range(MOST_STEPS):
+        # whole bins can let a determinant rise; then the lesser one stays, and its next step is the same again
+        both = params.unionByName(_step(rows, params, share).withColumn("start", -1 - F.col("start")))
+        names = [c for c in params.columns if c not in ("grp", "start")]
+        pair = both.groupBy("grp", F.greatest("start", -1 - F.col("start")).alias("no")).agg(
+            F.min_by(F.struct(*names), "logdet").alias("s"), F.max(F.when(F.col("start") >= 0, F.col("logdet"))).alias("was"))
+        step = cut_lineage(pair.select("grp", F.col("no").alias("start"), "s.*", "was"))
+        fall = step.agg(F.max(F.col("was") - F.col("logdet"))).first()[0]
+        params = step.drop("was")
+        if fall is None or fall <= FALL:
+            break
+    return _least(params, 1)
+
+
+def fit(stats: DataFrame, share: float = SHARE, min_group: int = MIN_GROUP) -> tuple[DataFrame, DataFrame]:
     """(groups, parameters) of the rows that pass the base rules; small written tables, one row a group.
 
     A language and source with fewer than ``min_group`` such rows shares the estimate of its language's small
@@ -176,9 +222,7 @@ def fit(stats: DataFrame, share: float = SHARE, steps: int = STEPS, min_group: i
     """
     groups = cut_lineage(_groups(stats, min_group))
     rows = _assign(stats.filter(~F.col("base_failed")).select("lang_key", "source_key", *DIMS), groups)
-    params = cut_lineage(_start(rows))
-    for _ in range(steps):
-        params = cut_lineage(_step(rows, params, share))
+    params = cut_lineage(_estimate(rows, share).drop("start", "logdet"))
     counts = _binned(rows, params).groupBy("grp", "bin").count()
     w = Window.partitionBy("grp")
     cum = counts.select("grp", "bin", F.sum("count").over(w.orderBy("bin")).alias("upto"), F.sum("count").over(w).alias("n"))
