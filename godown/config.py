@@ -45,9 +45,13 @@ TRANSIT_KM_PER_DAY, QUOTE_KM_PER_DAY, QUOTE_BASE_DAYS = 450.0, 600.0, 5
 ORDER_UP_TO_DAYS = 30
 PREBUILD_AHEAD_DAYS = tuple(range(0, 22, 3))
 
-FEATURES_NUMERIC = ("cover_days", "pipeline_cover_days", "stock_to_reorder_point", "demand_trend", "demand_cv",
-                    "supplier_on_time_180d", "supplier_lead_sd_180d", "days_to_festival")
-FEATURES_CATEGORICAL = ("category", "abc_class", "dc_id")
+# The registered features, in the order of the model's vector: (feature, kind). Encoders, imputation, importance and
+# reasons follow from these rows; a build may be given others (``ml.registered`` reads them from a table).
+FEATURES = (
+    ("cover_days", "numeric"), ("pipeline_cover_days", "numeric"), ("stock_to_reorder_point", "numeric"), ("demand_trend", "numeric"),
+    ("demand_cv", "numeric"), ("supplier_on_time_180d", "numeric"), ("supplier_lead_sd_180d", "numeric"), ("days_to_festival", "numeric"),
+    ("category", "categorical"), ("abc_class", "categorical"), ("dc_id", "categorical"),
+)
 
 # The reason texts are outputs that must match.
 # reason label, feature, reference value ("median" = median over labelled history)

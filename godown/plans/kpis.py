@@ -81,7 +81,8 @@ def kpis_every_scope(wb: DataFrame, week: date | None = None) -> DataFrame:
     """
     snap = F.col("record_type") == "Snapshot"
     in_week = F.col("period_date") == as_of(wb.filter(snap), "period_date", Scope(week=week))
-    sums = [F.sum(c).alias(c) for c in SCOPE_SUMS]
+    # stock values have two places: summed exactly, so that no order of rows decides a tie of rounding
+    sums = [F.sum(F.col(c).cast("decimal(20,2)") if c == "stock_value_days" else c).alias(c) for c in SCOPE_SUMS]
     cells = (wb.filter(~snap | in_week)
              .groupBy("dc_city", F.when(~snap, F.col("fiscal_year")).alias("fiscal_year"), "category", snap.alias("snap"))
              .agg(*sums, F.sum(_snap()).alias("products"), F.sum(_high()).alias("high_risk")))
@@ -99,13 +100,14 @@ def kpis_every_scope(wb: DataFrame, week: date | None = None) -> DataFrame:
     periods = wb.filter(~snap).select(F.array_union(F.array(F.lit(ALL)), F.collect_set("fiscal_year"))).scalar()
     held = (rolled(cells.filter("snap"), {k: c for k, c in scope.items() if k != "period"})
             .withColumn("_periods", periods).withColumn("period", F.explode("_periods")).drop("_periods"))
-    x = facts.unionByName(held).groupBy(*scope).agg(*[F.sum(c).alias(c) for c in totals])
+    x = (facts.unionByName(held).groupBy(*scope).agg(*[F.sum(c).alias(c) for c in totals])
+         .withColumn("stock_value_days", F.col("stock_value_days").cast("double")))
     return x.select(
         *scope, safe_div(F.col("otif_lines"), F.col("lines")).alias("otif"),
         safe_div(F.col("lead_days_sum"), F.col("lines")).alias("lead_time_days"),
         F.round(safe_div(F.col("cogs") * 365, F.col("stock_value_days")), 9).alias("inventory_turnover"),
         F.round(F.col("carrying_cost") / 100000, 6).alias("carrying_cost_lakh"),
-        F.round(safe_div(F.col("stock_value_days"), F.col("days")) / 100000, 6).alias("average_stock_lakh"),
+        F.round(safe_div(F.col("stock_value_days"), F.col("days")) / 100000, 9).alias("average_stock_lakh"),
         "products", "high_risk", safe_div(F.col("high_risk"), F.col("products")).alias("high_risk_share"))
 
 

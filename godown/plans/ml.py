@@ -13,8 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from godown.config import (DEFAULT, FEATURES_CATEGORICAL, FEATURES_NUMERIC, MODEL_CHOICE_MARGIN, REASON_MAX,
-                           REASON_MIN_DROP, REASONS, Calendar)
+from godown.config import DEFAULT, FEATURES, MODEL_CHOICE_MARGIN, REASON_MAX, REASON_MIN_DROP, REASONS, Calendar
 from godown.plans import metrics
 from godown.plans.build import risk_band
 from godown.session import cut_lineage
@@ -24,47 +23,79 @@ SEED = 7
 LR, GBT, RULE = "Logistic regression", "Gradient boosting", "Reorder-point rule"
 
 
-def prepared(snapshots: DataFrame) -> DataFrame:
+def registered(table: DataFrame, snapshots: DataFrame) -> tuple[tuple[str, str], ...]:
+    """The rows of a feature registry (``feature``, ``kind``; a bounded table), in the order of its ``position`` or of
+    the names. A feature that the snapshots lack, an unknown kind and a feature listed twice are errors."""
+    rows = sorted((*((r["position"],) if "position" in table.columns else ()), r["feature"], r["kind"]) for r in table.collect())
+    features = tuple(r[-2:] for r in rows)
+    unknown = [f for f, kind in features if f not in snapshots.columns or kind not in ("numeric", "categorical")]
+    if unknown or len({f for f, _ in features}) < len(features):
+        raise ValueError(f"features that are unknown or listed twice: {unknown or features}")
+    return features
+
+
+def of_kind(features, kind: str) -> list[str]:
+    return [f for f, k in features if k == kind]
+
+
+def prepared(snapshots: DataFrame, features=FEATURES) -> DataFrame:
     """Numeric features with nulls as 0, categoricals as text, label as double."""
     return snapshots.select(
         *KEYS, "outcome_known", "below_reorder_point", F.col("stockout_14d").cast("double").alias("label"),
-        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in FEATURES_NUMERIC],
-        *[F.col(c).cast("string").alias(c) for c in FEATURES_CATEGORICAL if c not in KEYS])
-
-
-def temporal_split(snapshots: DataFrame, cal: Calendar = DEFAULT) -> tuple[DataFrame, DataFrame, DataFrame]:
+        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in of_kind(features, "numeric")],
+        *[F.col(c).cast("string").alias(c) for c in of_kind(features, "categorical") if c not in KEYS])
+
+
+def feature_profile(snapshots: DataFrame, features=FEATURES) -> DataFrame:
+    """A row a registered feature, in one pass over the snapshots with a known outcome: ``snapshots``, ``missing`` (nulls),
+    ``categories`` (distinct values; null for numbers), and ``mean``, ``least`` and ``greatest`` as the model sees it,
+    nulls as 0 (null for categories)."""
+    cells = F.explode(F.array(*[F.struct(
+        F.lit(f).alias("feature"), F.lit(kind).alias("kind"), F.col(f).isNull().alias("absent"),
+        (F.coalesce(F.col(f).cast("double"), F.lit(0.0)) if kind == "numeric" else F.lit(None).cast("double")).alias("value"),
+        (F.col(f).cast("string") if kind == "categorical" else F.lit(None).cast("string")).alias("text")) for f, kind in features])).alias("x")
+    return (snapshots.filter("outcome_known").select(cells).select("x.*").groupBy("feature", "kind")
+            .agg(F.count(F.lit(1)).alias("snapshots"), F.count_if("absent").alias("missing"),
+                 F.count_distinct("text").alias("categories"), F.round(F.avg("value"), 9).alias("mean"),
+                 F.round(F.min("value"), 9).alias("least"), F.round(F.max("value"), 9).alias("greatest"))
+            .withColumn("categories", F.when(F.col("kind") == "categorical", F.col("categories"))))
+
+
+def temporal_split(snapshots: DataFrame, cal: Calendar = DEFAULT, features=FEATURES) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(labelled, train, test): train up to ``train_end``, test from ``test_start``, the gap unused."""
-    labelled = prepared(snapshots).filter(F.col("outcome_known"))
+    labelled = prepared(snapshots, features).filter(F.col("outcome_known"))
     train = labelled.filter(F.col("snapshot_date") <= F.lit(cal.train_end))
     test = labelled.filter(F.col("snapshot_date") >= F.lit(cal.test_start))
     return labelled, train, test
 
 
-def _encoders(scale: bool):
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep", stringOrderType="alphabetAsc")
-           for c in FEATURES_CATEGORICAL]
-    ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in FEATURES_CATEGORICAL],
-                        outputCols=[f"{c}_ohe" for c in FEATURES_CATEGORICAL], dropLast=False, handleInvalid="keep")
-    num = VectorAssembler(inputCols=list(FEATURES_NUMERIC), outputCol="num")
-    stages = [*idx, ohe, num]
-    num_col = "num"
-    if scale:
-        stages.append(StandardScaler(inputCol="num", outputCol="num_scaled", withMean=True, withStd=True))
-        num_col = "num_scaled"
-    stages.append(VectorAssembler(inputCols=[num_col, *[f"{c}_ohe" for c in FEATURES_CATEGORICAL]],
-                                  outputCol="features"))
+def _encoders(scale: bool, features=FEATURES):
+    """Stages that turn the registered features into one vector; either kind may be absent."""
+    numeric, categorical = of_kind(features, "numeric"), of_kind(features, "categorical")
+    stages, parts = [], []
+    if categorical:
+        stages += [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep", stringOrderType="alphabetAsc") for c in categorical]
+        stages.append(OneHotEncoder(inputCols=[f"{c}_idx" for c in categorical], outputCols=[f"{c}_ohe" for c in categorical],
+                                    dropLast=False, handleInvalid="keep"))
+    if numeric:
+        stages.append(VectorAssembler(inputCols=numeric, outputCol="num"))
+        parts.append("num")
+        if scale:
+            stages.append(StandardScaler(inputCol="num", outputCol="num_scaled", withMean=True, withStd=True))
+            parts = ["num_scaled"]
+    stages.append(VectorAssembler(inputCols=[*parts, *[f"{c}_ohe" for c in categorical]], outputCol="features"))
     return stages
 
 
-def make_model(name: str, n_train: int, gbt_rounds: int = 300) -> MLPipeline:
+def make_model(name: str, n_train: int, gbt_rounds: int = 300, features=FEATURES) -> MLPipeline:
     if name == LR:
         # L2 with C = 0.5 on a summed log-loss equals regParam = 1 / (C n) on Spark's mean loss
         clf = LogisticRegression(featuresCol="features", labelCol="label", regParam=1.0 / (0.5 * max(n_train, 1)),
                                  elasticNetParam=0.0, standardization=False, maxIter=3000)
-        return MLPipeline(stages=[*_encoders(True), clf])
+        return MLPipeline(stages=[*_encoders(True, features), clf])
     clf = GBTClassifier(featuresCol="features", labelCol="label", maxDepth=4, stepSize=0.05, maxIter=gbt_rounds,
                         seed=SEED, validationIndicatorCol="is_validation", validationTol=0.0001)
-    return MLPipeline(stages=[*_encoders(False), clf])
+    return MLPipeline(stages=[*_encoders(False, features), clf])
 
 
 def with_validation(df: DataFrame, share: float = 0.1) -> DataFrame:
@@ -87,13 +118,13 @@ def evaluate(scored: DataFrame, share) -> dict:
 
 
 def train_and_evaluate(snapshots: DataFrame, cal: Calendar = DEFAULT, gbt_rounds: int = 300,
-                       models: tuple[str, ...] = (LR, GBT)):
+                       models: tuple[str, ...] = (LR, GBT), features=FEATURES):
     """Fit each model on the train window, evaluate on the test window, add the rule, choose.
 
     Returns (metrics rows, chosen model name, {name: (fitted model, scored test frame)}).
     The train frame is checkpointed: the fitters make many passes over it.
     """
-    labelled, train, test = temporal_split(snapshots, cal)
+    _, train, test = temporal_split(snapshots, cal, features)
     train = cut_lineage(with_validation(train))
     test = cut_lineage(test)
     n_train, n_test = train.count(), test.count()
@@ -102,7 +133,7 @@ def train_and_evaluate(snapshots: DataFrame, cal: Calendar = DEFAULT, gbt_rounds
     base_rate = test.agg(F.avg("label")).first()[0]
     rows, fitted = [], {}
     for name in models:
-        m = make_model(name, n_train, gbt_rounds).fit(train)
+        m = make_model(name, n_train, gbt_rounds, features).fit(train)
         scored = cut_lineage(score(m, test).select(*KEYS, "label", "score"))  # four metrics read it
         fitted[name] = (m, scored)
         rows.append(dict(model=name, **evaluate(scored, rule_share)))
@@ -133,7 +164,7 @@ def metrics_frame(spark, rows: list[dict]) -> DataFrame:
         "base_rate double, rule_share double, train_rows long, test_rows long, train_end string, test_start string")
 
 
-def permutation_importance(model: PipelineModel, test: DataFrame, repeats: int = 5) -> DataFrame:
+def permutation_importance(model: PipelineModel, test: DataFrame, repeats: int = 5, features=FEATURES) -> DataFrame:
     """Mean and sd of the ROC AUC drop when one feature's values are permuted across test rows.
 
     A permutation is a join on row rank: each row takes the feature value of the row whose rank in a hash order (seeded
@@ -141,7 +172,7 @@ def permutation_importance(model: PipelineModel, test: DataFrame, repeats: int =
     repeat; all features and repeats are scored in one long frame and ranked in one pass.
     """
     from godown.operators.prefix import ordered_prefix_sums
-    features = (*FEATURES_NUMERIC, *FEATURES_CATEGORICAL)
+    features = [f for f, _ in features]
     base = metrics.roc_auc(score(model, test), "label", "score").first()[0]
     ranked = ordered_prefix_sums(test.withColumnsRenamed({c: f"_k_{c}" for c in KEYS}).withColumns({c: F.col(f"_k_{c}") for c in KEYS}),
                                  [F.col(f"_k_{k}").asc() for k in KEYS], {"rid": F.lit(1).cast("long")})
@@ -161,40 +192,42 @@ def permutation_importance(model: PipelineModel, test: DataFrame, repeats: int =
             .agg(F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("std")).orderBy(F.desc("importance")))
 
 
-def reference_values(labelled: DataFrame) -> dict[str, float]:
+def reference_values(labelled: DataFrame, reasons=REASONS) -> dict[str, float]:
     """Reset value per reason factor: the exact median of labelled history, or the listed constant."""
-    medians = metrics.exact_medians(labelled, [feat for _, feat, ref in REASONS if ref == "median"])
-    return {feat: medians[feat] if ref == "median" else float(ref) for _, feat, ref in REASONS}
+    medians = metrics.exact_medians(labelled, [feat for _, feat, ref in reasons if ref == "median"])
+    return {feat: medians[feat] if ref == "median" else float(ref) for _, feat, ref in reasons}
 
 
 def scores_with_reasons(model, rows: DataFrame, refs: dict[str, float],
-                        min_drop: float = REASON_MIN_DROP, top: int = REASON_MAX) -> DataFrame:
+                        min_drop: float = REASON_MIN_DROP, top: int = REASON_MAX, reasons=REASONS) -> DataFrame:
     """``model`` is a fitted pipeline or any function adding a ``score`` column.
 
     Score every row; then score it once per factor with that factor reset, in one long frame
     (variant 0 is the row as is), and keep up to ``top`` factors whose reset lowers the risk by more
     than ``min_drop``, largest first, ties in listed order."""
-    variants = F.explode(F.sequence(F.lit(0), F.lit(len(REASONS)))).alias("variant")
+    variants = F.explode(F.sequence(F.lit(0), F.lit(len(reasons)))).alias("variant")
     long = rows.select("*", variants)
-    for i, (_, feat, _) in enumerate(REASONS, start=1):
+    for i, (_, feat, _) in enumerate(reasons, start=1):
         long = long.withColumn(feat, F.when(F.col("variant") == i, F.lit(refs[feat])).otherwise(F.col(feat)))
     scorer = model if callable(model) else (lambda df: score(model, df))
     s = scorer(long).select(*KEYS, "variant", "score")
     wide = s.groupBy(*KEYS).agg(*[F.max(F.when(F.col("variant") == i, F.col("score"))).alias(f"p{i}")
-                                  for i in range(len(REASONS) + 1)])
+                                  for i in range(len(reasons) + 1)])
     # drops are compared at 12 decimals so that float noise cannot decide a drop of exactly min_drop
     drops = F.array(*[F.struct(F.round(F.col("p0") - F.col(f"p{i}"), 12).alias("drop"), F.lit(-i).alias("neg_order"),
-                               F.lit(label).alias("label")) for i, (label, _, _) in enumerate(REASONS, start=1)])
+                               F.lit(label).alias("label")) for i, (label, _, _) in enumerate(reasons, start=1)])
     kept = F.filter(drops, lambda x: x["drop"] > min_drop)
     ordered = F.reverse(F.array_sort(kept))  # by drop, then earlier listed factor first
-    reasons = F.array_join(F.transform(F.slice(ordered, 1, top), lambda x: x["label"]), ", ")
+    texts = F.array_join(F.transform(F.slice(ordered, 1, top), lambda x: x["label"]), ", ")
     return wide.select(*KEYS, F.col("p0").alias("risk_score"), risk_band(F.col("p0")).alias("risk_band"),
-                       reasons.alias("reasons"))
+                       texts.alias("reasons"))
 
 
-def stockout_scores(snapshots: DataFrame, chosen: str, cal: Calendar = DEFAULT, gbt_rounds: int = 300) -> DataFrame:
+def stockout_scores(snapshots: DataFrame, chosen: str, cal: Calendar = DEFAULT, gbt_rounds: int = 300,
+                    features=FEATURES) -> DataFrame:
     """Refit the chosen model on every labelled snapshot and score every snapshot, with bands and reasons."""
-    labelled, _, _ = temporal_split(snapshots, cal)
+    labelled, _, _ = temporal_split(snapshots, cal, features)
     labelled = cut_lineage(with_validation(labelled))
-    final = make_model(chosen, labelled.count(), gbt_rounds).fit(labelled)
-    return scores_with_reasons(final, prepared(snapshots), reference_values(labelled))
+    final = make_model(chosen, labelled.count(), gbt_rounds, features).fit(labelled)
+    reasons = [r for r in REASONS if (r[1], "numeric") in features]
+    return scores_with_reasons(final, prepared(snapshots, features), reference_values(labelled, reasons), reasons=reasons)

@@ -7,11 +7,13 @@ Metric operators take any (label, score) frame. Registered with the fixed baseli
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from godown.config import FEATURES_NUMERIC, MODEL_CHOICE_MARGIN, REASONS
-from godown.plans import metrics, ml
+from godown.config import FEATURES, MODEL_CHOICE_MARGIN, REASONS
+from godown.plans import kpis, metrics, ml
 from godown.plans.build import risk_band
 from godown.plans.oracle import TEST_START, TRAIN_END
 from godown.plans.registry import query
@@ -167,19 +169,19 @@ LINEAR = (("cover_days", -0.004), ("pipeline_cover_days", -0.002), ("supplier_on
 LINEAR_BASE = 0.9
 
 
-def linear_score(df: DataFrame) -> DataFrame:
-    s = F.lit(LINEAR_BASE)
+def linear_score(df: DataFrame, base: float = LINEAR_BASE) -> DataFrame:
+    s = F.lit(base)
     for feat, w in LINEAR:
         s = s + F.lit(w) * F.col(feat)
     return df.withColumn("score", F.least(F.lit(1.0), F.greatest(F.lit(0.0), s)))
 
 
-def _reason_sql() -> str:
+def _reason_sql(base: float = LINEAR_BASE) -> str:
     refs = {feat: (f"(SELECT quantile_cont(coalesce({feat}, 0), 0.5) FROM stockout_snapshots WHERE outcome_known)"
                    if ref == "median" else f"{float(ref)}") for _, feat, ref in REASONS}
 
     def lin(override: str | None) -> str:
-        s = f"{LINEAR_BASE}"
+        s = f"{base}"
         for feat, w in LINEAR:
             val = refs[feat] if feat == override else f"coalesce({feat}, 0)"
             s = f"({s} + {w} * {val})"
@@ -205,6 +207,38 @@ def reason_codes(b):
     return r.withColumn("risk_score", F.round("risk_score", 10))
 
 
+# the watch list needs some high scores in its week
+WATCH_BASE = 1.2
+
+
+@query("watch_list_reasons", ",\nreasoned AS (" + _reason_sql(WATCH_BASE) + """)
+SELECT r.item_id || ', ' || w.dc_city AS item, r.item_id AS sku, r.dc_id, w.dc_city, r.risk_score, s.cover_days, r.reasons
+FROM reasoned r JOIN dim_dc w ON w.dc_id = r.dc_id
+JOIN stockout_snapshots s ON CAST(s.snapshot_date AS VARCHAR) = r.snapshot_date AND s.dc_id = r.dc_id AND s.item_id = r.item_id
+WHERE r.risk_band = 'High' AND s.snapshot_date = (SELECT max(snapshot_date) FROM stockout_snapshots)""")
+def watch_list_reasons(b):
+    """The watch list of all centres in the latest week from a long table whose scores carry reasons."""
+    refs = ml.reference_values(ml.prepared(b.stockout_snapshots).filter(F.col("outcome_known")))
+    scores = ml.scores_with_reasons(partial(linear_score, base=WATCH_BASE), ml.prepared(b.stockout_snapshots), refs)
+    return kpis.watch_list(b.workbench(scores), kpis.Scope()).withColumn("risk_score", F.round("risk_score", 10))
+
+
+def _profile_sql() -> str:
+    parts = []
+    for f, kind in FEATURES:
+        values = (f"NULL::BIGINT AS categories, round(avg(coalesce({f}, 0)::DOUBLE), 9) AS mean, round(min(coalesce({f}, 0)::DOUBLE), 9) AS least, "
+                  f"round(max(coalesce({f}, 0)::DOUBLE), 9) AS greatest" if kind == "numeric" else
+                  f"count(DISTINCT {f}) AS categories, NULL::DOUBLE AS mean, NULL::DOUBLE AS least, NULL::DOUBLE AS greatest")
+        parts.append(f"SELECT '{f}' AS feature, '{kind}' AS kind, count(*) AS snapshots, count(*) FILTER (WHERE {f} IS NULL) AS missing, {values} "
+                     "FROM stockout_snapshots WHERE outcome_known")
+    return "\n" + "\nUNION ALL ".join(parts)
+
+
+@query("feature_profile", _profile_sql())
+def feature_profile(b):
+    return ml.feature_profile(b.stockout_snapshots)
+
+
 # ------------------------------------------------------------------------------------------ trained models
 @query("model_metrics")
 def model_metrics(b):
@@ -263,4 +297,4 @@ def score_facts(b):
                  (F.count_if(F.col("reasons") != "") > 0).alias("some_reasons"))
 
 
-assert set(f for f, _ in LINEAR) <= set(FEATURES_NUMERIC)
+assert set(f for f, _ in LINEAR) <= set(ml.of_kind(FEATURES, "numeric"))
