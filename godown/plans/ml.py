@@ -171,18 +171,19 @@ def permutation_importance(model: PipelineModel, test: DataFrame, repeats: int =
     per repeat) equals its own rank in key order. The order does not depend on the feature, so there is one ranking a
     repeat; all features and repeats are scored in one long frame and ranked in one pass.
     """
-    from godown.operators.prefix import ordered_prefix_sums
+    from godown.operators.prefix import prefix_sums
     features = [f for f, _ in features]
     base = metrics.roc_auc(score(model, test), "label", "score").first()[0]
-    ranked = ordered_prefix_sums(test.withColumnsRenamed({c: f"_k_{c}" for c in KEYS}).withColumns({c: F.col(f"_k_{c}") for c in KEYS}),
-                                 [F.col(f"_k_{k}").asc() for k in KEYS], {"rid": F.lit(1).cast("long")})
+    ranked, _ = prefix_sums(test.withColumnsRenamed({c: f"_k_{c}" for c in KEYS}).withColumns({c: F.col(f"_k_{c}") for c in KEYS}),
+                            [(f"_k_{k}", True) for k in KEYS], {"rid": F.lit(1).cast("long")})
     ranked = cut_lineage(ranked)
     donors = None
     for r in range(repeats):
         h = F.xxhash64(*[F.col(f"_k_{k}").cast("string") for k in KEYS], F.lit(SEED * 100 + r))
         hashed = ranked.select(h.alias("_h"), *[f"_k_{k}" for k in KEYS], F.struct(*features).alias("_donor"))
-        order = [F.col("_h").asc(), *[F.col(f"_k_{k}").asc() for k in KEYS]]
-        one = ordered_prefix_sums(hashed, order, {"rid": F.lit(1).cast("long")}).select(F.lit(r).alias("repeat"), "rid", "_donor")
+        order = [("_h", True), *[(f"_k_{k}", True) for k in KEYS]]
+        one, _ = prefix_sums(hashed, order, {"rid": F.lit(1).cast("long")})
+        one = one.select(F.lit(r).alias("repeat"), "rid", "_donor")
         donors = one if donors is None else donors.unionByName(one)
     long = ranked.join(donors, "rid").select("*", F.explode(F.array(*map(F.lit, features))).alias("feature"))
     for f in features:

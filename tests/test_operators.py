@@ -4,12 +4,13 @@ import random
 from datetime import date, timedelta
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from godown.operators.abc import abc_classes
+from godown.operators.abc import abc_classes, abc_runs, class_on
 from godown.operators.intervals import next_on_or_after, open_deltas, trailing_stats
-from godown.operators.prefix import ordered_prefix_sums
+from godown.operators.prefix import ordered_prefix_sums, prefix_sums
 from godown.operators.replay import replay
 
 
@@ -92,3 +93,78 @@ def test_abc_boundary(spark):
     tie = spark.createDataFrame([("y", D(40)), ("x", D(40)), ("z", D(20))], "sku string, value decimal(18,2)")
     got = {r.sku: r.abc_class for r in abc_classes(tie, "sku").collect()}
     assert got == {"x": "A", "y": "A", "z": "B"}  # z has 80% before it: not below 0.80
+
+
+def test_bucketed_prefix_sums_match_cumsum(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.choice([None, float("nan"), float("inf"), -0.0, 0.0, 1.5, -2.5]), rng.choice([None, 1, 2, 7]), rng.choice([None, D("1.25"), D("-3.50")]))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, x double, w long, m decimal(18,2)")
+
+    def rank(v, ascending):  # nulls least, NaN greatest
+        k = (0, 0.0) if v is None else (2, 0.0) if v != v else (1, float(v))
+        return k if ascending else tuple(-p for p in k)
+
+    for buckets in (1, 2, 37, 500):
+        for first, way, inclusive in (("x", True, True), ("x", False, False), ("m", False, True), ("w", False, False), ("w", True, True)):
+            out, totals = prefix_sums(df, [(first, way), ("id", True)], {"n": F.col("w"), "money": F.col("m"), "_m": F.lit(1)}, buckets, inclusive)
+            at = df.columns.index(first)
+            n, money, want = 0, D(0), {}
+            for r in sorted(rows, key=lambda r: (rank(r[at], way), r[0])):
+                before = (n, money)
+                n, money = n + (r[2] or 0), money + (r[3] or 0)
+                want[r[0]] = (n, money) if inclusive else before
+            assert {r.id: (r.n, r.money) for r in out.collect()} == want
+            assert (totals["n"], totals["money"], totals["_m"]) == (n, money, len(rows))
+    assert out.columns == [*df.columns, "n", "money", "_m"]
+
+
+def test_bucketed_prefix_sums_of_dates_texts_and_nothing(spark):
+    rows = [(date(2000, 1, 1) + timedelta(days=i % 5), f"t{i:03}") for i in range(400)] + [(None, "a"), (None, None)]
+    df = spark.createDataFrame(rows, "d date, t string")
+    out, totals = prefix_sums(df, [("d", False), ("t", True)], {"n": F.lit(1)}, buckets=9)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or date.min).toordinal(), r[1] is not None, r[1] or ""))
+    assert [(r.d, r.t) for r in out.orderBy("n").collect()] == order and totals == {"n": len(rows)}
+    out, totals = prefix_sums(df.limit(0), [("t", True)], {"n": F.lit(1)}, buckets=9)
+    assert out.count() == 0 and totals == {"n": 0}
+    with pytest.raises(ValueError, match="ascending"):
+        prefix_sums(df, [("t", False)], {"n": F.lit(1)})
+
+
+def test_bucketed_prefix_sums_move_rows_once(spark):
+    df = spark.range(20000).select("id", (F.col("id") % 7).alias("v"))
+    out, _ = prefix_sums(df, [("v", False), ("id", True)], {"s": F.col("v")}, buckets=20)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "rangepartitioning" not in plan
+    per_bucket = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_bucket) > 1
+
+
+def test_classes_as_of_days_use_only_earlier_sales(spark):
+    rng = random.Random(8)
+    d0 = date(2000, 1, 1)
+    days = [d0 + timedelta(days=7 * i) for i in range(1, 12)]
+    sales = [(rng.choice("abcdefghijk"), d0 + timedelta(days=rng.randrange(90)), rng.choice([None, D(1), D(5), D("20.25"), D(0)])) for _ in range(400)]
+    sales += [("late", days[-1] + timedelta(days=1), D(10 ** 6)), (None, d0, D(3)), ("a", None, D(4)), ("z", days[3], D(10 ** 4)), ("nil", d0, None)]
+    df = spark.createDataFrame(sales, "sku string, day date, v decimal(18,2)")
+    runs = abc_runs(df, "sku", "day", "v", days, buckets=5)
+    on = spark.createDataFrame([(k, d) for k in [*"abcdefghijkz", "late", "nil", "none", None] for d in [*days, d0]] + [("a", None)], "sku string, on date")
+    got = {(r.sku, r.on): r.abc_class for r in class_on(on, runs, "sku", "on").collect()}
+    assert len(got) == on.count()
+    for d in days:
+        worth = {}
+        for k, day, v in sales:
+            if k and day and day <= d:
+                worth[k] = worth.get(k, 0) + (v or 0)
+        whole, before = sum(worth.values()), D(0)
+        for k in sorted(worth, key=lambda k: (-worth[k], k)):
+            assert got[k, d] == ("A" if before < whole * D("0.8") else "B" if before < whole * D("0.95") else "C"), (k, d)
+            before += worth[k]
+        assert {got[k, d] for k in ("late", "none", None)} == {"C"}
+    assert got["a", d0] == got["a", None] == "C"
+    held = {}
+    for r in runs.orderBy("sku", "valid_from").collect():
+        last = held.get(r.sku)
+        assert last is None or (last.valid_to == r.valid_from - timedelta(days=1) and last.abc_class != r.abc_class)
+        held[r.sku] = r
+    assert all(r.valid_to is None for r in held.values()) and abc_runs(df.limit(0), "sku", "day", "v", days).count() == 0
