@@ -7,3 +7,4 @@ from godown.plans import queries_model  # noqa: F401
 from godown.plans import queries_dash  # noqa: F401
 from godown.plans import queries_io  # noqa: F401
 from godown.plans import queries_sparse  # noqa: F401
+from godown.plans import queries_asof  # noqa: F401

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from godown.config import RISK_HIGH, RISK_WATCH
+from godown.operators.abc import abc_runs, class_on, mondays_and_months
 from godown.operators.allocation import allocate
 from godown.plans import features, sparse
 from godown.plans.model import Build
@@ -59,6 +60,17 @@ class Pipeline(Build):
         return self._cut(features.stockout_snapshots(self.stock_daily, self.dim_item, self.fact_purchase_orders,
                                                      self.festival_days, self.cal))
 
+    @cached_property
+    def product_abc_runs(self) -> DataFrame:
+        """Each product's class set anew on the first of every month, from the value shipped by then."""
+        return self._cut(abc_runs(self.fact_order_lines, "sku", "ship_date", "cogs", mondays_and_months(self.cal.start, self.cal.end)[1]))
+
+    @cached_property
+    def snapshots_as_of(self) -> DataFrame:
+        """The snapshots with each item's class from the value shipped up to the snapshot's day: nothing later is known."""
+        runs = abc_runs(self.fact_order_lines, "item_id", "ship_date", "cogs", mondays_and_months(self.cal.start, self.cal.end)[0])
+        return self._cut(class_on(self.stockout_snapshots, runs, "item_id", "snapshot_date"))
+
     @cached_property
     def stockout_scores(self) -> DataFrame:
         return self._keep(baseline_scores(self.stockout_snapshots))

@@ -195,12 +195,11 @@ def supplier_trailing_180d(b):
 
 
 # ------------------------------------------------------------------------------------------ marts
-#: Lanes: the lines of a city's orders, counted by what went wrong with them.
+#: Lanes: lines of a city's orders by category and month. The column names and their order are outputs that must match.
 MART_LANES_SQL = """
 mart_lanes AS (
   SELECT concat_ws('-', dc_id, zone_id) AS lane_id, dc_id, zone_id, category, make_date(year(order_date), month(order_date), 1) AS month,
-         count(*) AS lines, count(*) FILTER (WHERE otif) AS otif_lines, count(*) - count(*) FILTER (WHERE NOT on_time) AS ontime_lines,
-         count(*) - count(*) FILTER (WHERE NOT in_full) AS infull_lines, sum(lead_days) AS lead_days_sum,
+         count(*) AS lines, count_if(otif) AS otif_lines, count_if(on_time) AS ontime_lines, count_if(in_full) AS infull_lines, sum(lead_days) AS lead_days_sum,
          sum(qty_ordered) AS units_ordered, sum(qty_shipped) AS units_shipped
   FROM fact_order_lines GROUP BY dc_id, zone_id, category, year(order_date), month(order_date))
 """
@@ -237,11 +236,11 @@ def q_mart_nodes(b):
 #: Suppliers: purchase orders that have come in, by the month in which they were complete.
 MART_SUPPLIERS_SQL = """
 complete AS (
-  SELECT f.*, p.category, last_day(f.last_received - INTERVAL 1 MONTH) + 1 AS month
+  SELECT f.*, p.category, CAST(date_trunc('month', f.last_received) AS DATE) AS month
   FROM fact_purchase_orders f, prod p WHERE p.sku = f.sku AND f.deliveries > 0),
 mart_suppliers AS (
-  SELECT supplier_id, dc_id, category, month, count(*) AS pos, count(*) FILTER (WHERE on_time) AS pos_on_time,
-         count(*) FILTER (WHERE in_full) AS pos_in_full, sum(lead_days) AS po_lead_days_sum,
+  SELECT supplier_id, dc_id, category, month, count(*) AS pos, count_if(on_time) AS pos_on_time,
+         count_if(in_full) AS pos_in_full, sum(lead_days) AS po_lead_days_sum,
          sum(quoted_lead_days) AS po_quoted_days_sum, sum(qty_ordered) AS po_units_ordered,
          sum(qty_received) AS units_received, sum(qty_rejected) AS units_rejected
   FROM complete GROUP BY supplier_id, dc_id, category, month)
