@@ -12,7 +12,6 @@ totals come from the same materialisation even if an executor is lost in between
 
 from __future__ import annotations
 
-import math
 from decimal import Decimal, localcontext
 from itertools import accumulate
 
@@ -23,7 +22,7 @@ from pyspark.sql import types as T
 from godown.session import cut_lineage
 
 #: Sampled keys a bucket, and rows a bucket below which fewer buckets are made.
-SAMPLED, SMALL = 32, 4096
+SAMPLED, SMALL = 32, 65_536
 
 
 def _ascending(df: DataFrame, order: list[tuple[str, bool]]) -> Column:
@@ -55,27 +54,26 @@ def prefix_sums(df: DataFrame, order: list[tuple[str, bool]], sums: dict[str, Co
     the driver.
     """
     spark = df.sparkSession
-    kept = cut_lineage(df.select("*", _ascending(df, order).alias("_key"), *[F.coalesce(c, F.lit(0)).alias(f"_val_{k}") for k, c in sums.items()]))
+    kept = cut_lineage(df)
+    values = {k: F.coalesce(c, F.lit(0)) for k, c in sums.items()}
     rows = kept.count()
     n = buckets or min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), rows // SMALL + 1)
     share = int(min(1.0, n * SAMPLED / max(rows, 1)) * 2 ** 30)
-    sample = kept.filter(F.pmod(F.xxhash64("_key"), F.lit(2 ** 30)) < share) if n > 1 else kept.limit(0)
-    keys = sample.agg(F.sort_array(F.collect_list("_key")).alias("cuts"))
-    found = keys.select(F.transform("cuts", lambda k: F.to_json(k)).alias("cuts")).first()["cuts"]
+    key = _ascending(df, order)
+    nullable = kept.select(key.alias("k")).schema["k"].dataType.simpleString()
+    keyed = kept.withColumn("_key", key.cast(nullable))  # of the type of the cuts, so that no comparison casts it again
+    keys = (keyed.filter(F.pmod(F.xxhash64("_key"), F.lit(2 ** 30)) < share)
+            .agg(F.sort_array(F.collect_list("_key")).alias("cuts")))
+    found = keys.select(F.transform("cuts", lambda k: F.to_json(k)).alias("cuts")).first()["cuts"] if n > 1 else []
     cuts = [found[len(found) * i // n] for i in range(1, n)] if len(found) >= n else found
-    # a row's bucket is the number of cuts at or before it: whole blocks of cuts first, then one block
-    block = math.isqrt(len(cuts)) + 1
-
-    def passed(c: Column) -> Column:
-        return F.size(F.filter(c, lambda cut: cut <= F.col("_key")))
-
-    def constant(some: list[str]) -> Column:  # folded to a literal once
-        return F.from_json(F.lit(f"[{','.join(some)}]"), keys.schema["cuts"].dataType)
-
-    whole = passed(constant(cuts[block - 1::block]))
-    bucket = whole * block + passed(F.slice(constant(cuts), whole * block + 1, F.lit(block)))
-    placed = kept.withColumn("_bucket", bucket)
-    parts = placed.groupBy("_bucket").agg(*[F.sum(f"_val_{k}").alias(k) for k in sums])
+    # a row's bucket is the number of cuts at or before it, by binary search; beyond the last cut a probe is null
+    held_cuts = F.from_json(F.lit(f"[{','.join(cuts)}]"), f"array<{nullable}>")  # folded to a literal once
+    placed = keyed.withColumn("_bucket", F.lit(0))
+    for step in (1 << i for i in reversed(range(len(cuts).bit_length()))):
+        probe = F.get(held_cuts, F.col("_bucket") + (step - 1))
+        placed = placed.withColumn("_bucket", F.col("_bucket") + F.when(probe <= F.col("_key"), step).otherwise(0))
+    placed = placed.drop("_key")
+    parts = placed.groupBy("_bucket").agg(*[F.sum(v).alias(k) for k, v in values.items()])
     of_bucket = {r["_bucket"]: r for r in parts.collect()}  # a row a bucket
     offsets, totals = [], {}
     with localcontext(prec=76):
@@ -84,12 +82,14 @@ def prefix_sums(df: DataFrame, order: list[tuple[str, bool]], sums: dict[str, Co
             *before, totals[k] = accumulate((of_bucket[i][k] if i in of_bucket else nothing for i in range(len(cuts) + 1)), initial=nothing)
             offsets.append(before)
     held = spark.createDataFrame([tuple(offsets)], T.StructType([T.StructField(k, T.ArrayType(parts.schema[k].dataType)) for k in sums]))
-    w = (Window.partitionBy("_bucket").orderBy(*[f"_key.{f}" for f in kept.schema["_key"].dataType.names])
+    w = (Window.partitionBy("_bucket").orderBy(*[F.col(name).asc() if ascending else F.col(name).desc() for name, ascending in order])
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = []
     for k in sums:
-        v = F.sum(f"_val_{k}").over(w) + F.get(held.select(k).scalar(), F.col("_bucket"))
-        out.append((v if inclusive else v - F.col(f"_val_{k}")).alias(k))
+        v = F.sum(values[k]).over(w)
+        if cuts:
+            v = v + F.get(held.select(k).scalar(), F.col("_bucket"))
+        out.append((v if inclusive else v - values[k]).alias(k))
     return placed.select(*df.columns, *out), totals
 
 

@@ -177,14 +177,12 @@ def permutation_importance(model: PipelineModel, test: DataFrame, repeats: int =
     ranked, _ = prefix_sums(test.withColumnsRenamed({c: f"_k_{c}" for c in KEYS}).withColumns({c: F.col(f"_k_{c}") for c in KEYS}),
                             [(f"_k_{k}", True) for k in KEYS], {"rid": F.lit(1).cast("long")})
     ranked = cut_lineage(ranked)
-    donors = None
-    for r in range(repeats):
-        h = F.xxhash64(*[F.col(f"_k_{k}").cast("string") for k in KEYS], F.lit(SEED * 100 + r))
-        hashed = ranked.select(h.alias("_h"), *[f"_k_{k}" for k in KEYS], F.struct(*features).alias("_donor"))
-        order = [("_h", True), *[(f"_k_{k}", True) for k in KEYS]]
-        one, _ = prefix_sums(hashed, order, {"rid": F.lit(1).cast("long")})
-        one = one.select(F.lit(r).alias("repeat"), "rid", "_donor")
-        donors = one if donors is None else donors.unionByName(one)
+    h = F.xxhash64(*[F.col(f"_k_{k}").cast("string") for k in KEYS], F.lit(SEED * 100) + F.col("repeat"))
+    hashed = (ranked.select(*[f"_k_{k}" for k in KEYS], F.struct(*features).alias("_donor"), F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"))
+              .withColumn("_h", h))
+    # all repeats are ranked in one pass; each has as many rows as the test frame
+    donors, totals = prefix_sums(hashed, [("repeat", True), ("_h", True), *[(f"_k_{k}", True) for k in KEYS]], {"rid": F.lit(1).cast("long")})
+    donors = donors.select("repeat", (F.col("rid") - F.col("repeat") * (totals["rid"] // repeats)).alias("rid"), "_donor")
     long = ranked.join(donors, "rid").select("*", F.explode(F.array(*map(F.lit, features))).alias("feature"))
     for f in features:
         long = long.withColumn(f, F.when(F.col("feature") == f, F.col("_donor")[f]).otherwise(F.col(f)))
