@@ -3,7 +3,8 @@
 The dense ledger has a row a series and day, which centres x products x days cannot afford. A series' stock changes only on days
 with a flow, and the lost-sales replay needs no others: demand of nothing moves neither the running sum nor its minimum.
 So a run holds from its day to the day before the next one. States on given days (snapshots) are rows without a flow among
-the others; trailing demand is a sum over a range of days, and the label looks for an empty run in the range ahead.
+the others; trailing demand is a sum over a range of days, and the label looks for an empty run in the range ahead. Only days on
+which a state may differ from that of the day asked before are worked out; it is held on those that follow.
 All of it runs in one partitioning by series, over rows that are summed by day before they move.
 
 A series without any flow holds its opening stock at all times; it has no rows here.
@@ -11,6 +12,9 @@ A series without any flow holds its opening stock at all times; it has no rows h
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,16 +58,38 @@ def stock_runs(flows: DataFrame, keys: list[str], cal: Calendar) -> DataFrame:
                       "on_hand", "shipped", F.sum("open_delta").over(upto).alias("open_po_units"))
 
 
-def states_on(flows: DataFrame, keys: list[str], days: Column, cal: Calendar, horizon: int = HORIZON_DAYS) -> DataFrame:
-    """The state of every series on the days of the array ``days`` (a literal of the calendar): on_hand, open_po_units,
-    reorder_point (8/28 of the last 28 days' demand), demand_28d, demand_7d, demand_sd_28d over the days since the
-    calendar's start, and out_next_14d (out of stock on any of the next ``horizon`` days; null on the last day)."""
-    n = int(flows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def state_runs(flows: DataFrame, keys: list[str], days: Column, cal: Calendar, horizon: int = HORIZON_DAYS) -> DataFrame:
+    """The states of every series on the days of the array ``days`` (a literal of the calendar), a row a run of asked days with
+    one state: ``held`` (the days), and of each of them on_hand, open_po_units, reorder_point (8/28 of the last 28 days' demand),
+    demand_28d, demand_7d, demand_sd_28d over the days since the calendar's start, and out_next_14d (out of stock on any of
+    the next ``horizon`` days; null on the last day). A series' runs hold each asked day once.
+
+    A flow changes what is seen on its day, on the next, and 7 and 28 days on, when demand leaves a sum; an empty run changes the
+    label ``horizon`` days before its first day and on its last, the day before a flow. The first asked day from each of these on
+    starts a run, as do the days until the sums have 28 days behind them.
+    """
+    spark = flows.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     zero = F.lit(0).cast("long")
+    listed = sorted({d for d in spark.range(1).select(days.alias("d")).first()["d"] if cal.start <= d <= cal.end})  # days of the calendar
+    grown = cal.start + timedelta(27)
+    always = [i for i, d in enumerate(listed) if i == 0 or d <= grown or listed[i - 1] < grown or d == cal.end]
+    following = [bisect_left(listed, cal.start + timedelta(i)) for i in range((cal.end - cal.start).days + 1)]
+    of_calendar = spark.createDataFrame([(listed, following, always)], "listed array<date>, following array<int>, always array<int>")
+    all_days, nexts, fixed = (of_calendar.select(c).scalar() for c in of_calendar.columns)
+
+    def place(day: Column) -> Column:
+        """The place among the asked days of the first from ``day`` on (null beyond the calendar)."""
+        return F.get(nexts, F.greatest(F.datediff(day, F.lit(cal.start)), F.lit(0)))
+
     # Dealt by series once; the asked days are made where the series already are.
     dealt = flows.repartition(n, *keys)
-    asked = (dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-             .select(*keys, F.explode(days).alias("date"), *[zero.alias(c) for c in FLOWS], F.lit(1).alias("asked")))
+    leaves = [F.when(F.col("demand") != 0, place(F.date_add("date", k))) for k in (1, 7, 28)]
+    turns = F.array_distinct(F.array(place(F.date_sub("date", horizon)), place(F.date_sub("date", 1)), place(F.col("date")), *leaves))
+    places = (dealt.select(*keys, F.explode(turns).alias("_at"))
+              .unionByName(dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(*keys, F.explode(fixed).alias("_at"))))
+    asked = places.select(*keys, F.get(all_days, F.col("_at")).alias("date"), *[zero.alias(c) for c in FLOWS],
+                          F.lit(1).alias("asked")).filter(F.col("date").isNotNull())
     rows = (dealt.select(*keys, "date", *FLOWS, F.lit(0).alias("asked")).unionByName(asked)
             .groupBy(*keys, "date").agg(*[F.sum(c).alias(c) for c in FLOWS], F.max("asked").alias("asked")))
     led = replay(rows, keys, "date", "accepted", "demand", cal.opening_stock)
@@ -77,11 +103,19 @@ def states_on(flows: DataFrame, keys: list[str], days: Column, cal: Calendar, ho
                      F.least(age, F.lit(28)).alias("_n28"), F.least(age, F.lit(7)).alias("_n7"))
     lasts = empty & (F.col("_next").isNull() | (F.datediff("_next", "date") > 1))  # the run goes on tomorrow
     var = (F.col("_n28") * F.col("_q28") - F.col("_s28") * F.col("_s28")).cast("double")
-    return led.filter("asked = 1").select(
-        *keys, "date", "demand", "on_hand", "open_po_units", F.expr("CAST((_s28 * 8) div 28 AS INT)").alias("reorder_point"),
+    led = led.withColumn("_ends", lasts).filter("asked = 1").withColumn("_at", place(F.col("date")))
+    until = F.coalesce(F.lead("_at").over(Window.partitionBy(*keys).orderBy(day_number(F.col("date")))), F.lit(len(listed)))
+    return led.withColumn("held", F.slice(all_days, F.col("_at") + 1, until - F.col("_at"))).select(
+        *keys, "held", "demand", "on_hand", "open_po_units", F.expr("CAST((_s28 * 8) div 28 AS INT)").alias("reorder_point"),
         (F.col("_s28") / F.col("_n28")).alias("demand_28d"), (F.col("_s7") / F.col("_n7")).alias("demand_7d"),
         (F.sqrt(F.greatest(var, F.lit(0.0))) / F.col("_n28")).alias("demand_sd_28d"),
-        F.when(F.col("date") < F.lit(cal.end), F.col("_ahead") | lasts).alias("out_next_14d"))
+        F.when(F.col("date") < F.lit(cal.end), F.col("_ahead") | F.col("_ends")).alias("out_next_14d"))
+
+
+def states_on(flows: DataFrame, keys: list[str], days: Column, cal: Calendar, horizon: int = HORIZON_DAYS) -> DataFrame:
+    """The states of ``state_runs``, a row a series and asked day."""
+    runs = state_runs(flows, keys, days, cal, horizon)
+    return runs.select(*keys, F.explode("held").alias("date"), *[c for c in runs.columns if c not in (*keys, "held")])
 
 
 def mondays(cal: Calendar) -> Column:
