@@ -218,10 +218,11 @@ class Build:
     """All staged exports and derived tables of one build, as lazy DataFrames.
 
     Tables with several consumers are kept once per build, as the reference materialises every
-    table: staged exports, dimensions and facts are persisted (memory, spilling to disk; a lost
-    executor's blocks are recomputed from lineage), and the window-heavy daily ledger and the
-    snapshots are checkpointed to the shared checkpoint folder, which also cuts their lineage.
-    ``materialize=False`` keeps everything as one lazy plan.
+    table. Those that grow with the order lines, the daily ledger and the snapshots are written to the
+    shared checkpoint folder, which also cuts their lineage: held in memory, they would take it from
+    sorts and joins, which then spill. Small ones (bounded by calendar, items and centres) and exports
+    that a caller gives are persisted. Staging is a projection and is done anew by each reader of a
+    written export. ``materialize=False`` keeps everything as one lazy plan.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, cal: Calendar | None = None,
@@ -241,6 +242,10 @@ class Build:
     def _cut(self, df: DataFrame) -> DataFrame:
         return cut_lineage(df) if self.materialize else df
 
+    def _store(self, df: DataFrame) -> DataFrame:
+        """A table that grows with the input, written small."""
+        return cut_lineage(df, "zstd") if self.materialize else df
+
     def release(self) -> None:
         """Unpersist everything this build kept."""
         for df in self._kept:
@@ -269,12 +274,13 @@ class Build:
     def raw(self) -> dict[str, DataFrame]:
         if self._exports is not None:
             return self._exports
-        return driver_tables.raw_exports(self.spark, self.sf_dir, keep=self._keep)
+        return driver_tables.raw_exports(self.spark, self.sf_dir, keep=self._store)
 
     def staged(self, name: str) -> DataFrame:
-        # exports whose raw frame is already kept need no second copy
-        return stage(name, self.raw[name]) if name in ("order_lines", "products") else \
-            self._keep(stage(name, self.raw[name]))
+        # exports whose raw frame is already written need no second copy
+        df = stage(name, self.raw[name])
+        written = self._exports is None and name not in ("warehouses", "delivery_zones")
+        return df if written or name in ("order_lines", "products") else self._keep(df)
 
     # staging
     @cached_property
@@ -310,7 +316,7 @@ class Build:
     @cached_property
     def dim_supplier(self): return self.stg_suppliers
     @cached_property
-    def dim_product(self): return self._keep(dim_product(self.stg_products, self.stg_order_lines))
+    def dim_product(self): return self._store(dim_product(self.stg_products, self.stg_order_lines))
     @cached_property
     def dim_item(self): return self._keep(dim_item(self.stg_products, self.stg_order_lines))
     @cached_property
@@ -319,14 +325,14 @@ class Build:
     # facts
     @cached_property
     def fact_order_lines(self):
-        return self._keep(fact_order_lines(self.stg_sales_orders, self.stg_shipments, self.stg_order_lines,
-                                           self.stg_products))
+        return self._store(fact_order_lines(self.stg_sales_orders, self.stg_shipments, self.stg_order_lines,
+                                            self.stg_products))
     @cached_property
-    def fact_orders(self): return self._keep(fact_orders(self.fact_order_lines))
+    def fact_orders(self): return self._store(fact_orders(self.fact_order_lines))
     @cached_property
     def fact_purchase_orders(self):
-        return self._keep(fact_purchase_orders(self.stg_purchase_orders, self.stg_goods_receipts, self.stg_suppliers,
-                                               self.stg_products))
+        return self._store(fact_purchase_orders(self.stg_purchase_orders, self.stg_goods_receipts, self.stg_suppliers,
+                                                self.stg_products))
     @cached_property
     def stock_daily(self):
         grid = series_grid(self.dim_dc, self.stg_products.select("item_id").distinct(), self.cal,

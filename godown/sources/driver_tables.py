@@ -154,8 +154,8 @@ def goods_receipts(po: DataFrame) -> DataFrame:
 def raw_exports(spark: SparkSession, sf_dir: str, keep=lambda df: df) -> dict[str, DataFrame]:
     """The raw exports (except the stock ledger) built from the driver tables.
 
-    ``keep`` is applied to the intermediates two exports share (order headers, lines, purchase
-    orders), so a build that persists them computes each once."""
+    ``keep`` is applied to the intermediates two exports share (order headers, lines, products, suppliers, purchase
+    orders), so a build that writes them computes each once."""
     t = {name: read(spark, sf_dir, name) for name in DRIVER_TABLES}
     wh = warehouses(t["region"])
     zones = delivery_zones(t["nation"], t["region"])
@@ -165,7 +165,7 @@ def raw_exports(spark: SparkSession, sf_dir: str, keep=lambda df: df) -> dict[st
     # the serving centre of each order comes from its city; the zone table has one row per nation
     headers = keep(headers.join(F.broadcast(zones.select("zone_id", F.col("serving_dc").alias("dc_id"))), "zone_id"))
     lines = keep(order_lines(t["lineitem"]))
-    prods = keep(prods)
+    prods, sups = keep(prods), keep(sups)
     po = keep(purchase_orders_typed(lines, headers, prods, sups.select("supplier_id", "quoted_lead_days")))
     day_first = "dd/MM/yyyy"
     return {
