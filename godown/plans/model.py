@@ -21,7 +21,7 @@ from godown.operators.abc import abc_classes
 from godown.operators.intervals import open_deltas
 from godown.operators.replay import replay
 from godown.sources import driver_tables
-from godown.session import cut_lineage
+from godown.session import cut_in_buckets, cut_lineage, forget_buckets
 from godown.sources.exports import stage
 
 SERIES = ["dc_id", "item_id"]
@@ -93,22 +93,43 @@ def fact_orders(order_lines: DataFrame) -> DataFrame:
         F.sum(F.col("otif").cast("int")).alias("otif_lines"))
 
 
-def fact_purchase_orders(pos: DataFrame, receipts: DataFrame, suppliers: DataFrame, products: DataFrame) -> DataFrame:
-    """Receipts summed per PO (first/last date, deliveries); on time and in full stay null until received."""
+def received_orders(pos: DataFrame, receipts: DataFrame, suppliers: DataFrame, products: DataFrame) -> DataFrame:
+    """Receipts summed per PO (first/last date, deliveries); on time and in full stay null until received. ``receipts`` lists the
+    day and the accepted units of each receipt of the PO, so that the ledger need not join them again.
+
+    Receipts are met first, by po_id, with the columns of the export alone; suppliers and products come after.
+    """
     r = receipts.groupBy("po_id").agg(
         F.min("received_date").alias("first_received"), F.max("received_date").alias("last_received"),
         F.count(F.lit(1)).alias("deliveries"), F.sum("qty_received").alias("qty_received"),
-        F.sum("qty_rejected").alias("qty_rejected"))
-    return (pos.join(suppliers.select("supplier_id", "quoted_lead_days"), "supplier_id")
+        F.sum("qty_rejected").alias("qty_rejected"),
+        F.collect_list(F.struct(F.col("received_date").alias("date"), (F.col("qty_received") - F.col("qty_rejected")).alias("units"))).alias("receipts"))
+    return (pos.join(r, "po_id", "left")
+            .join(suppliers.select("supplier_id", "quoted_lead_days"), "supplier_id")
             .join(products.select("sku", "item_id", "unit_cost"), "sku")
-            .join(r, "po_id", "left")
             .select("po_id", "supplier_id", "dc_id", "sku", "item_id", "order_date", "promised_date", "qty_ordered",
                     "first_received", "last_received", "deliveries", "qty_received", "qty_rejected",
                     "quoted_lead_days",
                     F.datediff("last_received", "order_date").alias("lead_days"),
                     (F.col("last_received") <= F.col("promised_date")).alias("on_time"),
                     (F.col("qty_received") >= F.col("qty_ordered")).alias("in_full"),
-                    (F.col("qty_received") * F.col("unit_cost")).alias("value_received")))
+                    (F.col("qty_received") * F.col("unit_cost")).alias("value_received"), "receipts"))
+
+
+def fact_purchase_orders(pos: DataFrame, receipts: DataFrame, suppliers: DataFrame, products: DataFrame) -> DataFrame:
+    """``received_orders`` without the lists of receipts."""
+    return received_orders(pos, receipts, suppliers, products).drop("receipts")
+
+
+def accepted_daily(receipts: DataFrame, pos: DataFrame, keys: list[str]) -> DataFrame:
+    """Units accepted by ``keys`` of the purchase order and receipt day. Receipts find their order by po_id, unless ``pos`` lists
+    them (``received_orders``): then only the sums move."""
+    if "receipts" in pos.columns:
+        got = pos.select(*keys, F.inline("receipts"))
+    else:
+        got = receipts.join(pos.select("po_id", *keys), "po_id").select(
+            *keys, F.col("received_date").alias("date"), (F.col("qty_received") - F.col("qty_rejected")).alias("units"))
+    return got.groupBy(*keys, "date").agg(F.sum("units").cast("long").alias("accepted"))
 
 
 def series_grid(dcs: DataFrame, items: DataFrame, cal: Calendar, partitions: int | None = None) -> DataFrame:
@@ -138,9 +159,7 @@ def stock_daily(grid: DataFrame, lines: DataFrame, receipts: DataFrame, pos: Dat
     zero = F.lit(0).cast("long")
     demand = (lines.groupBy(*SERIES, F.col("order_date").alias("date"))
               .agg(F.sum("qty_ordered").cast("long").alias("demand"), F.sum("qty_shipped").cast("long").alias("line_shipped")))
-    accepted = (receipts.join(pos.select("po_id", "dc_id", "item_id"), "po_id")
-                .groupBy(*SERIES, F.col("received_date").alias("date"))
-                .agg(F.sum(F.col("qty_received") - F.col("qty_rejected")).cast("long").alias("accepted")))
+    accepted = accepted_daily(receipts, pos, SERIES)
     po_open = open_deltas(pos, SERIES, "order_date", "last_received", "qty_ordered")
 
     def shaped(df, **cols):
@@ -231,6 +250,7 @@ class Build:
         self._exports = exports
         self.materialize = materialize
         self._kept: list[DataFrame] = []
+        self._bucketed: list[DataFrame] = []
 
     def _keep(self, df: DataFrame) -> DataFrame:
         if not self.materialize:
@@ -242,15 +262,24 @@ class Build:
     def _cut(self, df: DataFrame) -> DataFrame:
         return cut_lineage(df) if self.materialize else df
 
-    def _store(self, df: DataFrame) -> DataFrame:
-        """A table that grows with the input, written small."""
-        return cut_lineage(df, "zstd") if self.materialize else df
+    def _store(self, df: DataFrame, by: str | None = None, dealt: bool = False) -> DataFrame:
+        """A table that grows with the input, written small; in buckets of ``by``, if its readers join it by that key."""
+        if not self.materialize:
+            return df
+        if by is None:
+            return cut_lineage(df, "zstd")
+        df = cut_in_buckets(df if dealt else df.repartition(by), by, "zstd")
+        self._bucketed.append(df)
+        return df
 
     def release(self) -> None:
         """Unpersist everything this build kept."""
         for df in self._kept:
             df.unpersist()
+        for df in self._bucketed:
+            forget_buckets(df)
         self._kept.clear()
+        self._bucketed.clear()
 
     @cached_property
     def span(self) -> DataFrame:
@@ -330,14 +359,16 @@ class Build:
     @cached_property
     def fact_orders(self): return self._store(fact_orders(self.fact_order_lines))
     @cached_property
-    def fact_purchase_orders(self):
-        return self._store(fact_purchase_orders(self.stg_purchase_orders, self.stg_goods_receipts, self.stg_suppliers,
-                                                self.stg_products))
+    def received_orders(self):
+        return self._store(received_orders(self.stg_purchase_orders, self.stg_goods_receipts, self.stg_suppliers,
+                                           self.stg_products))
+    @cached_property
+    def fact_purchase_orders(self): return self.received_orders.drop("receipts")
     @cached_property
     def stock_daily(self):
         grid = series_grid(self.dim_dc, self.stg_products.select("item_id").distinct(), self.cal,
                            int(self.spark.conf.get("spark.sql.shuffle.partitions")))
-        return self._cut(stock_daily(grid, self.fact_order_lines, self.stg_goods_receipts, self.fact_purchase_orders,
+        return self._cut(stock_daily(grid, self.fact_order_lines, self.stg_goods_receipts, self.received_orders,
                                      self.dim_item, self.cal))
     @cached_property
     def stg_inventory(self):

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from godown.config import HORIZON_DAYS, Calendar
 from godown.operators.intervals import day_number, open_deltas
 from godown.operators.replay import replay
+from godown.plans.model import accepted_daily
 
 FLOWS = ("demand", "accepted", "open_delta")
 
@@ -29,12 +30,11 @@ def daily_flows(lines: DataFrame, receipts: DataFrame, pos: DataFrame, keys: lis
     """Units ordered, units accepted and the change of open purchase orders, a row a series and day with any of them.
 
     ``lines`` has order_date and qty_ordered, ``pos`` order_date, last_received and qty_ordered by ``keys``; receipts find
-    their series by po_id. A flow outside the calendar is an error, never a dropped row.
+    their series by po_id, or are listed by ``pos``. A flow outside the calendar is an error, never a dropped row.
     """
     zero = F.lit(0).cast("long")
     parts = {"demand": lines.groupBy(*keys, F.col("order_date").alias("date")).agg(F.sum("qty_ordered").cast("long").alias("demand")),
-             "accepted": (receipts.join(pos.select("po_id", *keys), "po_id").groupBy(*keys, F.col("received_date").alias("date"))
-                          .agg(F.sum(F.col("qty_received") - F.col("qty_rejected")).cast("long").alias("accepted"))),
+             "accepted": accepted_daily(receipts, pos, keys),
              "open_delta": open_deltas(pos, keys, "order_date", "last_received", "qty_ordered")}
     out = None
     for name, df in parts.items():

@@ -151,11 +151,12 @@ def goods_receipts(po: DataFrame) -> DataFrame:
                     F.when(F.col("rejects"), F.floor(got / 20)).otherwise(0).cast("int").alias("qty_rejected"))
 
 
-def raw_exports(spark: SparkSession, sf_dir: str, keep=lambda df: df) -> dict[str, DataFrame]:
+def raw_exports(spark: SparkSession, sf_dir: str, keep=lambda df, by=None, dealt=False: df) -> dict[str, DataFrame]:
     """The raw exports (except the stock ledger) built from the driver tables.
 
     ``keep`` is applied to the intermediates two exports share (order headers, lines, products, suppliers, purchase
-    orders), so a build that writes them computes each once."""
+    orders), so a build that writes them computes each once; ``by`` is the key by which all their readers join them, ``dealt``
+    whether the rows already lie by it."""
     t = {name: read(spark, sf_dir, name) for name in DRIVER_TABLES}
     wh = warehouses(t["region"])
     zones = delivery_zones(t["nation"], t["region"])
@@ -163,10 +164,10 @@ def raw_exports(spark: SparkSession, sf_dir: str, keep=lambda df: df) -> dict[st
     prods = products(t["part"], t["supplier"])
     headers = sales_orders_and_shipments(t["orders"], t["customer"])
     # the serving centre of each order comes from its city; the zone table has one row per nation
-    headers = keep(headers.join(F.broadcast(zones.select("zone_id", F.col("serving_dc").alias("dc_id"))), "zone_id"))
-    lines = keep(order_lines(t["lineitem"]))
+    headers = keep(headers.join(F.broadcast(zones.select("zone_id", F.col("serving_dc").alias("dc_id"))), "zone_id"), "order_id")
+    lines = keep(order_lines(t["lineitem"]), "order_id", dealt=True)
     prods, sups = keep(prods), keep(sups)
-    po = keep(purchase_orders_typed(lines, headers, prods, sups.select("supplier_id", "quoted_lead_days")))
+    po = keep(purchase_orders_typed(lines, headers, prods, sups.select("supplier_id", "quoted_lead_days")), "po_id")
     day_first = "dd/MM/yyyy"
     return {
         "warehouses": wh,

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from godown.config import Calendar
-from godown.plans import checks, sparse
+from godown.plans import checks, model, sparse
 from godown.plans.build import Pipeline
 from godown.sources import sinks
 
@@ -36,6 +36,44 @@ def test_tables_of_order_lines_are_not_held_in_memory(own):
         assert not df.storageLevel.useMemory and df.inputFiles(), name
 
 
+def test_tables_dealt_once_meet_without_an_exchange(spark, own):
+    pairs = [(own.stg_purchase_orders, own.stg_goods_receipts, "po_id"), (own.stg_sales_orders, own.stg_shipments, "order_id"),
+             (own.stg_sales_orders, own.stg_order_lines, "order_id")]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for a, b, key in pairs:
+            plan = a.join(b, key)._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan, key
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_released_build_leaves_no_table_in_the_catalog(spark):
+    b = Pipeline(spark, "/root/testdata/sf0.001")
+    before = {t.name for t in spark.catalog.listTables()}
+    assert b.stg_order_lines.count() and {t.name for t in spark.catalog.listTables()} - before
+    b.release()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_listed_receipts_are_those_found_by_key(spark):
+    """Orders listed twice, without a receipt, with an unknown supplier; receipts without an order or quantities, two on a day."""
+    day, late = date(2000, 3, 1), date(2000, 3, 9)
+    pos = spark.createDataFrame([("a", 1, 0, 7, day, day, 10), ("a", 1, 1, 7, day, day, 10), ("b", 1, 0, 7, day, day, 5), ("c", 9, 0, 7, day, day, 3),
+                                 (None, 1, 0, 7, day, day, 2)],
+                                "po_id string, supplier_id long, dc_id long, sku long, order_date date, promised_date date, qty_ordered int")
+    receipts = spark.createDataFrame([("a", day, 4, 1), ("a", day, 3, 0), ("a", late, 2, None), ("a", late, None, 0), ("c", day, 3, 0), ("x", day, 9, 0),
+                                      (None, day, 8, 0)], "po_id string, received_date date, qty_received int, qty_rejected int")
+    sups = spark.createDataFrame([(1, 5)], "supplier_id long, quoted_lead_days int")
+    prods = spark.createDataFrame([(7, "i", 2)], "sku long, item_id string, unit_cost int").withColumn("unit_cost", F.col("unit_cost").cast("decimal(18,2)"))
+    listed = model.received_orders(pos, receipts, sups, prods)
+    fact = model.fact_purchase_orders(pos, receipts, sups, prods)
+    assert fact.columns == [c for c in listed.columns if c != "receipts"] and fact.count() == 4
+    got, want = (sorted(map(tuple, model.accepted_daily(receipts, df, ["dc_id", "item_id"]).collect())) for df in (listed, fact))
+    assert got == want == [(0, "i", day, 6), (0, "i", late, None), (1, "i", day, 6), (1, "i", late, None)]
+
+
 def test_a_run_of_snapshots_with_one_state_is_one_row(spark):
     flows = spark.createDataFrame([(0, 1, date(2002, 5, 8), 70, 0, 70), (0, 1, date(2002, 6, 3), 0, 30, -70), (1, 2, date(2000, 1, 1), 1, 0, 0),
                                    (1, 2, date(2005, 12, 31), 1, 0, 0)], FLOWS)
