@@ -6,7 +6,8 @@
 3. Hub rounds: in each remaining bucket, nodes are compared with a hub. Links merge nodes, and a bucket all of whose
    nodes are merged is done, so a large group of near copies costs its size and not its square.
 4. What is left is compared exhaustively across components: the nodes outside a bucket's largest component
-   with all. No link between components can be missed.
+   with all. No link between components can be missed. Where the hubs linked many, they meet a part of the others first:
+   a node that has many links to a large group finds one there and is not compared with all of it.
 
 Pairs pass the length, positional and (in the exhaustive round) suffix filters in the join, are made distinct, and are
 verified once on the texts. Shingles are 64-bit hashes of the word sequences.
@@ -34,9 +35,9 @@ NUM, DEN = 3, 4
 BLOCK_SHINGLES, LOCAL_COUNT, FREQUENT = 4_000_000, 4, 200_000
 #: Rows of one prefix shingle that one bucket should hold at most; more frequent ones are salted.
 BUCKET_ROWS = 50_000
-#: Hub rounds before the exhaustive one, partners a node takes in each but the first, shingles looked back at, shingles of the
+#: Hub rounds before the exhaustive one, links of the last of them after which it has two steps, share that meets in the first, partners a node takes in each but the first, shingles looked back at, shingles of the
 #: sets that a verifying task holds, bits of a signature (at least; and in the join). None of them changes the result.
-HUB_ROUNDS, PARTNERS, LOOKED_BACK, HELD_SHINGLES, SIGNATURE_BITS = 2, 4, 4, 4_000_000, 256
+HUB_ROUNDS, MANY_LINKS, FIRST_SHARE, PARTNERS, LOOKED_BACK, HELD_SHINGLES, SIGNATURE_BITS = 2, 1_000, 16, 4, 4, 4_000_000, 256
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                          0xA0761D6478BD642F], np.uint64)
 
@@ -343,14 +344,15 @@ def _hub_pairs(live: DataFrame, seed: int) -> DataFrame:
     return rows.select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
 
 
-def _all_pairs(rows: DataFrame, sigs: DataFrame) -> DataFrame:
+def _all_pairs(rows: DataFrame, sigs: DataFrame, share: int = 1) -> DataFrame:
     """Pairs across components of a shingle: the rows outside its largest component with all rows. The suffix filter is by
     signatures: a pair whose signatures differ in more bits than linked sets may differ in shingles is no pair.
 
     A pair is given at the first shingle that its prefixes share, and where it shares none of the LOOKED_BACK shingles
     before it in both; so near copies come up a few times and not once for every shingle. Rows are dealt by id, which
     gives them those shingles and their signature, and by shingle, where the pairs meet; nothing else moves. A salted
-    shingle may have any number of rows: its sums are pre-aggregated, and its rows go through a join that Spark splits.
+    shingle may have any number of rows: its sums are pre-aggregated, and its rows go through a join that Spark splits. With a
+    ``share`` the rows outside meet only one of so many nodes.
     """
     before = Window.partitionBy("id").orderBy("pos").rowsBetween(-LOOKED_BACK, -1)
     rows = rows.withColumn("back", F.collect_list("token").over(before)).join(sigs.select("id", F.col("n").alias("of"), "sig"), "id")
@@ -362,12 +364,12 @@ def _all_pairs(rows: DataFrame, sigs: DataFrame) -> DataFrame:
     salted = rows.filter("salt > 0")
     sizes = salted.groupBy("token", "comp").count().groupBy("token").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("count", "comp"))["comp"].alias("major")).filter("lo < hi")
-    return _meeting(alone).unionByName(_meeting(salted.join(sizes.select("token", "major"), "token")))
+    return _meeting(alone, share).unionByName(_meeting(salted.join(sizes.select("token", "major"), "token"), share))
 
 
-def _meeting(rows: DataFrame) -> DataFrame:
+def _meeting(rows: DataFrame, share: int) -> DataFrame:
     """(a, b) of the rows (token, id, n, pos, comp, major, back, sig) that meet at a shingle and pass the filters."""
-    x, y = rows.filter("comp != major").alias("x"), rows.alias("y")
+    x, y = rows.filter("comp != major").alias("x"), rows.filter(F.pmod(F.xxhash64("id"), F.lit(share)) == 0).alias("y")
     once = (F.col("y.comp") == F.col("y.major")) | (F.col("x.id") < F.col("y.id"))
     differ = sum((F.bit_count(F.col("x.sig")[k].bitwiseXOR(F.col("y.sig")[k])) for k in range(1, SIGNATURE_BITS // 64)),
                  F.bit_count(F.col("x.sig")[0].bitwiseXOR(F.col("y.sig")[0])))
@@ -419,19 +421,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = sets.groupBy("fp").agg(F.min("id").alias("rep"))
     # Several texts under one id: all of its sets are one node, so equal sets are links like any other.
     equal = sets.select("id", "fp").distinct().join(first, "fp").filter("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    component, done = connected_components(equal), None
-    for step in range(HUB_ROUNDS + 1):
+    component, done, links = connected_components(equal), None, 0
+    for step in range(HUB_ROUNDS + 2):
+        if step == HUB_ROUNDS and links < MANY_LINKS:
+            continue
         if step:
             old, rows_left = live, _with_components(live.select("token", "salt", "id", "n", "pos"), component)
             if step < HUB_ROUNDS:
                 live = cut_lineage(_with_hubs(rows_left, step))
                 drop_written(old)
                 free_finished(spark)
-        pairs = _hub_pairs(live, step) if step < HUB_ROUNDS else _all_pairs(rows_left, sigs)
+        pairs = _hub_pairs(live, step) if step < HUB_ROUNDS else _all_pairs(rows_left, sigs, FIRST_SHARE if step == HUB_ROUNDS else 1)
         new = _checked(pairs, texts, sigs, component, done)
         done = new if done is None else done.unionByName(new)
         component = _merged(component, new.filter("linked"))
         free_finished(spark)
+        if step == HUB_ROUNDS - 1:
+            links = new.filter("linked").count()
     texts.unpersist()
     drop_written(live)
     return (facts.filter("kind = 0").join(component.withColumnRenamed("node", "id"), "id", "left")

@@ -159,3 +159,28 @@ def test_tiles_are_exact_at_the_threshold():
         i, j = int8_neardup.tile_links(x, x, t, True)
         a, b = np.nonzero(np.triu(unit @ unit.T >= t, 1))
         assert set(zip(i.tolist(), j.tolist(), strict=True)) == set(zip(a.tolist(), b.tolist(), strict=True))
+
+
+def test_a_part_of_a_large_group_is_met_first(spark, monkeypatch):
+    """Copies of one text around the threshold: the exhaustive round has two steps, and its result is that of one."""
+    monkeypatch.setattr(ngram_jaccard, "MANY_LINKS", 1)
+    rnd, shares, whole = random.Random(8), [], ngram_jaccard._all_pairs
+    monkeypatch.setattr(ngram_jaccard, "_all_pairs", lambda rows, sigs, share=1: shares.append(share) or whole(rows, sigs, share))
+    base, rows = [f"w{k}" for k in range(120)], []
+    for k in range(80):
+        words = list(base)
+        for i in rnd.sample(range(120), rnd.randint(1, 4)):
+            words[i] = f"x{k}.{i}"
+        rows.append((k, " ".join(words)))
+    sets, want = brute_jaccard(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in
+           ngram_jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: (len(s), want[d]) for d, s in sets} and shares == [ngram_jaccard.FIRST_SHARE, 1]
+
+
+def test_a_share_of_a_bucket_is_a_part_of_its_pairs(spark):
+    """One node outside a component of 320, which all share a shingle."""
+    rows = spark.createDataFrame([(1, 0, i, 100, 0, int(i < 320)) for i in range(321)], "token long, salt int, id long, n long, pos int, comp long")
+    sigs = spark.createDataFrame([(i, 100, [0, 0, 0, 0]) for i in range(321)], "id long, n long, sig array<long>")
+    part, every = ({tuple(r) for r in ngram_jaccard._all_pairs(rows, sigs, share).collect()} for share in (16, 1))
+    assert every == {(320, i) for i in range(320)} and part < every and 4 <= len(part) <= 60
