@@ -16,9 +16,11 @@ verified once on the texts. Shingles are 64-bit hashes of the word sequences.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import OrderedDict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -38,6 +40,12 @@ BUCKET_ROWS = 50_000
 #: Hub rounds before the exhaustive one, links of the last of them after which it has two steps, share that meets in the first, partners a node takes in each but the first, shingles looked back at, shingles of the
 #: sets that a verifying task holds, bits of a signature (at least; and in the join). None of them changes the result.
 HUB_ROUNDS, MANY_LINKS, FIRST_SHARE, PARTNERS, LOOKED_BACK, HELD_SHINGLES, SIGNATURE_BITS = 2, 1_000, 16, 4, 4, 4_000_000, 256
+#: Rows of a bucket from which it takes part in the first of two exhaustive steps.
+FIRST_ROWS = 128
+#: Bits of a test of ids at most.
+FILTER_BITS = 1 << 26
+#: Classes of size between a set and the largest that may be linked with it.
+SIZE_STEPS = 4
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                          0xA0761D6478BD642F], np.uint64)
 
@@ -310,9 +318,47 @@ def _checked(pairs: DataFrame, texts: DataFrame, sigs: DataFrame, component: Dat
     return cut_lineage(out.groupBy("a", "b").agg(F.max("linked").alias("linked")))
 
 
+def _maybe_in(ids: DataFrame):
+    """A test whether an id (not null) may be one of ``ids`` (distinct, written): it has a bit for every remainder, so rows are told apart where they
+    lie. It never denies an id that is there; it holds FILTER_BITS at most, beyond which it only lets more through."""
+    spark = ids.sparkSession
+    bits = min(FILTER_BITS, 8 * ids.count() + 64) | 1
+    at = ids.select(F.pmod("id", F.lit(bits).cast("long")).alias("p"))
+    got = at.groupBy(F.shiftright("p", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, CAST(p % 64 AS INT)))").alias("b")).toArrow()
+    words = np.zeros(bits // 64 + 1, np.int64)
+    words[got["w"].to_numpy()] = got["b"].to_numpy()
+    sent = spark.sparkContext.broadcast(words.view(np.uint64))
+
+    def may(x: pd.Series) -> pd.Series:
+        p = np.mod(x.to_numpy(np.int64), bits)
+        return pd.Series((sent.value[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    test = F.pandas_udf(may, "boolean")
+    return lambda column: test(F.coalesce(column, F.lit(0).cast("long")))
+
+
+def _may_meet(rows: DataFrame, comp: str) -> DataFrame:
+    """Rows with a row of another component in their bucket whose size and place leave a link open; and all rows of salted
+    shingles, whose partners may lie in other parts.
+
+    Sizes that may be linked are at most SIZE_STEPS classes apart, so a window over classes tells whether there is one: as many
+    frames a bucket as it has classes, and not one a row. The smaller set of a pair has the shingle in its index prefix.
+    """
+    classes = F.floor(F.log(F.col("n").cast("double")) * (SIZE_STEPS / (math.log(DEN / NUM) + 1e-6))).cast("int")
+    bucket = Window.partitionBy("token", "salt").orderBy("_class")
+    index = F.col("pos") < F.col("n") - F.floor((2 * NUM * F.col("n") + NUM + DEN - 1) / (NUM + DEN)) + 1
+    mine, short = F.col(comp), F.when(F.col("_index"), F.col(comp))
+    smaller, larger = bucket.rangeBetween(-SIZE_STEPS, 0), bucket.rangeBetween(0, SIZE_STEPS)
+    # dealt by bucket before classes are added, which then do not move
+    meets = rows.repartition("token", "salt").withColumns({"_class": classes, "_index": index}).withColumns({
+        "_s0": F.min(short).over(smaller), "_s1": F.max(short).over(smaller), "_l0": F.min(mine).over(larger), "_l1": F.max(mine).over(larger)})
+    return meets.filter((F.col("salt") > 0) | (F.col("_s0") < mine) | (F.col("_s1") > mine) | F.col("_index") & (
+        (F.col("_l0") < mine) | (F.col("_l1") > mine))).drop("_class", "_index", "_s0", "_s1", "_l0", "_l1")
+
+
 def _with_hubs(rows: DataFrame, seed: int, comp: str = "comp") -> DataFrame:
-    """Rows of buckets that hold several components, each with a hub of its bucket; one exchange. ``comp`` is the column of a
-    node's component.
+    """Rows that may meet one of another component in their bucket, each with a hub of its bucket and the bucket's number of such
+    rows; one exchange. ``comp`` is the column of a node's component.
 
     With seed 0 a bucket's hub is its node with the least hash, so the buckets of one group share theirs; with others every
     bucket has a hub of its own, and nodes that the group's hub missed are soon caught by others. A bucket is a shingle, or
@@ -321,8 +367,7 @@ def _with_hubs(rows: DataFrame, seed: int, comp: str = "comp") -> DataFrame:
     own = [F.lit(seed)] if not seed else [F.lit(seed), F.col("token")]
     bucket = Window.partitionBy("token", "salt")
     me = F.struct(F.xxhash64("id", *own).alias("h"), "id", "n", "pos", F.col(comp).alias("comp"))
-    return (rows.withColumn("lo", F.min(comp).over(bucket)).withColumn("hi", F.max(comp).over(bucket))
-            .filter("lo < hi or salt > 0").drop("lo", "hi").withColumn("hub", F.min(me).over(bucket)).withColumn("comp", F.col(comp)))
+    return _may_meet(rows, comp).withColumns({"hub": F.min(me).over(bucket), "bucket": F.count("*").over(bucket)}).withColumn("comp", F.col(comp))
 
 
 def _with_components(rows: DataFrame, component: DataFrame) -> DataFrame:
@@ -413,11 +458,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     free_finished(spark)
     # Dealt by id once and kept there; every round's joins find the texts in place. Lost parts are read again.
     dealt = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = rows.join(live.select("id").distinct(), "id", "left_semi").repartition(dealt, "id").persist(StorageLevel.MEMORY_AND_DISK)
+    # Texts of documents that may meet no other stay where they are.
+    held = cut_lineage(live.select("id").distinct())
+    texts = (rows.filter(F.col("id").isNotNull() & _maybe_in(held)(F.col("id"))).join(held, "id", "left_semi")
+             .repartition(dealt, "id").persist(StorageLevel.MEMORY_AND_DISK))
     free_finished(spark)
 
     sets = facts.filter("kind = 0 and id is not null and n > 0")
-    sigs = cut_lineage(sets.select("id", "n", "sig", "far").distinct())
+    sigs = cut_lineage(sets.select("id", "n", "sig", "far").join(held, "id", "left_semi").distinct())
     first = sets.groupBy("fp").agg(F.min("id").alias("rep"))
     # Several texts under one id: all of its sets are one node, so equal sets are links like any other.
     equal = sets.select("id", "fp").distinct().join(first, "fp").filter("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
@@ -426,12 +474,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if step == HUB_ROUNDS and links < MANY_LINKS:
             continue
         if step:
-            old, rows_left = live, _with_components(live.select("token", "salt", "id", "n", "pos"), component)
+            old, rows_left = live, _with_components(live.select("token", "salt", "id", "n", "pos", "bucket"), component)
             if step < HUB_ROUNDS:
-                live = cut_lineage(_with_hubs(rows_left, step))
+                live = cut_lineage(_with_hubs(rows_left.drop("bucket"), step))
                 drop_written(old)
                 free_finished(spark)
-        pairs = _hub_pairs(live, step) if step < HUB_ROUNDS else _all_pairs(rows_left, sigs, FIRST_SHARE if step == HUB_ROUNDS else 1)
+        if step < HUB_ROUNDS:
+            pairs = _hub_pairs(live, step)
+        elif step == HUB_ROUNDS:  # a small bucket has no large group
+            pairs = _all_pairs(rows_left.filter((F.col("bucket") >= FIRST_ROWS) | (F.col("salt") > 0)), sigs, FIRST_SHARE)
+        else:
+            pairs = _all_pairs(rows_left, sigs)
         new = _checked(pairs, texts, sigs, component, done)
         done = new if done is None else done.unionByName(new)
         component = _merged(component, new.filter("linked"))
@@ -449,12 +502,17 @@ def first_of_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """The rows of ``docs`` that stay: of each component the document with the smallest id, once, and every row with a
     null id. Of several rows under that id the one whose text has the least hash stays.
     """
-    kept = jaccard_components(docs, id_col, text_col).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    whole = docs.select(F.col(id_col).alias("i"), F.xxhash64(F.col(text_col)).alias("h"),
-                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"))  # no name of theirs can clash
-    own = whole.join(kept, F.col("i") == F.col("_kept"), "left_semi")
-    once = own.withColumn("k", F.row_number().over(Window.partitionBy("i").orderBy("h"))).filter("k = 1")
-    return once.select("r.*").unionByName(docs.filter(docs[id_col].isNull()))
+    # Rows move only if their id goes or stands more than once; all others stay where they are.
+    of = cut_lineage(jaccard_components(docs, id_col, text_col).filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(
+        F.count("*").alias("_n"), F.min("component_id").alias("_component")))
+    special = cut_lineage(of.filter("_n > 1 or _id != _component").select(F.col("_id").alias("id"), (F.col("_id") == F.col("_component")).alias("stays")))
+    may = _maybe_in(special)
+    id_ = F.col(id_col).cast("long")
+    whole = docs.filter(id_.isNotNull()).select(id_.alias("i"), F.xxhash64(F.col(text_col)).alias("h"),
+                                                F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"))  # no name of theirs can clash
+    meant = whole.filter(may(F.col("i"))).join(special.withColumnRenamed("id", "_id"), F.col("i") == F.col("_id"), "left").filter("stays is null or stays")
+    once = meant.withColumn("k", F.row_number().over(Window.partitionBy("i").orderBy("h"))).filter("k = 1")
+    return (whole.filter(~may(F.col("i"))).select("r.*").unionByName(once.select("r.*")).unionByName(docs.filter(docs[id_col].isNull())))
 
 
 def op5_ngram_jaccard(spark, sf_dir: str) -> DataFrame:

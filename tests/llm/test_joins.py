@@ -184,3 +184,39 @@ def test_a_share_of_a_bucket_is_a_part_of_its_pairs(spark):
     sigs = spark.createDataFrame([(i, 100, [0, 0, 0, 0]) for i in range(321)], "id long, n long, sig array<long>")
     part, every = ({tuple(r) for r in ngram_jaccard._all_pairs(rows, sigs, share).collect()} for share in (16, 1))
     assert every == {(320, i) for i in range(320)} and part < every and 4 <= len(part) <= 60
+
+
+def test_rows_without_a_possible_partner_are_dropped_and_no_other(spark):
+    """A row stays exactly as long as the filters of a pair could hold for it, up to the width of a class; copies always stay."""
+    rnd = random.Random(11)
+    rows = [(t, 0, i, n, rnd.randrange(ngram_jaccard.probe_prefix(n)), i) for t in range(60) for i in range(t % 9 + 1)
+            for n in [int(10 ** rnd.uniform(0, 4)) + 1]]
+    rows += [(99, 0, 100, 30, 0, 100), (99, 0, 101, 30, 0, 101), (98, 0, 102, 30, 0, 102), (98, 0, 103, 300, 0, 103), (97, 2, 104, 5, 0, 104)]
+    df = spark.createDataFrame(rows, "token long, salt int, id long, n long, pos int, comp long")
+    got = {tuple(r) for r in ngram_jaccard._may_meet(df, "comp").collect()}
+    x, y = df.alias("x"), df.alias("y")
+    col = ngram_jaccard.F.col
+    pairs = x.join(y, (col("x.token") == col("y.token")) & (col("x.comp") != col("y.comp")) & ngram_jaccard._pair_filters(
+        col("x.n"), col("x.pos"), col("y.n"), col("y.pos"))).select("x.*").distinct()
+    assert {tuple(r) for r in pairs.collect()} <= got < set(rows)
+    assert {r[2] for r in got if r[0] >= 97} == {100, 101, 104}
+
+
+def test_ids_that_are_there_pass_the_test_of_ids(spark, monkeypatch):
+    ids = [0, 5, -7, 2**62, -2**63, 64, 128]
+    for bits in (1 << 26, 8):
+        monkeypatch.setattr(ngram_jaccard, "FILTER_BITS", bits)
+        may = ngram_jaccard._maybe_in(spark.createDataFrame([(i,) for i in ids], "id long"))
+        assert spark.createDataFrame([(i,) for i in [*ids, None]], "id long").filter(may(ngram_jaccard.F.col("id"))).count() >= len(ids)
+    monkeypatch.setattr(ngram_jaccard, "FILTER_BITS", 1 << 26)
+    may = ngram_jaccard._maybe_in(spark.createDataFrame([(i,) for i in ids], "id long"))
+    assert spark.range(200).filter(may(ngram_jaccard.F.col("id"))).count() < 60
+
+
+def test_first_of_components_keeps_one_row_an_id_and_every_row_without(spark):
+    long = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, long, "a"), (2, long, "b"), (3, "x " + long, "c"), (4, "other words than those that stand above", "d"), (4, "second text of one id", "e"),
+            (5, None, "f"), (None, long, "g"), (None, "n", "h"), (6, "", "i"), (6, "", "j")]
+    got = ngram_jaccard.first_of_components(spark.createDataFrame(rows, "doc_id int, text string, r string"))
+    assert got.schema.simpleString() == "struct<doc_id:int,text:string,r:string>"
+    assert sorted(str(r.doc_id) for r in got.collect()) == ["1", "4", "5", "6", "None", "None"]
