@@ -41,18 +41,22 @@ def _small_star(links: DataFrame) -> DataFrame:
     return to_least.unionByName(near.select("u", F.col("m").alias("v"))).filter("u != v").distinct()
 
 
+def _only_stars(links: DataFrame) -> bool:
+    """Whether every node has one link down, to a node that has none itself: then the least node of each component is known. One
+    statement; links that are stars from the first need no step."""
+    tops = links.select(F.col("u").alias("v")).distinct()
+    many = links.groupBy("u").count().filter("count > 1").select("u")
+    return not many.unionByName(links.join(tops, "v", "left_semi").select("u")).limit(1).count()
+
+
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of every node that has a link; a component is named by its least node.
 
     Links with a null end or from a node to itself say nothing; repeated links count once.
     """
-    now = cut_lineage(links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u != v").distinct())
-    while True:
+    now = cut_lineage(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u != v").distinct())
+    while not _only_stars(now):
         now = cut_lineage(_small_star(_large_star(now)))
-        # Done when only stars are left: every node has one link, to a node that has none itself.
-        many = now.groupBy("u").count().filter("count > 1").limit(1).count()
-        if not many and not now.join(now.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1).count():
-            break
     ends = now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return cut_lineage(ends.unionByName(roots))

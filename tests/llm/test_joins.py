@@ -34,6 +34,17 @@ def test_components(spark):
     assert components.connected_components(df.filter("false")).collect() == []
 
 
+def test_links_that_are_stars_need_no_step(spark, monkeypatch):
+    steps = []
+    monkeypatch.setattr(components, "_small_star", lambda links, step=components._small_star: steps.append(1) or step(links))
+    links = [(1, 2), (3, 1), (1, 2), (2, 1), (7, 9), (5, 5), (None, 4)]
+    got = components.connected_components(spark.createDataFrame(links, "a long, b long"))
+    assert {tuple(r) for r in got.collect()} == {(1, 1), (2, 1), (3, 1), (7, 7), (9, 7)} and not steps
+    assert components.connected_components(spark.createDataFrame([], "a long, b long")).collect() == [] and not steps
+    chain = components.connected_components(spark.createDataFrame([(9, 4), (4, 2), (9, 3)], "a long, b long"))
+    assert {tuple(r) for r in chain.collect()} == {(2, 2), (3, 2), (4, 2), (9, 2)} and steps
+
+
 def shingles(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     n = max(1, len(words) - 4)
