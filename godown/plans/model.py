@@ -21,7 +21,7 @@ from godown.operators.abc import abc_classes
 from godown.operators.intervals import open_deltas
 from godown.operators.replay import replay
 from godown.sources import driver_tables
-from godown.session import cut_in_buckets, cut_lineage, forget_buckets
+from godown.session import cut_in_buckets, cut_lineage, forget_buckets, forget_shuffles
 from godown.sources.exports import stage
 
 SERIES = ["dc_id", "item_id"]
@@ -121,15 +121,18 @@ def fact_purchase_orders(pos: DataFrame, receipts: DataFrame, suppliers: DataFra
     return received_orders(pos, receipts, suppliers, products).drop("receipts")
 
 
-def accepted_daily(receipts: DataFrame, pos: DataFrame, keys: list[str]) -> DataFrame:
-    """Units accepted by ``keys`` of the purchase order and receipt day. Receipts find their order by po_id, unless ``pos`` lists
-    them (``received_orders``): then only the sums move."""
+def accepted_units(receipts: DataFrame, pos: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` of the purchase order, day and accepted units of each receipt. Receipts find their order by po_id, unless ``pos`` lists
+    them (``received_orders``)."""
     if "receipts" in pos.columns:
-        got = pos.select(*keys, F.inline("receipts"))
-    else:
-        got = receipts.join(pos.select("po_id", *keys), "po_id").select(
-            *keys, F.col("received_date").alias("date"), (F.col("qty_received") - F.col("qty_rejected")).alias("units"))
-    return got.groupBy(*keys, "date").agg(F.sum("units").cast("long").alias("accepted"))
+        return pos.select(*keys, F.inline("receipts"))
+    return receipts.join(pos.select("po_id", *keys), "po_id").select(
+        *keys, F.col("received_date").alias("date"), (F.col("qty_received") - F.col("qty_rejected")).alias("units"))
+
+
+def accepted_daily(receipts: DataFrame, pos: DataFrame, keys: list[str]) -> DataFrame:
+    """``accepted_units`` summed by ``keys`` and day: of listed receipts only the sums move."""
+    return accepted_units(receipts, pos, keys).groupBy(*keys, "date").agg(F.sum("units").cast("long").alias("accepted"))
 
 
 def series_grid(dcs: DataFrame, items: DataFrame, cal: Calendar, partitions: int | None = None) -> DataFrame:
@@ -260,16 +263,22 @@ class Build:
         return df
 
     def _cut(self, df: DataFrame) -> DataFrame:
-        return cut_lineage(df) if self.materialize else df
+        if not self.materialize:
+            return df
+        df = cut_lineage(df)
+        forget_shuffles(self.spark)
+        return df
 
     def _store(self, df: DataFrame, by: str | None = None, dealt: bool = False) -> DataFrame:
         """A table that grows with the input, written small; in buckets of ``by``, if its readers join it by that key."""
         if not self.materialize:
             return df
         if by is None:
-            return cut_lineage(df, "zstd")
-        df = cut_in_buckets(df if dealt else df.repartition(by), by, "zstd")
-        self._bucketed.append(df)
+            df = cut_lineage(df, "zstd")
+        else:
+            df = cut_in_buckets(df if dealt else df.repartition(by), by, "zstd")
+            self._bucketed.append(df)
+        forget_shuffles(self.spark)
         return df
 
     def release(self) -> None:

@@ -19,9 +19,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from godown.config import HORIZON_DAYS, Calendar
-from godown.operators.intervals import day_number, open_deltas
+from godown.operators.intervals import day_number, open_events
 from godown.operators.replay import replay
-from godown.plans.model import accepted_daily
+from godown.plans.model import accepted_units
 
 FLOWS = ("demand", "accepted", "open_delta")
 
@@ -30,28 +30,35 @@ def daily_flows(lines: DataFrame, receipts: DataFrame, pos: DataFrame, keys: lis
     """Units ordered, units accepted and the change of open purchase orders, a row a series and day with any of them.
 
     ``lines`` has order_date and qty_ordered, ``pos`` order_date, last_received and qty_ordered by ``keys``; receipts find
-    their series by po_id, or are listed by ``pos``. A flow outside the calendar is an error, never a dropped row.
+    their series by po_id, or are listed by ``pos``. A flow outside the calendar is an error, never a dropped row. All kinds of
+    flow are summed together, so they move once.
     """
     zero = F.lit(0).cast("long")
-    parts = {"demand": lines.groupBy(*keys, F.col("order_date").alias("date")).agg(F.sum("qty_ordered").cast("long").alias("demand")),
-             "accepted": accepted_daily(receipts, pos, keys),
-             "open_delta": open_deltas(pos, keys, "order_date", "last_received", "qty_ordered")}
+    parts = {"demand": lines.select(*keys, F.col("order_date").alias("date"), F.col("qty_ordered").alias("demand")),
+             "accepted": accepted_units(receipts, pos, keys).withColumnRenamed("units", "accepted"),
+             "open_delta": open_events(pos, keys, "order_date", "last_received", "qty_ordered")}
     out = None
     for name, df in parts.items():
-        df = df.select(*keys, "date", *[F.col(c) if c == name else zero.alias(c) for c in FLOWS])
+        df = df.select(*keys, "date", *[F.col(c).cast("long") if c == name else zero.alias(c) for c in FLOWS])
         out = df if out is None else out.unionByName(df)
     inside = F.when(F.col("date").between(F.lit(cal.start), F.lit(cal.end)), F.col("date")).otherwise(
         F.raise_error(F.concat(F.lit("a flow lies outside the calendar: "), F.col("date").cast("string"))))
     return out.groupBy(*keys, inside.alias("date")).agg(*[F.sum(c).alias(c) for c in FLOWS])
 
 
+def _dealt(flows: DataFrame, keys: list[str]) -> DataFrame:
+    """The flows dealt by series."""
+    return flows.repartition(int(flows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def stock_runs(flows: DataFrame, keys: list[str], cal: Calendar) -> DataFrame:
     """A row a run: keys, valid_from, valid_to, on_hand, shipped (units on its first day) and open_po_units; a series' runs
-    cover the calendar without a gap."""
-    zero = F.lit(0).cast("long")
-    opening = flows.select(*keys).distinct().select(*keys, F.lit(cal.start).alias("date"), *[zero.alias(c) for c in FLOWS])
-    rows = flows.unionByName(opening).groupBy(*keys, "date").agg(*[F.sum(c).alias(c) for c in FLOWS])
+    cover the calendar without a gap. Flows are dealt by series once; a series' opening row is made next to its first."""
     w = Window.partitionBy(*keys).orderBy("date")
+    late = _dealt(flows, keys).withColumn("_late", F.lag("date").over(w).isNull() & (F.col("date") > F.lit(cal.start)))
+    both = late.select("*", F.explode(F.when(F.col("_late"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))).alias("_opens"))
+    rows = both.select(*keys, F.when(F.col("_opens"), F.lit(cal.start)).otherwise(F.col("date")).alias("date"),
+                       *[F.when(F.col("_opens"), F.lit(0).cast("long")).otherwise(F.col(c)).alias(c) for c in FLOWS])
     led = replay(rows, keys, "date", "accepted", "demand", cal.opening_stock)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return led.select(*keys, F.col("date").alias("valid_from"), F.coalesce(F.date_sub(F.lead("date").over(w), 1), F.lit(cal.end)).alias("valid_to"),
@@ -69,8 +76,6 @@ def state_runs(flows: DataFrame, keys: list[str], days: Column, cal: Calendar, h
     starts a run, as do the days until the sums have 28 days behind them.
     """
     spark = flows.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    zero = F.lit(0).cast("long")
     listed = sorted({d for d in spark.range(1).select(days.alias("d")).first()["d"] if cal.start <= d <= cal.end})  # days of the calendar
     grown = cal.start + timedelta(27)
     always = [i for i, d in enumerate(listed) if i == 0 or d <= grown or listed[i - 1] < grown or d == cal.end]
@@ -82,18 +87,19 @@ def state_runs(flows: DataFrame, keys: list[str], days: Column, cal: Calendar, h
         """The place among the asked days of the first from ``day`` on (null beyond the calendar)."""
         return F.get(nexts, F.greatest(F.datediff(day, F.lit(cal.start)), F.lit(0)))
 
-    # Dealt by series once; the asked days are made where the series already are.
-    dealt = flows.repartition(n, *keys)
+    # Dealt by series once; a flow makes its asked days where it lies, the first of a series also those asked of all.
+    w = Window.partitionBy(*keys).orderBy(day_number(F.col("date")))
+    dealt = _dealt(flows, keys).withColumn("_first", F.lag("date").over(w).isNull())
     leaves = [F.when(F.col("demand") != 0, place(F.date_add("date", k))) for k in (1, 7, 28)]
     turns = F.array_distinct(F.array(place(F.date_sub("date", horizon)), place(F.date_sub("date", 1)), place(F.col("date")), *leaves))
-    places = (dealt.select(*keys, F.explode(turns).alias("_at"))
-              .unionByName(dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(*keys, F.explode(fixed).alias("_at"))))
-    asked = places.select(*keys, F.get(all_days, F.col("_at")).alias("date"), *[zero.alias(c) for c in FLOWS],
-                          F.lit(1).alias("asked")).filter(F.col("date").isNotNull())
-    rows = (dealt.select(*keys, "date", *FLOWS, F.lit(0).alias("asked")).unionByName(asked)
+    own = F.col("_at") == -1
+    places = dealt.select("*", F.explode(F.concat(F.array(F.lit(-1)), turns, F.when(F.col("_first"), fixed).otherwise(
+        F.array().cast("array<int>")))).alias("_at"))
+    rows = (places.select(*keys, F.when(own, F.col("date")).otherwise(F.get(all_days, F.col("_at"))).alias("date"),
+                          *[F.when(own, F.col(c)).otherwise(F.lit(0).cast("long")).alias(c) for c in FLOWS],
+                          F.when(own, 0).otherwise(1).alias("asked")).filter(F.col("date").isNotNull())
             .groupBy(*keys, "date").agg(*[F.sum(c).alias(c) for c in FLOWS], F.max("asked").alias("asked")))
     led = replay(rows, keys, "date", "accepted", "demand", cal.opening_stock)
-    w = Window.partitionBy(*keys).orderBy(day_number(F.col("date")))
     month, week, ahead = w.rangeBetween(-27, 0), w.rangeBetween(-6, 0), w.rangeBetween(1, horizon)
     d, empty = F.col("demand"), F.col("on_hand") <= 0
     age = F.datediff("date", F.lit(cal.start)) + 1

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import shutil
 import tempfile
@@ -90,6 +91,13 @@ def forget_buckets(df: DataFrame) -> None:
         _BUCKETED.discard(name)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove, in the background, the shuffle files of plans that nothing refers to any more. It does so when the driver
+    collects its garbage, which a driver that holds little may not do before the disks are full."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_written(df: DataFrame) -> None:
     """Remove a table that ``cut_lineage`` wrote, once nothing that is still to run reads it."""
     spark = df.sparkSession
