@@ -2,26 +2,31 @@
 
 Equal vectors become one with a weight. Distinct ones are dealt to cells around pivots; a vector also visits each other
 cell that can hold a neighbour within the angle (triangle inequality, so none is missed). Cells are cut into blocks,
-and a tile is the product of two blocks' int8 matrices. With x = s*q + e, |cos(x, y) - s*s'*q.q'| is at most
+and a tile is the product of two blocks' int8 matrices. Blocks are written once; a task reads a few for each side and pairs
+them, so no tile goes through a shuffle. With x = s*q + e, |cos(x, y) - s*s'*q.q'| is at most
 |s*q| |e'| + |e| |s'*q'| + |e| |e'|. Pairs that this bound proves above or below the threshold are settled; the others
 are computed again in double precision. A tile returns link counts and a spanning forest, never its pairs.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from godown.llm.components import connected_components
-from godown.session import cut_lineage
+from godown.llm.components import connected_components, free_finished
+from godown.session import cut_lineage, drop_written
 
 THRESHOLD = 0.95
 #: Vectors of a block: a tile is the product of two.
 BLOCK = 2048
 #: Pivots are fitted on a sample of at most so many vectors, and as many of these numbers of pivots are tried.
 SAMPLE, PIVOTS = 4096, (1, 8, 32)
+#: Cells are paired in at most so many groups, and a file of blocks has at most so many bytes.
+GROUPS, FILE_BYTES = 32, 1 << 24
 SLACK = 1e-5  # of single-precision products, far above their rounding error
 MARGIN = 1e-9  # of angles
 
@@ -122,14 +127,24 @@ def _clean(kind: str):
     """(vec_id, dim, raw): the vector as bytes, null if it links with nothing."""
     def run(batches):
         for b in batches:
-            raw, dims = [], []
-            for v in b.column(1).to_pylist():
-                x = np.array(v, kind) if v and None not in v else None
-                ok = x is not None and bool(np.isfinite(x).all()) and bool(x.any())
-                if ok and kind == "<f8" and not 1e-100 < (most := np.abs(x).max()) < 1e100:
-                    x = np.ldexp(x, -int(np.frexp(most)[1]))  # the squares of very large or small components have no double
-                raw.append((x + np.array(0, kind)).tobytes() if ok else None)  # -0 becomes 0
-                dims.append(len(x) if ok else 0)
+            v = b.column(1)
+            lengths = v.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            flat = v.flatten().to_numpy(zero_copy_only=False).astype(kind)  # null components become NaN
+            starts = np.cumsum(lengths) - lengths
+            raw, dims = [None] * len(v), np.zeros(len(v), np.int32)
+            for d in np.unique(lengths[lengths > 0]):
+                at = np.flatnonzero(lengths == d)
+                x = flat[starts[at][:, None] + np.arange(d)]
+                ok = np.isfinite(x).all(axis=1) & x.any(axis=1)
+                at, x = at[ok], x[ok]
+                if kind == "<f8" and len(x):
+                    most = np.abs(x).max(axis=1)
+                    far = (most <= 1e-100) | (most >= 1e100)  # the squares of very large or small components have no double
+                    x[far] = np.ldexp(x[far], -np.frexp(most[far])[1][:, None])
+                x = x + np.array(0, kind)  # -0 becomes 0
+                dims[at] = d
+                for k, row in zip(at.tolist(), x, strict=True):
+                    raw[k] = row.tobytes()
             yield pa.record_batch([b.column(0), pa.array(dims, pa.int32()), pa.array(raw, pa.binary())],
                                   names=["vec_id", "dim", "raw"])
     return run
@@ -200,6 +215,24 @@ def _tiles(kind: str, threshold: float):
     return run
 
 
+def _same_vector() -> Column:
+    """128 bits of a vector: equal for equal vectors, and in place of them where rows look for their own."""
+    return F.substring(F.unhex(F.sha2("raw", 256)), 1, 16)
+
+
+def _pairs(blocks: DataFrame, groups: list[int]) -> DataFrame | None:
+    """Every two blocks of a cell that may hold links, the first of them of rows that are at home there. A task takes a few blocks
+    of either side from the written table: what is paired is read, never moved."""
+    out, names = None, ["home", "no", "reps", "weights", "vectors"]
+    for g in groups:
+        of = blocks.filter(F.col("grp") == g)
+        x = of.filter("home").select("dim", "cell", *[F.col(n).alias(f"{n}x") for n in names])
+        y = of.select("dim", "cell", *[F.col(n).alias(f"{n}y") for n in names])
+        two = x.join(y.hint("shuffle_replicate_nl"), ["dim", "cell"]).filter("not homey or nox <= noy")
+        out = two if out is None else out.unionByName(two)
+    return out
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD,
                     block: int = BLOCK) -> DataFrame:
     """vec_id, n_links (other rows with a cosine of ``threshold`` or more), component_id (smallest id reachable by
@@ -215,9 +248,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     kind, angle = ("<f4" if single else "<f8"), float(np.arccos(threshold))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"),
                           F.col(vector_col).cast("array<float>" if single else "array<double>").alias("v"))
-    rows = cut_lineage(rows.mapInArrow(_clean(kind), "vec_id long, dim int, raw binary"))
-    usable = rows.filter("raw is not null and vec_id is not null")
-    distinct = cut_lineage(usable.groupBy("dim", "raw").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m")))
+    clean = rows.mapInArrow(_clean(kind), "vec_id long, dim int, raw binary")
+    rows = cut_lineage(clean.select("vec_id", "dim", _same_vector().alias("key")))
+    distinct = cut_lineage(clean.filter("raw is not null and vec_id is not null").groupBy("dim", "raw")
+                           .agg(F.min("vec_id").alias("rep"), F.count("*").alias("m")).withColumn("key", _same_vector()))
+    free_finished(spark)
 
     pivots = {}
     for d in [r["dim"] for r in distinct.select("dim").distinct().collect()]:
@@ -227,24 +262,36 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     schema = "dim int, cell int, home boolean, angle double, rep long, m long, raw binary"
     cells = distinct.mapInArrow(_deal(pivots, kind, angle, None), schema).groupBy("dim", "cell").agg(F.max("angle").alias("r"))
     radius = {(r["dim"], r["cell"]): r["r"] for r in cells.collect()}  # a row a pivot
-    dealt = cut_lineage(distinct.mapInArrow(_deal(pivots, kind, angle, radius), schema).drop("angle"))
-    sizes = dealt.groupBy("dim", "cell", "home").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    numbered = dealt.join(sizes, ["dim", "cell", "home"]).withColumn("no", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-    blocks = cut_lineage(numbered.groupBy("dim", "cell", "home", "no").applyInArrow(
-        _pack, "dim int, cell int, home boolean, no int, reps binary, weights binary, vectors binary"))
-    names = ["home", "no", "reps", "weights", "vectors"]
-    x = blocks.filter("home").select("dim", "cell", *[F.col(n).alias(f"{n}x") for n in names])
-    y = blocks.select("dim", "cell", *[F.col(n).alias(f"{n}y") for n in names])
-    tiles = x.join(y, ["dim", "cell"]).filter("not homey or nox <= noy").repartition("dim", "cell", "nox", "homey", "noy")
-    found = cut_lineage(tiles.mapInArrow(_tiles(kind, threshold), "a long, b long, n long"))
+    dealt = distinct.select("dim", "rep", "m", "raw").mapInArrow(_deal(pivots, kind, angle, radius), schema).drop("angle")
+    sizes = {(r["dim"], r["cell"], r["home"]): -(-r["n"] // block)  # at most two rows a pivot
+             for r in dealt.groupBy("dim", "cell", "home").agg(F.count("*").alias("n")).collect()}
+    found = spark.createDataFrame([], "a long, b long, n long")
+    if sizes:
+        cell_blocks: dict[tuple[int, int], int] = {}
+        for (d, c, _), n in sizes.items():
+            cell_blocks[d, c] = cell_blocks.get((d, c), 0) + n
+        group = {k: i % GROUPS for i, k in enumerate(sorted(cell_blocks, key=lambda k: (-cell_blocks[k] * k[0], k)))}
+        plan = spark.createDataFrame([(*k, n, group[k[:2]]) for k, n in sizes.items()], "dim int, cell int, home boolean, blocks int, grp int")
+        numbered = dealt.join(F.broadcast(plan), ["dim", "cell", "home"]).withColumn("no", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+        packed = numbered.groupBy("dim", "cell", "home", "no").applyInArrow(
+            _pack, "dim int, cell int, home boolean, no int, reps binary, weights binary, vectors binary")
+        # Few enough blocks a file that a task holds a side of its pairs, and enough files that the tasks are many.
+        wide = max(d for d, _ in cell_blocks) * int(kind[-1]) * block
+        files = max(8, 2 * math.isqrt(spark.sparkContext.defaultParallelism))
+        a_file = max(1, min(FILE_BYTES // wide, -(-sum(sizes.values()) // files)))
+        blocks = cut_lineage(packed.join(F.broadcast(plan.select("dim", "cell", "grp").distinct()), ["dim", "cell"]), folders="grp", rows_a_file=a_file)
+        free_finished(spark)
+        tiles = _pairs(blocks, sorted(set(group.values())))
+        found = cut_lineage(tiles.mapInArrow(_tiles(kind, threshold), "a long, b long, n long"))
+        drop_written(blocks)
 
     counts = found.filter("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     component = connected_components(found.filter("b is not null")).withColumnRenamed("node", "rep")
     known = (distinct.join(counts, "rep", "left").join(component, "rep", "left")
-             .select("dim", "raw", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"),
+             .select("dim", "key", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"),
                      F.coalesce("component", "rep").alias("component_id")))
     alone = F.col("vec_id").isNull()
-    return (rows.join(known, ["dim", "raw"], "left")
+    return (rows.join(known, ["dim", "key"], "left")
             .select("vec_id", F.when(alone, F.lit(0)).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"),
                     F.when(~alone, F.coalesce("component_id", "vec_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))

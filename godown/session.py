@@ -55,16 +55,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
+def cut_lineage(df: DataFrame, compression: str | None = None, folders: str | None = None, rows_a_file: int = 0) -> DataFrame:
     """Write ``df`` once as a parquet table under the shared checkpoint folder and read it back.
 
     Survives executor loss (the table is on shared storage, unlike a local checkpoint), computes
     the plan once (``Dataset.checkpoint`` on an unpersisted frame runs it twice), and later reads
-    get parquet column pruning and filter pushdown.
+    get parquet column pruning and filter pushdown. ``folders`` names a column whose values get a folder each; ``rows_a_file``
+    bounds the rows of a file (0: no bound).
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/godown-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path, compression=compression)
+    df.write.mode("error").option("maxRecordsPerFile", rows_a_file).parquet(path, partitionBy=folders, compression=compression)
     return spark.read.parquet(path)
 
 
@@ -102,7 +103,7 @@ def drop_written(df: DataFrame) -> None:
     """Remove a table that ``cut_lineage`` wrote, once nothing that is still to run reads it."""
     spark = df.sparkSession
     own = checkpoint_dir(spark).rstrip("/")
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+    for folder in {re.sub(r"(/godown-[0-9a-f]{32})/[^/]+=[^/]*$", r"\1", f.rpartition("/")[0]) for f in df.inputFiles()}:
         if re.search(r"/godown-[0-9a-f]{32}$", folder) and folder.split(":", 1)[-1].lstrip("/").startswith(own.split(":", 1)[-1].lstrip("/")):
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
