@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from godown.config import HORIZON_DAYS, Calendar
-from godown.operators.intervals import day_number, open_events
+from godown.operators.intervals import open_events
 from godown.operators.replay import replay
 from godown.plans.model import accepted_units
 
@@ -80,42 +80,45 @@ def state_runs(flows: DataFrame, keys: list[str], days: Column, cal: Calendar, h
     grown = cal.start + timedelta(27)
     always = [i for i, d in enumerate(listed) if i == 0 or d <= grown or listed[i - 1] < grown or d == cal.end]
     following = [bisect_left(listed, cal.start + timedelta(i)) for i in range((cal.end - cal.start).days + 1)]
-    of_calendar = spark.createDataFrame([(listed, following, always)], "listed array<date>, following array<int>, always array<int>")
-    all_days, nexts, fixed = (of_calendar.select(c).scalar() for c in of_calendar.columns)
+    of_calendar = spark.createDataFrame([(listed, [(d - cal.start).days for d in listed], following, always)],
+                                        "listed array<date>, numbers array<int>, following array<int>, always array<int>")
+    all_days, asked_days, nexts, fixed = (of_calendar.select(c).scalar() for c in of_calendar.columns)
 
     def place(day: Column) -> Column:
-        """The place among the asked days of the first from ``day`` on (null beyond the calendar)."""
-        return F.get(nexts, F.greatest(F.datediff(day, F.lit(cal.start)), F.lit(0)))
-
-    # Dealt by series once; a flow makes its asked days where it lies, the first of a series also those asked of all.
-    w = Window.partitionBy(*keys).orderBy(day_number(F.col("date")))
-    dealt = _dealt(flows, keys).withColumn("_first", F.lag("date").over(w).isNull())
-    leaves = [F.when(F.col("demand") != 0, place(F.date_add("date", k))) for k in (1, 7, 28)]
-    turns = F.array_distinct(F.array(place(F.date_sub("date", horizon)), place(F.date_sub("date", 1)), place(F.col("date")), *leaves))
+        """The place among the asked days of the first from the ``day`` of the calendar on (null beyond it)."""
+        return F.get(nexts, F.greatest(day, F.lit(0)))
+
+    # Days are numbers from the calendar's start on, by which all windows are ordered: rows are sorted once. Dealt by series once; a
+    # flow makes its asked days where it lies, the first of a series also those asked of all.
+    day, last = F.col("_day"), (cal.end - cal.start).days
+    w = Window.partitionBy(*keys).orderBy("_day")
+    dealt = _dealt(flows, keys).select(*keys, F.datediff("date", F.lit(cal.start)).alias("_day"), *FLOWS).withColumn("_first", F.lag("_day").over(w).isNull())
+    leaves = [F.when(F.col("demand") != 0, place(day + k)) for k in (1, 7, 28)]
+    turns = F.array_distinct(F.array(F.lit(-1), place(day - horizon), place(day - 1), place(day), *leaves))
     own = F.col("_at") == -1
-    places = dealt.select("*", F.explode(F.concat(F.array(F.lit(-1)), turns, F.when(F.col("_first"), fixed).otherwise(
-        F.array().cast("array<int>")))).alias("_at"))
-    rows = (places.select(*keys, F.when(own, F.col("date")).otherwise(F.get(all_days, F.col("_at"))).alias("date"),
+    places = dealt.select("*", F.explode(F.when(F.col("_first"), F.concat(turns, fixed)).otherwise(turns)).alias("_at"))
+    rows = (places.select(*keys, F.when(own, day).otherwise(F.get(asked_days, F.col("_at"))).alias("_day"),
                           *[F.when(own, F.col(c)).otherwise(F.lit(0).cast("long")).alias(c) for c in FLOWS],
-                          F.when(own, 0).otherwise(1).alias("asked")).filter(F.col("date").isNotNull())
-            .groupBy(*keys, "date").agg(*[F.sum(c).alias(c) for c in FLOWS], F.max("asked").alias("asked")))
-    led = replay(rows, keys, "date", "accepted", "demand", cal.opening_stock)
+                          F.when(own, 0).otherwise(1).alias("asked")).filter(day.isNotNull())
+            .groupBy(*keys, "_day").agg(*[F.sum(c).alias(c) for c in FLOWS], F.max("asked").alias("asked")))
+    led = replay(rows, keys, "_day", "accepted", "demand", cal.opening_stock)
     month, week, ahead = w.rangeBetween(-27, 0), w.rangeBetween(-6, 0), w.rangeBetween(1, horizon)
     d, empty = F.col("demand"), F.col("on_hand") <= 0
-    age = F.datediff("date", F.lit(cal.start)) + 1
+    age = day + 1
     led = led.select("*", F.sum(d).over(month).alias("_s28"), F.sum(d * d).over(month).alias("_q28"), F.sum(d).over(week).alias("_s7"),
                      F.sum("open_delta").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("open_po_units"),
-                     F.coalesce(F.bool_or(empty).over(ahead), F.lit(False)).alias("_ahead"), F.lead("date").over(w).alias("_next"),
+                     F.coalesce(F.bool_or(empty).over(ahead), F.lit(False)).alias("_ahead"), F.lead("_day").over(w).alias("_next"),
                      F.least(age, F.lit(28)).alias("_n28"), F.least(age, F.lit(7)).alias("_n7"))
-    lasts = empty & (F.col("_next").isNull() | (F.datediff("_next", "date") > 1))  # the run goes on tomorrow
+    lasts = empty & (F.col("_next").isNull() | (F.col("_next") - day > 1))  # the run goes on tomorrow
     var = (F.col("_n28") * F.col("_q28") - F.col("_s28") * F.col("_s28")).cast("double")
-    led = led.withColumn("_ends", lasts).filter("asked = 1").withColumn("_at", place(F.col("date")))
-    until = F.coalesce(F.lead("_at").over(Window.partitionBy(*keys).orderBy(day_number(F.col("date")))), F.lit(len(listed)))
-    return led.withColumn("held", F.slice(all_days, F.col("_at") + 1, until - F.col("_at"))).select(
-        *keys, "held", "demand", "on_hand", "open_po_units", F.expr("CAST((_s28 * 8) div 28 AS INT)").alias("reorder_point"),
+    led = led.withColumn("_ends", lasts).filter("asked = 1").withColumn("place", place(day))
+    led = led.withColumn("until", F.coalesce(F.lead("place").over(w), F.lit(len(listed))))
+    return led.select(
+        *keys, F.slice(all_days, F.col("place") + 1, F.col("until") - F.col("place")).alias("held"), "demand", "on_hand", "open_po_units",
+        F.expr("CAST((_s28 * 8) div 28 AS INT)").alias("reorder_point"),
         (F.col("_s28") / F.col("_n28")).alias("demand_28d"), (F.col("_s7") / F.col("_n7")).alias("demand_7d"),
         (F.sqrt(F.greatest(var, F.lit(0.0))) / F.col("_n28")).alias("demand_sd_28d"),
-        F.when(F.col("date") < F.lit(cal.end), F.col("_ahead") | F.col("_ends")).alias("out_next_14d"))
+        F.when(day < last, F.col("_ahead") | F.col("_ends")).alias("out_next_14d"))
 
 
 def states_on(flows: DataFrame, keys: list[str], days: Column, cal: Calendar, horizon: int = HORIZON_DAYS) -> DataFrame:
